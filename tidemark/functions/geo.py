@@ -82,54 +82,85 @@ def point_wkt(lon: Column, lat: Column, decimals: int = 6) -> Column:
 
 
 def add_utm(
-    df: DataFrame, lon: str, lat: str, zone: int, easting: str = "easting", northing: str = "northing"
+    df: DataFrame,
+    lon: str,
+    lat: str,
+    zone: int,
+    easting: str = "easting",
+    northing: str = "northing",
+    valid_only: bool = False,
 ) -> DataFrame:
-    """Append projected metres for valid points.
+    """Append projected metres: for every row of ``df`` if it holds valid points only, else NULL where invalid.
 
-    Written as stacked projections so that the shared intermediates are evaluated once per row.
+    Stacked projections evaluate each intermediate once. They are also free of NULLs, so that a join or
+    filter on the result gives the optimizer no IS NOT NULL test to push down through them, which would
+    repeat the whole computation inside a filter.
     """
-    phi = F.radians(F.col(lat))
-    delta = F.radians(F.col(lon) - F.lit(central_meridian(zone)))
     usable = is_valid_lonlat(F.col(lon), F.col(lat)) & (F.abs(F.col(lat)) < 90.0)
-    sin_phi = F.when(usable, F.sin(phi))
-    staged = df.withColumns({"_sin_phi": sin_phi, "_delta": delta})
-    staged = staged.withColumn(
-        "_t",
-        F.sinh(F.atanh("_sin_phi") - F.lit(ECCENTRICITY) * F.atanh(F.lit(ECCENTRICITY) * F.col("_sin_phi"))),
-    )
-    staged = staged.withColumns(
+    x, y = (F.col(lon), F.col(lat)) if valid_only else (F.when(usable, F.col(lon)), F.when(usable, F.col(lat)))
+    middle = F.lit(central_meridian(zone))
+    e = F.lit(ECCENTRICITY)
+    staged = df.withColumns(
         {
-            "_xi": F.atan2(F.col("_t"), F.cos("_delta")),
-            "_eta": F.atanh(F.sin("_delta") / F.sqrt(F.lit(1.0) + F.col("_t") * F.col("_t"))),
+            "_sin_phi": F.sin(F.radians(F.coalesce(y, F.lit(0.0)))),
+            "_delta": F.radians(F.coalesce(x, middle) - middle),
         }
     )
+    staged = staged.withColumn("_t", F.sinh(F.atanh("_sin_phi") - e * F.atanh(e * F.col("_sin_phi"))))
+    inverse_root = F.pow(F.lit(1.0) + F.col("_t") * F.col("_t"), F.lit(-0.5))
+    staged = staged.withColumns(
+        {"_xi": F.atan2(F.col("_t"), F.cos("_delta")), "_eta": F.atanh(F.sin("_delta") * inverse_root)}
+    )
     east, north = F.col("_eta"), F.col("_xi")
     for j, a in enumerate(ALPHA, start=1):
         k = F.lit(2.0 * j)
         east = east + F.lit(a) * F.cos(k * F.col("_xi")) * F.sinh(k * F.col("_eta"))
         north = north + F.lit(a) * F.sin(k * F.col("_xi")) * F.cosh(k * F.col("_eta"))
     k0a = F.lit(SCALE_FACTOR * RECTIFYING_RADIUS_M)
-    return staged.withColumns(
-        {easting: F.lit(FALSE_EASTING_M) + k0a * east, northing: k0a * north}
-    ).drop("_sin_phi", "_delta", "_t", "_xi", "_eta")
+    east, north = F.lit(FALSE_EASTING_M) + k0a * east, k0a * north
+    if not valid_only:
+        east, north = F.when(usable, east), F.when(usable, north)
+    return staged.withColumns({easting: east, northing: north}).drop("_sin_phi", "_delta", "_t", "_xi", "_eta")
+
+
+# The inverse projection in four steps, each a function of the previous one's results.
+
+
+def _to_sphere(easting: Column, northing: Column) -> tuple[Column, Column]:
+    scale = F.lit(1.0 / (SCALE_FACTOR * RECTIFYING_RADIUS_M))
+    return northing * scale, (easting - F.lit(FALSE_EASTING_M)) * scale
 
 
-def utm_to_lonlat(easting: Column, northing: Column, zone: int) -> tuple[Column, Column]:
-    """Longitude and latitude columns of a projected point."""
-    k0a = SCALE_FACTOR * RECTIFYING_RADIUS_M
-    xi = northing / F.lit(k0a)
-    eta = (easting - F.lit(FALSE_EASTING_M)) / F.lit(k0a)
+def _undo_series(xi: Column, eta: Column) -> tuple[Column, Column]:
     xi0, eta0 = xi, eta
     for j, b in enumerate(BETA, start=1):
         k = F.lit(2.0 * j)
         xi0 = xi0 - F.lit(b) * F.sin(k * xi) * F.cosh(k * eta)
         eta0 = eta0 - F.lit(b) * F.cos(k * xi) * F.sinh(k * eta)
-    chi = F.asin(F.sin(xi0) / F.cosh(eta0))
-    phi = chi
-    for j, d in enumerate(DELTA, start=1):
-        phi = phi + F.lit(d) * F.sin(F.lit(2.0 * j) * chi)
+    return xi0, eta0
+
+
+def _conformal(xi0: Column, eta0: Column, zone: int) -> tuple[Column, Column]:
     lon = F.lit(central_meridian(zone)) + F.degrees(F.atan2(F.sinh(eta0), F.cos(xi0)))
-    return lon, F.degrees(phi)
+    return lon, F.asin(F.sin(xi0) * F.pow(F.cosh(eta0), F.lit(-1.0)))
+
+
+def _geodetic(chi: Column) -> Column:
+    phi = chi
+    for j, delta in enumerate(DELTA, start=1):
+        phi = phi + F.lit(delta) * F.sin(F.lit(2.0 * j) * chi)
+    return F.degrees(phi)
+
+
+def add_lonlat(df: DataFrame, easting: str, northing: str, zone: int, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """Append longitude and latitude of projected points."""
+    xi, eta = _to_sphere(F.col(easting), F.col(northing))
+    staged = df.withColumns({"_xi": xi, "_eta": eta})
+    xi0, eta0 = _undo_series(F.col("_xi"), F.col("_eta"))
+    staged = staged.withColumns({"_xi0": xi0, "_eta0": eta0})
+    x, chi = _conformal(F.col("_xi0"), F.col("_eta0"), zone)
+    staged = staged.withColumns({lon: x, "_chi": chi})
+    return staged.withColumn(lat, _geodetic(F.col("_chi"))).drop("_xi", "_eta", "_xi0", "_eta0", "_chi")
 
 
 def buffer_ring(easting: Column, northing: Column, radius_m: float, vertices: int, circumscribed: bool = False) -> Column:
@@ -154,8 +185,10 @@ def buffer_ring(easting: Column, northing: Column, radius_m: float, vertices: in
 def ring_to_lonlat(ring: Column, zone: int) -> Column:
     """Reproject every vertex of a projected ring to EPSG:4326."""
 
-    def vertex(v: Column) -> Column:
-        lon, lat = utm_to_lonlat(v["x"], v["y"], zone)
-        return F.struct(lon.alias("x"), lat.alias("y"))
+    def pair(first: Column, second: Column) -> Column:
+        return F.struct(first.alias("x"), second.alias("y"))
 
-    return F.transform(ring, vertex)
+    sphere = F.transform(ring, lambda v: pair(*_to_sphere(v["x"], v["y"])))
+    undone = F.transform(sphere, lambda v: pair(*_undo_series(v["x"], v["y"])))
+    conformal = F.transform(undone, lambda v: pair(*_conformal(v["x"], v["y"], zone)))
+    return F.transform(conformal, lambda v: pair(v["x"], _geodetic(v["y"])))

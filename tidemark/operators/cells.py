@@ -3,6 +3,10 @@
 Distinct vessels are counted with Spark's two-step distinct aggregation: the first shuffle is keyed by
 (cell, hour, vessel) after a partial aggregation, so neither a crowded cell nor a chatty vessel ends up in
 one task.
+
+Pings without a usable position form the NULL cell. Where only real cells make sense (map, centre), give
+valid pings: that test is a cheap filter on the coordinates, while a filter on the cell would make the
+optimizer compute every cell a second time inside the filter.
 """
 
 from __future__ import annotations
@@ -11,6 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import hexgrid, style
+from tidemark.functions.geo import is_valid_lonlat
+
+
+def valid_pings(pings: DataFrame) -> DataFrame:
+    return pings.filter(is_valid_lonlat(F.col("longitude"), F.col("latitude")))
 
 
 def cell_hour(pings: DataFrame, resolution: int, ts: str = "ts", vessel: str = "mmsi") -> DataFrame:
@@ -59,7 +68,7 @@ def cell_stats(hourly: DataFrame, cell: str) -> DataFrame:
     """Rows, distinct cells and distinct hours of an hourly table, folding hours into a bit set per cell."""
     per_cell = hourly.groupBy(cell).agg(
         F.count(F.lit(1)).alias("_rows"),
-        F.bit_or(F.shiftleft(F.lit(1), F.col("hour_of_day"))).alias("_hours"),
+        F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("hour_of_day"))).alias("_hours"),
     )
     return per_cell.agg(
         F.sum("_rows").alias("hourly_rows"),
@@ -80,7 +89,7 @@ def cell_centroids(cells: DataFrame, cell: str) -> DataFrame:
 
 def cells_center(hourly: DataFrame, cell: str) -> DataFrame:
     """Mean of the centroids of the distinct cells."""
-    middles = cell_centroids(distinct_cells(hourly.filter(F.col(cell).isNotNull()), cell), cell)
+    middles = cell_centroids(distinct_cells(hourly, cell), cell)
     return middles.agg(F.avg("cell_lat").alias("center_lat"), F.avg("cell_lon").alias("center_lon"))
 
 
@@ -120,8 +129,7 @@ def cell_colors(daily: DataFrame, cell: str) -> DataFrame:
     The colour is the position between the quietest and the busiest cell on a log scale.
     The bounds are a one-row scalar subquery over the same aggregate, whose shuffle Spark reuses.
     """
-    known = daily.filter(F.col(cell).isNotNull())
-    bounds = known.agg(
+    bounds = daily.agg(
         F.struct(
             F.min("total_unique_vessels").alias("low"),
             F.max("total_unique_vessels").alias("high"),
@@ -134,7 +142,7 @@ def cell_colors(daily: DataFrame, cell: str) -> DataFrame:
     )
     lon, lat = hexgrid.cell_centroid(F.col(cell))
     return (
-        known.withColumn("bounds", bounds.scalar())
+        daily.withColumn("bounds", bounds.scalar())
         .withColumn("normalized_vessels", scaled)
         .withColumns(
             {

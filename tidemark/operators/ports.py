@@ -34,7 +34,7 @@ def without_size(ports: DataFrame, excluded: str = "Very Small", column: str = "
 def project_ports(ports: DataFrame, zone: int, lon: str = "plon", lat: str = "plat") -> DataFrame:
     """Valid ports with their position in the projected plane."""
     usable = ports.filter(geo.is_valid_lonlat(F.col(lon), F.col(lat)))
-    return geo.add_utm(usable, lon, lat, zone, "port_e", "port_n")
+    return geo.add_utm(usable, lon, lat, zone, "port_e", "port_n", valid_only=True)
 
 
 def reproject_features(features: DataFrame, zone: int) -> DataFrame:
@@ -49,8 +49,8 @@ def reproject_features(features: DataFrame, zone: int) -> DataFrame:
             F.raise_error(F.format_string(f"expected EPSG:{expected}, got EPSG:%s", F.col("crs").cast("string")))
         ),
     )
-    lon, lat = geo.utm_to_lonlat(F.col("easting"), F.col("northing"), zone)
-    return checked.withColumns({"plon": lon, "plat": lat}).filter(geo.is_valid_lonlat(F.col("plon"), F.col("plat")))
+    located = geo.add_lonlat(checked, "easting", "northing", zone, "plon", "plat")
+    return located.filter(geo.is_valid_lonlat(F.col("plon"), F.col("plat")))
 
 
 def buffer_ports(projected: DataFrame, radius_m: float, zone: int, vertices: int = BUFFER_VERTICES) -> DataFrame:

@@ -42,10 +42,10 @@ def pings_in_ports(
     """
     projected = port_ops.project_ports(ports, zone)
     area = port_ops.search_area(projected, radius_m, zone)
-    side = F.lit(float(radius_m))
+    per_square = F.lit(1.0 / radius_m)
 
     def square(metres: Column) -> Column:
-        return F.floor(metres / side).cast("int")
+        return F.floor(metres * per_square).cast("int")
 
     step = F.array(*[F.lit(i) for i in (-1, 0, 1)])
     around = (
@@ -60,7 +60,7 @@ def pings_in_ports(
             (square(F.col("port_n")) + F.col("_dy")).alias("_gy"),
         )
     )
-    nearby = geo.add_utm(port_ops.within_bounds(pings, area), "longitude", "latitude", zone)
+    nearby = geo.add_utm(port_ops.within_bounds(pings, area), "longitude", "latitude", zone, valid_only=True)
     nearby = nearby.withColumns({"_gx": square(F.col("easting")), "_gy": square(F.col("northing"))})
     matched = _join_on_cell(nearby, around, ["_gx", "_gy"], area.ports, broadcast_max_rows, salts)
     de = F.col("easting") - F.col("port_e")

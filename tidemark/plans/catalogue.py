@@ -158,7 +158,8 @@ def backfill_idempotent(spark, sf_dir):
     for _ in range(2):
         stored = spark.read.parquet(path)
         cell = hexgrid.cell_of_point(F.col("longitude"), F.col("latitude"), 9)
-        stored = tables.backfill(stored, {"hex_res9": cell}, path, "day")
+        usable = geo.is_valid_lonlat(F.col("longitude"), F.col("latitude"))
+        stored = tables.backfill(stored, {"hex_res9": cell}, path, "day", usable)
     return stored.select("event_id", "hex_res9")
 
 
@@ -345,13 +346,15 @@ def distinct_cells(spark, sf_dir):
 
 @query
 def vessel_stats(spark, sf_dir):
-    daily = cells.cell_daily_sum(_hourly(spark, sf_dir, 8), "hex_res8").filter(F.col("hex_res8").isNotNull())
+    hourly = cells.cell_hour(cells.valid_pings(given.pings(spark, sf_dir)), 8)
+    daily = cells.cell_daily_sum(hourly, "hex_res8")
     return rounded(cells.describe_values(daily, "total_unique_vessels"), 6, "mean", "std", "p25", "p50", "p75")
 
 
 @query
 def cells_center(spark, sf_dir):
-    return rounded(cells.cells_center(_hourly(spark, sf_dir, 7), "hex_res7"), 6, "center_lat", "center_lon")
+    hourly = cells.cell_hour(cells.valid_pings(given.pings(spark, sf_dir)), 7)
+    return rounded(cells.cells_center(hourly, "hex_res7"), 6, "center_lat", "center_lon")
 
 
 @query
@@ -388,7 +391,7 @@ def hex_cells(spark, sf_dir):
 
 @query
 def cell_centroids(spark, sf_dir):
-    celled = hexgrid.add_cells(given.pings(spark, sf_dir), (9,)).filter(F.col("hex_res9").isNotNull())
+    celled = hexgrid.add_cells(cells.valid_pings(given.pings(spark, sf_dir)), (9,))
     return rounded(
         cells.cell_centroids(celled.select("hex_res9").distinct(), "hex_res9"), 6, "cell_lon", "cell_lat"
     )
@@ -440,10 +443,9 @@ def project_utm(spark, sf_dir):
 
 @query
 def unproject_utm(spark, sf_dir):
-    projected = geo.add_utm(given.pings(spark, sf_dir), "longitude", "latitude", ZONE)
-    lon, lat = geo.utm_to_lonlat(F.col("easting"), F.col("northing"), ZONE)
-    usable = projected.filter(F.col("easting").isNotNull())
-    return usable.select("event_id", _coordinate(lon, 7, "longitude"), _coordinate(lat, 7, "latitude"))
+    projected = geo.add_utm(cells.valid_pings(given.pings(spark, sf_dir)), "longitude", "latitude", ZONE, valid_only=True)
+    back = geo.add_lonlat(projected.select("event_id", "easting", "northing"), "easting", "northing", ZONE)
+    return back.select("event_id", _coordinate(F.col("lon"), 7, "longitude"), _coordinate(F.col("lat"), 7, "latitude"))
 
 
 @query

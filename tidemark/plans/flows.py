@@ -12,7 +12,7 @@ from tidemark.operators import cells, ports, spatial, voyages
 def map_cells(pings: DataFrame, resolution: int) -> DataFrame:
     """Pings to coloured cells: hourly counts, folded per cell, coloured."""
     cell = f"hex_res{resolution}"
-    daily = cells.cell_daily_sum(cells.cell_hour(pings, resolution), cell)
+    daily = cells.cell_daily_sum(cells.cell_hour(cells.valid_pings(pings), resolution), cell)
     return cells.cell_colors(daily, cell)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,18 +59,15 @@ def filled(df: DataFrame, values: dict[str, Column]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), v) for c, v in values.items()})
 
 
-def backfill(df: DataFrame, values: dict[str, Column], path: str, partition_by: str) -> DataFrame:
+def backfill(df: DataFrame, values: dict[str, Column], path: str, partition_by: str, when: Column) -> DataFrame:
     """Fill NULLs in a partitioned parquet folder, rewriting only partitions that have something to fill.
 
-    A row whose value cannot be computed stays NULL and does not cause a rewrite. The driver only sees
-    the names of the partitions to rewrite, which then prune the second scan.
+    ``when`` tells which rows have a value at all; others stay NULL and do not cause a rewrite. The driver
+    only sees the names of the partitions to rewrite, which then prune the second scan.
     """
     spark = df.sparkSession
-    fillable = [F.col(c).isNull() & v.isNotNull() for c, v in values.items()]
-    due = fillable[0]
-    for condition in fillable[1:]:
-        due = due | condition
-    touched = [row[0] for row in df.filter(due).select(partition_by).distinct().collect()]
+    empty = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in values])
+    touched = [row[0] for row in df.filter(empty & when).select(partition_by).distinct().collect()]
     if not touched:
         return df
     chosen = F.col(partition_by).isin([value for value in touched if value is not None])
