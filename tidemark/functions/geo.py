@@ -81,6 +81,17 @@ def point_wkt(lon: Column, lat: Column, decimals: int = 6) -> Column:
     )
 
 
+def double(value: float) -> str:
+    """SQL literal of a double."""
+    return f"{float(value)!r}D"
+
+
+def _series(start: str, coefficients: tuple[float, ...], term: str, sign: str = "+") -> str:
+    """``start`` plus (or minus) the sum of coefficient times ``term``, with ``{k}`` standing for 2, 4, 6."""
+    parts = [f" {sign} {double(c)} * {term.format(k=double(2 * j))}" for j, c in enumerate(coefficients, start=1)]
+    return f"({start}{''.join(parts)})"
+
+
 def add_utm(
     df: DataFrame,
     lon: str,
@@ -92,103 +103,91 @@ def add_utm(
 ) -> DataFrame:
     """Append projected metres: for every row of ``df`` if it holds valid points only, else NULL where invalid.
 
-    Stacked projections evaluate each intermediate once. They are also free of NULLs, so that a join or
-    filter on the result gives the optimizer no IS NOT NULL test to push down through them, which would
-    repeat the whole computation inside a filter.
+    Stacked projections evaluate each intermediate once. With ``valid_only`` the results are declared free
+    of NULLs (the coalesce never fires): a join or filter on them then gives the optimizer no IS NOT NULL
+    test to push down, which would repeat the whole computation inside a filter.
     """
+    middle, e = double(central_meridian(zone)), double(ECCENTRICITY)
+    k0a = double(SCALE_FACTOR * RECTIFYING_RADIUS_M)
     usable = is_valid_lonlat(F.col(lon), F.col(lat)) & (F.abs(F.col(lat)) < 90.0)
-    x, y = (F.col(lon), F.col(lat)) if valid_only else (F.when(usable, F.col(lon)), F.when(usable, F.col(lat)))
-    middle = F.lit(central_meridian(zone))
-    e = F.lit(ECCENTRICITY)
-    staged = df.withColumns(
+    inputs = {"_lon": F.col(lon), "_lat": F.col(lat)}
+    if not valid_only:
+        inputs = {name: F.when(usable, value) for name, value in inputs.items()}
+    staged = df.withColumns(inputs).withColumns(
         {
-            "_sin_phi": F.sin(F.radians(F.coalesce(y, F.lit(0.0)))),
-            "_delta": F.radians(F.coalesce(x, middle) - middle),
+            "_sin_phi": F.expr("sin(radians(coalesce(_lat, 0D)))"),
+            "_delta": F.expr(f"radians(coalesce(_lon, {middle}) - {middle})"),
         }
     )
-    staged = staged.withColumn("_t", F.sinh(F.atanh("_sin_phi") - e * F.atanh(e * F.col("_sin_phi"))))
-    inverse_root = F.pow(F.lit(1.0) + F.col("_t") * F.col("_t"), F.lit(-0.5))
+    staged = staged.withColumn("_t", F.expr(f"sinh(atanh(_sin_phi) - {e} * atanh({e} * _sin_phi))"))
     staged = staged.withColumns(
-        {"_xi": F.atan2(F.col("_t"), F.cos("_delta")), "_eta": F.atanh(F.sin("_delta") * inverse_root)}
+        {
+            "_xi": F.expr("atan2(_t, cos(_delta))"),
+            "_eta": F.expr("atanh(sin(_delta) * pow(1D + _t * _t, -0.5D))"),
+        }
+    )
+    east = F.expr(
+        f"{double(FALSE_EASTING_M)} + {k0a} * " + _series("_eta", ALPHA, "cos({k} * _xi) * sinh({k} * _eta)")
+    )
+    north = F.expr(f"{k0a} * " + _series("_xi", ALPHA, "sin({k} * _xi) * cosh({k} * _eta)"))
+    if valid_only:
+        east, north = F.coalesce(east, F.lit(0.0)), F.coalesce(north, F.lit(0.0))
+    else:
+        known = F.col("_lon").isNotNull()
+        east, north = F.when(known, east), F.when(known, north)
+    return staged.withColumns({easting: east, northing: north}).drop(
+        "_lon", "_lat", "_sin_phi", "_delta", "_t", "_xi", "_eta"
     )
-    east, north = F.col("_eta"), F.col("_xi")
-    for j, a in enumerate(ALPHA, start=1):
-        k = F.lit(2.0 * j)
-        east = east + F.lit(a) * F.cos(k * F.col("_xi")) * F.sinh(k * F.col("_eta"))
-        north = north + F.lit(a) * F.sin(k * F.col("_xi")) * F.cosh(k * F.col("_eta"))
-    k0a = F.lit(SCALE_FACTOR * RECTIFYING_RADIUS_M)
-    east, north = F.lit(FALSE_EASTING_M) + k0a * east, k0a * north
-    if not valid_only:
-        east, north = F.when(usable, east), F.when(usable, north)
-    return staged.withColumns({easting: east, northing: north}).drop("_sin_phi", "_delta", "_t", "_xi", "_eta")
 
 
-# The inverse projection in four steps, each a function of the previous one's results.
+# The inverse projection in four steps of SQL text, each a function of the previous one's results.
 
 
-def _to_sphere(easting: Column, northing: Column) -> tuple[Column, Column]:
-    scale = F.lit(1.0 / (SCALE_FACTOR * RECTIFYING_RADIUS_M))
-    return northing * scale, (easting - F.lit(FALSE_EASTING_M)) * scale
+def _to_sphere(easting: str, northing: str) -> tuple[str, str]:
+    scale = double(1.0 / (SCALE_FACTOR * RECTIFYING_RADIUS_M))
+    return f"{northing} * {scale}", f"({easting} - {double(FALSE_EASTING_M)}) * {scale}"
 
 
-def _undo_series(xi: Column, eta: Column) -> tuple[Column, Column]:
-    xi0, eta0 = xi, eta
-    for j, b in enumerate(BETA, start=1):
-        k = F.lit(2.0 * j)
-        xi0 = xi0 - F.lit(b) * F.sin(k * xi) * F.cosh(k * eta)
-        eta0 = eta0 - F.lit(b) * F.cos(k * xi) * F.sinh(k * eta)
-    return xi0, eta0
+def _undo_series(xi: str, eta: str) -> tuple[str, str]:
+    return (
+        _series(xi, BETA, f"sin({{k}} * {xi}) * cosh({{k}} * {eta})", "-"),
+        _series(eta, BETA, f"cos({{k}} * {xi}) * sinh({{k}} * {eta})", "-"),
+    )
 
 
-def _conformal(xi0: Column, eta0: Column, zone: int) -> tuple[Column, Column]:
-    lon = F.lit(central_meridian(zone)) + F.degrees(F.atan2(F.sinh(eta0), F.cos(xi0)))
-    return lon, F.asin(F.sin(xi0) * F.pow(F.cosh(eta0), F.lit(-1.0)))
+def _conformal(xi0: str, eta0: str, zone: int) -> tuple[str, str]:
+    lon = f"{double(central_meridian(zone))} + degrees(atan2(sinh({eta0}), cos({xi0})))"
+    return lon, f"asin(sin({xi0}) * pow(cosh({eta0}), -1D))"
 
 
-def _geodetic(chi: Column) -> Column:
-    phi = chi
-    for j, delta in enumerate(DELTA, start=1):
-        phi = phi + F.lit(delta) * F.sin(F.lit(2.0 * j) * chi)
-    return F.degrees(phi)
+def _geodetic(chi: str) -> str:
+    return f"degrees({_series(chi, DELTA, f'sin({{k}} * {chi})')})"
 
 
 def add_lonlat(df: DataFrame, easting: str, northing: str, zone: int, lon: str = "lon", lat: str = "lat") -> DataFrame:
     """Append longitude and latitude of projected points."""
-    xi, eta = _to_sphere(F.col(easting), F.col(northing))
-    staged = df.withColumns({"_xi": xi, "_eta": eta})
-    xi0, eta0 = _undo_series(F.col("_xi"), F.col("_eta"))
-    staged = staged.withColumns({"_xi0": xi0, "_eta0": eta0})
-    x, chi = _conformal(F.col("_xi0"), F.col("_eta0"), zone)
-    staged = staged.withColumns({lon: x, "_chi": chi})
-    return staged.withColumn(lat, _geodetic(F.col("_chi"))).drop("_xi", "_eta", "_xi0", "_eta0", "_chi")
-
-
-def buffer_ring(easting: Column, northing: Column, radius_m: float, vertices: int, circumscribed: bool = False) -> Column:
-    """Vertices of the regular polygon standing for a circular buffer, as ``array<struct<x, y>>``.
-
-    The inscribed polygon (default) is what gets shown; the circumscribed one covers the whole circle
-    and is therefore safe to pre-filter with.
-    """
-    reach = radius_m / math.cos(math.pi / vertices) if circumscribed else radius_m
-    offsets = F.array(
-        *[
-            F.struct(
-                F.lit(reach * math.cos(2 * math.pi * i / vertices)).alias("dx"),
-                F.lit(reach * math.sin(2 * math.pi * i / vertices)).alias("dy"),
-            )
-            for i in range(vertices)
-        ]
+    xi, eta = _to_sphere(easting, northing)
+    staged = df.withColumns({"_xi": F.expr(xi), "_eta": F.expr(eta)})
+    xi0, eta0 = _undo_series("_xi", "_eta")
+    staged = staged.withColumns({"_xi0": F.expr(xi0), "_eta0": F.expr(eta0)})
+    x, chi = _conformal("_xi0", "_eta0", zone)
+    staged = staged.withColumns({lon: F.expr(x), "_chi": F.expr(chi)})
+    return staged.withColumn(lat, F.expr(_geodetic("_chi"))).drop("_xi", "_eta", "_xi0", "_eta0", "_chi")
+
+
+def _each_vertex(ring: str, xy: tuple[str, str]) -> str:
+    return f"transform({ring}, v -> named_struct('x', {xy[0]}, 'y', {xy[1]}))"
+
+
+def buffer_ring(easting: str, northing: str, radius_m: float, vertices: int, zone: int) -> Column:
+    """Regular polygon standing for a circular buffer of a projected point: ``array<struct<x, y>>`` in EPSG:4326."""
+    angle = f"{double(2 * math.pi / vertices)} * i"
+    radius = double(radius_m)
+    ring = (
+        f"transform(sequence(0, {vertices - 1}), i -> named_struct("
+        f"'x', {easting} + {radius} * cos({angle}), 'y', {northing} + {radius} * sin({angle})))"
     )
-    return F.transform(offsets, lambda o: F.struct((easting + o["dx"]).alias("x"), (northing + o["dy"]).alias("y")))
-
-
-def ring_to_lonlat(ring: Column, zone: int) -> Column:
-    """Reproject every vertex of a projected ring to EPSG:4326."""
-
-    def pair(first: Column, second: Column) -> Column:
-        return F.struct(first.alias("x"), second.alias("y"))
-
-    sphere = F.transform(ring, lambda v: pair(*_to_sphere(v["x"], v["y"])))
-    undone = F.transform(sphere, lambda v: pair(*_undo_series(v["x"], v["y"])))
-    conformal = F.transform(undone, lambda v: pair(*_conformal(v["x"], v["y"], zone)))
-    return F.transform(conformal, lambda v: pair(v["x"], _geodetic(v["y"])))
+    ring = _each_vertex(ring, _to_sphere("v.x", "v.y"))
+    ring = _each_vertex(ring, _undo_series("v.x", "v.y"))
+    ring = _each_vertex(ring, _conformal("v.x", "v.y", zone))
+    return F.expr(_each_vertex(ring, ("v.x", _geodetic("v.y"))))

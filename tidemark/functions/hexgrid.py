@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.geo import is_valid_lonlat
+from tidemark.functions.geo import double, is_valid_lonlat
 
 # Authalic earth radius, standard parallel, base cell area.
 EARTH_RADIUS_M = 6371007.181
@@ -36,46 +36,34 @@ def cell_side_m(resolution: int) -> float:
     return math.sqrt(2 * cell_area_m2(resolution) / (3 * math.sqrt(3)))
 
 
-def _plane_x(lon: Column) -> Column:
-    return F.lit(EARTH_RADIUS_M * STANDARD_PARALLEL_COS) * F.radians(lon)
+# The cell of a point in steps of SQL text; names are columns of the step before.
 
 
-def _plane_y(lat: Column) -> Column:
-    return F.lit(EARTH_RADIUS_M / STANDARD_PARALLEL_COS) * F.sin(F.radians(lat))
-
-
-def _pack(q: Column, r: Column, resolution: int) -> Column:
+def _plane(lon: str, lat: str) -> tuple[str, str]:
     return (
-        F.lit(resolution * (1 << 2 * AXIS_BITS))
-        + (q.cast("bigint") + F.lit(AXIS_OFFSET)) * F.lit(1 << AXIS_BITS)
-        + (r.cast("bigint") + F.lit(AXIS_OFFSET))
+        f"{double(EARTH_RADIUS_M * STANDARD_PARALLEL_COS)} * radians({lon})",
+        f"{double(EARTH_RADIUS_M / STANDARD_PARALLEL_COS)} * sin(radians({lat}))",
     )
 
 
-def _axial(x: Column, y: Column, resolution: int) -> tuple[Column, Column]:
+def _axial(x: str, y: str, resolution: int) -> tuple[str, str]:
     """Fractional axial coordinates of a plane position."""
     side = cell_side_m(resolution)
-    q = F.lit(math.sqrt(3) / (3 * side)) * x - y / F.lit(3 * side)
-    return q, F.lit(2.0) * y / F.lit(3 * side)
+    third = double(1 / (3 * side))
+    return f"{double(math.sqrt(3) / (3 * side))} * {x} - {y} * {third}", f"2D * {y} * {third}"
 
 
-def _nearest(q: Column, r: Column, rq: Column, rr: Column, rs: Column, resolution: int) -> Column:
+def _nearest(q: str, r: str, rq: str, rr: str, rs: str, resolution: int) -> str:
     """Cell id from fractional axes and the three rounded cube axes: the worst rounded one is derived."""
-    dq, dr, ds = F.abs(rq - q), F.abs(rr - r), F.abs(rs - (-q - r))
-    fix_q = (dq > dr) & (dq > ds)
-    fixed_q = F.when(fix_q, -rr - rs).otherwise(rq)
-    fixed_r = F.when(~fix_q & (dr > ds), -rq - rs).otherwise(rr)
-    return _pack(fixed_q, fixed_r, resolution)
-
-
-def cell_of_point(lon: Column, lat: Column, resolution: int) -> Column:
-    """Cell of a point as one expression; NULL for NULL or invalid coordinates.
-
-    For many rows or resolutions prefer ``add_cells``, which evaluates the intermediates once.
-    """
-    q, r = _axial(_plane_x(lon), _plane_y(lat), resolution)
-    cell = _nearest(q, r, F.rint(q), F.rint(r), F.rint(-q - r), resolution)
-    return F.when(is_valid_lonlat(lon, lat), cell)
+    dq, dr, ds = f"abs({rq} - {q})", f"abs({rr} - {r})", f"abs({rs} + {q} + {r})"
+    q_is_worst, r_is_worse = f"({dq} > {dr} AND {dq} > {ds})", f"{dr} > {ds}"
+    fixed_q = f"CASE WHEN {q_is_worst} THEN -{rr} - {rs} ELSE {rq} END"
+    fixed_r = f"CASE WHEN NOT {q_is_worst} AND {r_is_worse} THEN -{rq} - {rs} ELSE {rr} END"
+    return (
+        f"{resolution * (1 << 2 * AXIS_BITS)}L"
+        f" + (CAST({fixed_q} AS BIGINT) + {AXIS_OFFSET}L) * {1 << AXIS_BITS}L"
+        f" + (CAST({fixed_r} AS BIGINT) + {AXIS_OFFSET}L)"
+    )
 
 
 def add_cells(
@@ -87,15 +75,14 @@ def add_cells(
     intermediate is evaluated twice.
     """
     usable = is_valid_lonlat(F.col(lon), F.col(lat))
-    staged = df.withColumns(
-        {"_x": F.when(usable, _plane_x(F.col(lon))), "_y": F.when(usable, _plane_y(F.col(lat)))}
-    )
+    x, y = _plane(f"`{lon}`", f"`{lat}`")
+    staged = df.withColumns({"_x": F.when(usable, F.expr(x)), "_y": F.when(usable, F.expr(y))})
     raw, whole, out, temp = {}, {}, {}, ["_x", "_y"]
     for res in resolutions:
         q, r, rq, rr, rs = (f"_{axis}{res}" for axis in ("q", "r", "rq", "rr", "rs"))
-        raw[q], raw[r] = _axial(F.col("_x"), F.col("_y"), res)
-        whole |= {rq: F.rint(q), rr: F.rint(r), rs: F.rint(-F.col(q) - F.col(r))}
-        out[f"{prefix}{res}"] = _nearest(*(F.col(c) for c in (q, r, rq, rr, rs)), res)
+        raw[q], raw[r] = (F.expr(axis) for axis in _axial("_x", "_y", res))
+        whole |= {rq: F.expr(f"rint({q})"), rr: F.expr(f"rint({r})"), rs: F.expr(f"rint(-{q} - {r})")}
+        out[f"{prefix}{res}"] = F.expr(_nearest(q, r, rq, rr, rs, res))
         temp += [q, r, rq, rr, rs]
     return staged.withColumns(raw).withColumns(whole).withColumns(out).drop(*temp)
 

@@ -16,7 +16,9 @@ PORT_PROPERTIES_SAMPLE = (
 )
 
 BUFFER_VERTICES = 32
-ENVELOPE_PAD_DEG = 1e-6
+
+# Fixed value: length of a degree of latitude at the equator, reduced by the smallest scale of the projection.
+SHORTEST_DEGREE_M = 110574.0 * 0.9996
 
 
 def expand_properties(features: DataFrame, sample: str, column: str = "properties") -> DataFrame:
@@ -55,8 +57,7 @@ def reproject_features(features: DataFrame, zone: int) -> DataFrame:
 
 def buffer_ports(projected: DataFrame, radius_m: float, zone: int, vertices: int = BUFFER_VERTICES) -> DataFrame:
     """Append ``ring``: the buffer polygon of each port in EPSG:4326."""
-    ring = geo.buffer_ring(F.col("port_e"), F.col("port_n"), radius_m, vertices)
-    return projected.withColumn("ring", geo.ring_to_lonlat(ring, zone))
+    return projected.withColumn("ring", geo.buffer_ring("port_e", "port_n", radius_m, vertices, zone))
 
 
 def ring_envelope(rings: DataFrame, column: str = "ring") -> DataFrame:
@@ -82,18 +83,19 @@ class SearchArea:
     ports: int
 
 
-def search_area(projected: DataFrame, radius_m: float, zone: int) -> SearchArea:
-    """Bounds that contain every point within the radius of a port, from one single-row job."""
-    ring = geo.buffer_ring(F.col("port_e"), F.col("port_n"), radius_m, BUFFER_VERTICES, circumscribed=True)
-    rings = projected.select(geo.ring_to_lonlat(ring, zone).alias("ring"))
-    x = F.transform(F.col("ring"), lambda v: v["x"])
-    y = F.transform(F.col("ring"), lambda v: v["y"])
-    pad = ENVELOPE_PAD_DEG
-    row = rings.agg(
-        F.min(F.array_min(x) - pad).alias("xmin"),
-        F.max(F.array_max(x) + pad).alias("xmax"),
-        F.min(F.array_min(y) - pad).alias("ymin"),
-        F.max(F.array_max(y) + pad).alias("ymax"),
+def search_area(ports: DataFrame, radius_m: float, lon: str = "plon", lat: str = "plat") -> SearchArea:
+    """Bounds that contain every point within the radius of a port, from one single-row job.
+
+    Metres become degrees with the shortest degree there is, so the bounds are slightly generous.
+    """
+    reach = F.lit(radius_m / SHORTEST_DEGREE_M)
+    poleward = F.least(F.abs(F.col(lat)) + reach, F.lit(90.0))
+    sideways = F.least(reach / F.greatest(F.cos(F.radians(poleward)), F.lit(1e-9)), F.lit(360.0))
+    row = ports.agg(
+        F.min(F.col(lon) - sideways).alias("xmin"),
+        F.max(F.col(lon) + sideways).alias("xmax"),
+        F.min(F.col(lat) - reach).alias("ymin"),
+        F.max(F.col(lat) + reach).alias("ymax"),
         F.count(F.lit(1)).alias("ports"),
     ).first()
     return SearchArea(**row.asDict())

@@ -41,11 +41,11 @@ def pings_in_ports(
     so each pair meets once.
     """
     projected = port_ops.project_ports(ports, zone)
-    area = port_ops.search_area(projected, radius_m, zone)
+    area = port_ops.search_area(ports, radius_m)
     per_square = F.lit(1.0 / radius_m)
 
     def square(metres: Column) -> Column:
-        return F.floor(metres * per_square).cast("int")
+        return F.coalesce(F.floor(metres * per_square).cast("int"), F.lit(0))
 
     step = F.array(*[F.lit(i) for i in (-1, 0, 1)])
     around = (

@@ -155,11 +155,10 @@ def backfill_idempotent(spark, sf_dir):
     celled = hexgrid.add_cells(given.pings(spark, sf_dir), (9,)).withColumn("day", F.to_date("ts"))
     known = celled.withColumn("hex_res9", F.when(F.day("ts") <= 20, F.col("hex_res9")))
     known.write.partitionBy("day").parquet(path)
+    usable = geo.is_valid_lonlat(F.col("longitude"), F.col("latitude"))
     for _ in range(2):
         stored = spark.read.parquet(path)
-        cell = hexgrid.cell_of_point(F.col("longitude"), F.col("latitude"), 9)
-        usable = geo.is_valid_lonlat(F.col("longitude"), F.col("latitude"))
-        stored = tables.backfill(stored, {"hex_res9": cell}, path, "day", usable)
+        stored = tables.backfill(stored, lambda rows: hexgrid.add_cells(rows, (9,)), ("hex_res9",), usable, path, "day")
     return stored.select("event_id", "hex_res9")
 
 

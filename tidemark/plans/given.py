@@ -7,11 +7,13 @@ from __future__ import annotations
 
 import zipfile
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions import geo
 from tidemark.operators.ports import project_ports
@@ -22,8 +24,15 @@ PING_COLUMNS = ("event_id", "mmsi", "vessel_name", "ts", "longitude", "latitude"
 ROWS_PER_FILE = 50_000
 
 
+@cache
+def _schema(path: str) -> StructType:
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables. Its schema is read from the file footer once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
 
 
 def ports(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,33 +55,42 @@ def add_missing_columns(spark: SparkSession, table: str, columns: dict[str, str]
     return list(missing)
 
 
-def filled(df: DataFrame, values: dict[str, Column]) -> DataFrame:
-    """Fill NULLs of the given columns, leaving values that are already there."""
-    return df.withColumns({c: F.coalesce(F.col(c), v) for c, v in values.items()})
+def filled(df: DataFrame, compute: Callable[[DataFrame], DataFrame], columns: tuple[str, ...]) -> DataFrame:
+    """Fill NULLs of ``columns`` with what ``compute`` puts there, leaving values that are already present."""
+    kept = {f"_kept_{c}": F.col(c) for c in columns}
+    computed = compute(df.withColumns(kept).drop(*columns))
+    merged = computed.withColumns({c: F.coalesce(F.col(f"_kept_{c}"), F.col(c)) for c in columns})
+    return merged.select(*df.columns)
 
 
-def backfill(df: DataFrame, values: dict[str, Column], path: str, partition_by: str, when: Column) -> DataFrame:
+def backfill(
+    df: DataFrame,
+    compute: Callable[[DataFrame], DataFrame],
+    columns: tuple[str, ...],
+    when: Column,
+    path: str,
+    partition_by: str,
+) -> DataFrame:
     """Fill NULLs in a partitioned parquet folder, rewriting only partitions that have something to fill.
 
     ``when`` tells which rows have a value at all; others stay NULL and do not cause a rewrite. The driver
     only sees the names of the partitions to rewrite, which then prune the second scan.
     """
-    spark = df.sparkSession
-    empty = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in values])
+    empty = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
     touched = [row[0] for row in df.filter(empty & when).select(partition_by).distinct().collect()]
     if not touched:
         return df
     chosen = F.col(partition_by).isin([value for value in touched if value is not None])
     if None in touched:
         chosen = chosen | F.col(partition_by).isNull()
-    rewritten = filled(df.filter(chosen), values).select(*df.columns)
     (
-        rewritten.write.mode("overwrite")
+        filled(df.filter(chosen), compute, columns)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_by)
         .parquet(path)
     )
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _spread_bits(value: Column) -> Column:
