@@ -85,6 +85,11 @@ def test_cell_contains_its_centroid_and_is_near(spark):
             assert math.hypot(dx, dy) <= hexgrid.cell_side_m(res) * (1 + 1e-9)
 
 
+def test_centroid_of_no_cell_is_null(spark):
+    lon, lat = hexgrid.cell_centroid(F.lit(None).cast("bigint"))
+    assert tuple(spark.range(1).select(lon, lat).first()) == (None, None)
+
+
 def test_cell_areas_shrink_by_seven():
     assert hexgrid.cell_area_m2(6) == 36e6
     assert hexgrid.cell_area_m2(8) == pytest.approx(36e6 / 49)

@@ -109,7 +109,7 @@ def cell_centroid(cell: Column) -> tuple[Column, Column]:
     )
     return (
         F.degrees(x / F.lit(EARTH_RADIUS_M * STANDARD_PARALLEL_COS)),
-        F.degrees(F.asin(sin_lat)),
+        F.when(cell.isNotNull(), F.degrees(F.asin(sin_lat))),
     )
 
 

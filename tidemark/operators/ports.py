@@ -91,7 +91,7 @@ def search_area(ports: DataFrame, radius_m: float, lon: str = "plon", lat: str =
     reach = F.lit(radius_m / SHORTEST_DEGREE_M)
     poleward = F.least(F.abs(F.col(lat)) + reach, F.lit(90.0))
     sideways = F.least(reach / F.greatest(F.cos(F.radians(poleward)), F.lit(1e-9)), F.lit(360.0))
-    row = ports.agg(
+    row = ports.filter(geo.is_valid_lonlat(F.col(lon), F.col(lat))).agg(
         F.min(F.col(lon) - sideways).alias("xmin"),
         F.max(F.col(lon) + sideways).alias("xmax"),
         F.min(F.col(lat) - reach).alias("ymin"),

@@ -106,7 +106,7 @@ def morton_key(lon: Column, lat: Column) -> Column:
 
     def grid(value: Column, low: float, width: float) -> Column:
         scaled = F.floor((value - F.lit(low)) / F.lit(width) * F.lit(float(top)))
-        return F.least(F.greatest(scaled, F.lit(0)), F.lit(top)).cast("bigint")
+        return F.when(value.isNotNull(), F.least(F.greatest(scaled, F.lit(0)), F.lit(top)).cast("bigint"))
 
     return _spread_bits(grid(lon, -180.0, 360.0)).bitwiseOR(F.shiftleft(_spread_bits(grid(lat, -90.0, 180.0)), 1))
 

@@ -98,6 +98,7 @@ def scan_zip(
     members = members.repartition(tasks, *keys) if tasks else members.repartition(*keys)
     lines = members.mapInArrow(_lines([n.lower() for n in schema.names]), "path string, member string, line string")
     full = with_corrupt_column(schema)
-    options = {k: v for k, v in csv_options(full).items() if k != "header"}
-    parsed = lines.select("path", "member", F.from_csv("line", full.simpleString()[len("struct<") : -1].replace(":", " "), options).alias("r"))
+    options = csv_options(full) | {"header": "false"}
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in full)
+    parsed = lines.select("path", "member", F.from_csv("line", ddl, options).alias("r"))
     return parsed.select("path", "member", *[F.col(f"r.{n}") for n in schema.names], F.col(f"r.{CORRUPT_COLUMN}"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,7 @@ def csv_options(schema: T.StructType | None) -> dict[str, str]:
     options = {"header": "true", "escape": '"', "mode": "PERMISSIVE"}
     if schema is not None and CORRUPT_COLUMN in schema.names:
         options["columnNameOfCorruptRecord"] = CORRUPT_COLUMN
+        options["columnPruning"] = "false"  # count the fields of a line, whichever are selected
     return options
 
 
@@ -38,15 +41,28 @@ def scan_csv(
     ``.csv.zst`` files are decoded by Spark as they are read; each is one task because the format cannot
     be split.
     """
+    as_read = schema
     if schema is not None and keep_corrupt:
-        schema = with_corrupt_column(schema)
-    reader = spark.read.options(**csv_options(schema)).option("pathGlobFilter", glob)
+        as_read = with_corrupt_column(T.StructType([T.StructField(n, T.StringType()) for n in schema.names]))
+    reader = spark.read.options(**csv_options(as_read)).option("pathGlobFilter", glob)
     reader = reader.option("recursiveFileLookup", "true")
-    if schema is None:
-        reader = reader.option("inferSchema", "true").option("samplingRatio", str(sampling_ratio))
-    else:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+    if as_read is None:
+        return reader.option("inferSchema", "true").option("samplingRatio", str(sampling_ratio)).csv(path)
+    raw = reader.schema(as_read).csv(path)
+    return _typed(raw, schema) if keep_corrupt else raw
+
+
+def _typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Cast text fields; a line with a wrong number of fields or an uncastable one is kept as text.
+
+    Spark's own corrupt-record column only looks at the selected fields, this one at all of them.
+    """
+    failed = [F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull() for f in schema]
+    line = F.when(reduce(lambda a, b: a | b, failed), F.to_csv(F.struct(*schema.names)))
+    return raw.select(
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema],
+        F.coalesce(F.col(CORRUPT_COLUMN), line).alias(CORRUPT_COLUMN),
+    )
 
 
 def with_parsed_time(
