@@ -65,7 +65,7 @@ def test_bounds_are_generous(spark):
     ports = spark.createDataFrame([(0, "a", -125.9, 60.0), (1, "b", -123.0, 30.0), (2, "c", -120.1, 48.0)], PORT)
     for port in ports.collect():
         one = ports.filter(F.col("port_id") == port["port_id"])
-        area = port_ops.search_area(one, 1852.0)
+        area = port_ops.search_area(port_ops.add_box(one, 1852.0))
         ring = port_ops.buffer_ports(port_ops.project_ports(one, 10), 1852.0, 10, 360).select(F.inline("ring"))
         assert port_ops.within_bounds(ring, area, "x", "y").count() == 360
 

@@ -103,9 +103,10 @@ def add_utm(
 ) -> DataFrame:
     """Append projected metres: for every row of ``df`` if it holds valid points only, else NULL where invalid.
 
-    Stacked projections evaluate each intermediate once. With ``valid_only`` the results are declared free
-    of NULLs (the coalesce never fires): a join or filter on them then gives the optimizer no IS NOT NULL
-    test to push down, which would repeat the whole computation inside a filter.
+    Stacked projections evaluate each intermediate once, and the multiple angles of the series follow from
+    the double ones by the addition theorems. With ``valid_only`` the results are declared free of NULLs
+    (the coalesce never fires): a join or filter on them then gives the optimizer no IS NOT NULL test to
+    push down, which would repeat the whole computation inside a filter.
     """
     middle, e = double(central_meridian(zone)), double(ECCENTRICITY)
     k0a = double(SCALE_FACTOR * RECTIFYING_RADIUS_M)
@@ -113,31 +114,41 @@ def add_utm(
     inputs = {"_lon": F.col(lon), "_lat": F.col(lat)}
     if not valid_only:
         inputs = {name: F.when(usable, value) for name, value in inputs.items()}
-    staged = df.withColumns(inputs).withColumns(
+    steps = [
+        inputs,
         {
             "_sin_phi": F.expr("sin(radians(coalesce(_lat, 0D)))"),
             "_delta": F.expr(f"radians(coalesce(_lon, {middle}) - {middle})"),
-        }
-    )
-    staged = staged.withColumn("_t", F.expr(f"sinh(atanh(_sin_phi) - {e} * atanh({e} * _sin_phi))"))
-    staged = staged.withColumns(
+        },
+        {"_t": F.expr(f"sinh(atanh(_sin_phi) - {e} * atanh({e} * _sin_phi))")},
         {
             "_xi": F.expr("atan2(_t, cos(_delta))"),
             "_eta": F.expr("atanh(sin(_delta) * pow(1D + _t * _t, -0.5D))"),
-        }
-    )
-    east = F.expr(
-        f"{double(FALSE_EASTING_M)} + {k0a} * " + _series("_eta", ALPHA, "cos({k} * _xi) * sinh({k} * _eta)")
-    )
-    north = F.expr(f"{k0a} * " + _series("_xi", ALPHA, "sin({k} * _xi) * cosh({k} * _eta)"))
+        },
+        {"_s2": F.expr("sin(2D * _xi)"), "_c2": F.expr("cos(2D * _xi)"), "_up": F.expr("exp(2D * _eta)")},
+        {"_sh2": F.expr("0.5D * (_up - 1D / _up)"), "_ch2": F.expr("0.5D * (_up + 1D / _up)")},
+    ]
+    for low, high in ((2, 4), (4, 6)):
+        steps.append(
+            {
+                f"_s{high}": F.expr(f"_s{low} * _c2 + _c{low} * _s2"),
+                f"_c{high}": F.expr(f"_c{low} * _c2 - _s{low} * _s2"),
+                f"_sh{high}": F.expr(f"_sh{low} * _ch2 + _ch{low} * _sh2"),
+                f"_ch{high}": F.expr(f"_ch{low} * _ch2 + _sh{low} * _sh2"),
+            }
+        )
+    east = " + ".join(["_eta", *(f"{double(a)} * _c{k} * _sh{k}" for a, k in zip(ALPHA, (2, 4, 6)))])
+    north = " + ".join(["_xi", *(f"{double(a)} * _s{k} * _ch{k}" for a, k in zip(ALPHA, (2, 4, 6)))])
+    east, north = F.expr(f"{double(FALSE_EASTING_M)} + {k0a} * ({east})"), F.expr(f"{k0a} * ({north})")
     if valid_only:
         east, north = F.coalesce(east, F.lit(0.0)), F.coalesce(north, F.lit(0.0))
     else:
         known = F.col("_lon").isNotNull()
         east, north = F.when(known, east), F.when(known, north)
-    return staged.withColumns({easting: east, northing: north}).drop(
-        "_lon", "_lat", "_sin_phi", "_delta", "_t", "_xi", "_eta"
-    )
+    staged = df
+    for step in steps:
+        staged = staged.withColumns(step)
+    return staged.withColumns({easting: east, northing: north}).drop(*(name for step in steps for name in step))
 
 
 # The inverse projection in four steps of SQL text, each a function of the previous one's results.

@@ -72,30 +72,46 @@ def ring_envelope(rings: DataFrame, column: str = "ring") -> DataFrame:
     )
 
 
+def add_box(ports: DataFrame, radius_m: float, lon: str = "plon", lat: str = "plat") -> DataFrame:
+    """Append ``x0, x1, y0, y1``: degrees around a port that hold every point within the radius.
+
+    Metres become degrees with the shortest degree there is, so the box is slightly generous.
+    """
+    reach = F.lit(radius_m / SHORTEST_DEGREE_M)
+    poleward = F.least(F.abs(F.col(lat)) + reach, F.lit(90.0))
+    sideways = F.least(reach / F.greatest(F.cos(F.radians(poleward)), F.lit(1e-9)), F.lit(360.0))
+    return ports.withColumns(
+        {
+            "x0": F.col(lon) - sideways,
+            "x1": F.col(lon) + sideways,
+            "y0": F.col(lat) - reach,
+            "y1": F.col(lat) + reach,
+        }
+    )
+
+
 @dataclass(frozen=True)
 class SearchArea:
-    """What the driver needs to know about the port side: bounds of all buffers and number of ports."""
+    """What the driver needs to know about the port side: common bounds, widest box, number of ports."""
 
     xmin: float | None
     xmax: float | None
     ymin: float | None
     ymax: float | None
-    ports: int
-
-
-def search_area(ports: DataFrame, radius_m: float, lon: str = "plon", lat: str = "plat") -> SearchArea:
-    """Bounds that contain every point within the radius of a port, from one single-row job.
-
-    Metres become degrees with the shortest degree there is, so the bounds are slightly generous.
-    """
-    reach = F.lit(radius_m / SHORTEST_DEGREE_M)
-    poleward = F.least(F.abs(F.col(lat)) + reach, F.lit(90.0))
-    sideways = F.least(reach / F.greatest(F.cos(F.radians(poleward)), F.lit(1e-9)), F.lit(360.0))
-    row = ports.filter(geo.is_valid_lonlat(F.col(lon), F.col(lat))).agg(
-        F.min(F.col(lon) - sideways).alias("xmin"),
-        F.max(F.col(lon) + sideways).alias("xmax"),
-        F.min(F.col(lat) - reach).alias("ymin"),
-        F.max(F.col(lat) + reach).alias("ymax"),
+    width: float | None = None
+    height: float | None = None
+    ports: int = 0
+
+
+def search_area(boxed: DataFrame) -> SearchArea:
+    """Facts about all boxes, from one single-row job."""
+    row = boxed.agg(
+        F.min("x0").alias("xmin"),
+        F.max("x1").alias("xmax"),
+        F.min("y0").alias("ymin"),
+        F.max("y1").alias("ymax"),
+        F.max(F.col("x1") - F.col("x0")).alias("width"),
+        F.max(F.col("y1") - F.col("y0")).alias("height"),
         F.count(F.lit(1)).alias("ports"),
     ).first()
     return SearchArea(**row.asDict())

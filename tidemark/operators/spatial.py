@@ -36,37 +36,36 @@ def pings_in_ports(
 ) -> DataFrame:
     """Every (ping, port) pair no further apart than ``radius_m`` in the projected plane.
 
-    ``pings`` has longitude and latitude; ``ports`` has port_id, port_name, plon, plat. A ping lies in
-    exactly one grid square of side ``radius_m`` and a port is copied to the 3 x 3 squares around it,
-    so each pair meets once.
+    ``pings`` has longitude and latitude; ``ports`` has port_id, port_name, plon, plat. The grid is in
+    degrees, as wide as the widest port box: a ping lies in one square, a port box in at most 2 x 2, so
+    each pair meets once. Pings in a square without any port drop out in a semi-join before the
+    projection, which is the expensive part.
     """
-    projected = port_ops.project_ports(ports, zone)
-    area = port_ops.search_area(ports, radius_m)
-    per_square = F.lit(1.0 / radius_m)
-
-    def square(metres: Column) -> Column:
-        return F.coalesce(F.floor(metres * per_square).cast("int"), F.lit(0))
-
-    step = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    around = (
-        projected.select("port_id", "port_name", "port_e", "port_n", F.explode(step).alias("_dx"))
-        .select("*", F.explode(step).alias("_dy"))
-        .select(
-            "port_id",
-            "port_name",
-            "port_e",
-            "port_n",
-            (square(F.col("port_e")) + F.col("_dx")).alias("_gx"),
-            (square(F.col("port_n")) + F.col("_dy")).alias("_gy"),
-        )
+    projected = port_ops.add_box(port_ops.project_ports(ports, zone), radius_m)
+    area = port_ops.search_area(projected)
+    if not area.ports:
+        nothing = {c: F.lit(None).cast(ports.schema[c].dataType) for c in ("port_id", "port_name")}
+        return pings.filter(F.lit(False)).withColumns(nothing)
+
+    def square(degrees: Column, size: float) -> Column:
+        return F.coalesce(F.floor(degrees * F.lit(1.0 / size)).cast("int"), F.lit(0))
+
+    columns = square(F.col("x0"), area.width), square(F.col("x1"), area.width)
+    rows = square(F.col("y0"), area.height), square(F.col("y1"), area.height)
+    filed = projected.select(
+        "port_id", "port_name", "port_e", "port_n", "y0", "y1", F.explode(F.sequence(*columns)).alias("_gx")
+    ).select("port_id", "port_name", "port_e", "port_n", "_gx", F.explode(F.sequence(*rows)).alias("_gy"))
+    nearby = port_ops.within_bounds(pings, area).withColumns(
+        {"_gx": square(F.col("longitude"), area.width), "_gy": square(F.col("latitude"), area.height)}
     )
-    nearby = geo.add_utm(port_ops.within_bounds(pings, area), "longitude", "latitude", zone, valid_only=True)
-    nearby = nearby.withColumns({"_gx": square(F.col("easting")), "_gy": square(F.col("northing"))})
-    matched = _join_on_cell(nearby, around, ["_gx", "_gy"], area.ports, broadcast_max_rows, salts)
+    if area.ports <= broadcast_max_rows:
+        nearby = nearby.join(F.broadcast(filed.select("_gx", "_gy")), ["_gx", "_gy"], "left_semi")
+    located = geo.add_utm(nearby, "longitude", "latitude", zone, valid_only=True)
+    matched = _join_on_cell(located, filed, ["_gx", "_gy"], area.ports, broadcast_max_rows, salts)
     de = F.col("easting") - F.col("port_e")
     dn = F.col("northing") - F.col("port_n")
-    reach = F.lit(float(radius_m) ** 2)
-    return matched.filter(de * de + dn * dn <= reach).select(*pings.columns, "port_id", "port_name")
+    within = de * de + dn * dn <= F.lit(float(radius_m) ** 2)
+    return matched.filter(within).select(*pings.columns, "port_id", "port_name")
 
 
 def _inside(ring: Column, x: Column, y: Column) -> Column:

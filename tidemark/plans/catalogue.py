@@ -22,7 +22,7 @@ QUERIES: dict[str, Query] = {}
 
 ZONE = 10
 RADIUS_M = geo.NAUTICAL_MILE_M
-BBOX = ports.SearchArea(xmin=-124.4, xmax=-122.6, ymin=47.5, ymax=49.0, ports=0)
+BBOX = ports.SearchArea(xmin=-124.4, xmax=-122.6, ymin=47.5, ymax=49.0)
 LINK_SUFFIXES = ("er", "ion", ".")
 LINK_BASE = "https://files.example.org/ais"
 ZONE_VERTICES = 12
