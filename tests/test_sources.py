@@ -92,8 +92,8 @@ def test_ledger_counts_rows_and_unreadable_rows(spark, tmp_path):
 
 
 PROPERTIES = {
-    "OID": "1726.0", "WPIN": "18460.0", "REGION": "R", "PORT": "Comox", "UN_LOCODE": "CA COX", "COUNTRY": "Canada",
-    "WORLD_WATE": "W", "SIZE": "Small", "TYPE": "T", "LAT": 49.666667, "LON": -124.916667,
+    "OID": "12.0", "WPIN": "34.0", "REGION": "North", "PORT": "Sandy Cove", "UN_LOCODE": "XX SND", "COUNTRY": "Nowhere",
+    "WORLD_WATE": "Sea", "SIZE": "Small", "TYPE": "Coastal", "LAT": 49.5, "LON": -124.5,
 }
 
 
@@ -116,7 +116,7 @@ def test_features_to_ports(spark, tmp_path):
     assert [f.name for f in found.schema] == ["geometry", "crs", "properties"]
     assert found.rdd.getNumPartitions() == 2
     rows = flows.ports_from_features(features.with_point_xy(found), 10).orderBy("plon").collect()
-    assert [r["port_name"] for r in rows] == ["Comox", "Comox"]
+    assert [r["port_name"] for r in rows] == ["Sandy Cove", "Sandy Cove"]
     assert (rows[0]["plon"], rows[0]["plat"]) == pytest.approx((-124.916667, 49.666667), abs=1e-6)
     assert rows[1]["plon"] == pytest.approx(-123.0)
 

@@ -45,7 +45,7 @@ def brute_ports(pings, ports, radius, zone=10):
     )
 
 
-@pytest.mark.parametrize("limit", [50_000, 0])
+@pytest.mark.parametrize("limit", [20_000, 0])
 @pytest.mark.parametrize("radius", [300.0, 1852.0, 9000.0])
 def test_ports_join_equals_brute_force(spark, radius, limit):
     pings, ports = random_pings(spark), random_ports(spark)
@@ -85,7 +85,7 @@ def inside(ring, x, y):
     return hit
 
 
-@pytest.mark.parametrize("limit", [50_000, 0])
+@pytest.mark.parametrize("limit", [20_000, 0])
 def test_zones_join_equals_brute_force(spark, limit):
     rings = {
         "notched": [(-123.45, 48.55), (-123.35, 48.55), (-123.4, 48.6), (-123.35, 48.65), (-123.45, 48.65)],

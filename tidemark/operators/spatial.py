@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import geo
 from tidemark.operators import ports as port_ops
 
-BROADCAST_MAX_ROWS = 50_000
+BROADCAST_MAX_ROWS = 20_000
+VERTICES_PER_ROW = 32
 SALTS = 32
 ZONE_BASE_DEG = 1.0 / 128
 
@@ -92,7 +93,8 @@ def pings_in_zones(
     """Every (ping, zone) pair with the ping inside the zone's polygon ring (``zone_id, ring``, EPSG:4326).
 
     Zones are filed on a grid as coarse as their own extent (squares of ``base_deg`` times a power of
-    two), so even a huge zone takes at most four squares. A ping looks into one square per level in use.
+    two), so even a huge zone takes at most four squares. A ping looks into one square per level in use, of
+    which there are at most 16 between the base and the whole globe.
     """
     x = F.transform(F.col("ring"), lambda v: v["x"])
     y = F.transform(F.col("ring"), lambda v: v["y"])
@@ -106,7 +108,15 @@ def pings_in_zones(
     )
     extent = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"), F.lit(base_deg))
     levelled = bounded.withColumn("_level", F.ceil(F.log2(extent / F.lit(base_deg))).cast("int"))
-    facts = levelled.agg(F.count(F.lit(1)).alias("n"), F.collect_set("_level").alias("levels")).first()
+    facts = levelled.agg(
+        F.min("_x0").alias("xmin"),
+        F.max("_x1").alias("xmax"),
+        F.min("_y0").alias("ymin"),
+        F.max("_y1").alias("ymax"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.size("ring")).alias("vertices"),
+        F.collect_set("_level").alias("levels"),
+    ).first()
     if not facts["n"]:
         return pings.limit(0).select("*", F.lit(None).cast(zones.schema["zone_id"].dataType).alias("zone_id"))
 
@@ -115,12 +125,14 @@ def pings_in_zones(
 
     filed = levelled.withColumn("_gx", F.explode(F.sequence(square(F.col("_x0")), square(F.col("_x1")))))
     filed = filed.withColumn("_gy", F.explode(F.sequence(square(F.col("_y0")), square(F.col("_y1")))))
-    usable = pings.filter(geo.is_valid_lonlat(F.col("longitude"), F.col("latitude")))
+    area = port_ops.SearchArea(facts["xmin"], facts["xmax"], facts["ymin"], facts["ymax"])
+    usable = port_ops.within_bounds(pings, area).filter(geo.is_valid_lonlat(F.col("longitude"), F.col("latitude")))
     levels = F.array(*[F.lit(level) for level in sorted(facts["levels"])])
     looking = usable.withColumn("_level", F.explode(levels)).withColumns(
         {"_gx": square(F.col("longitude")), "_gy": square(F.col("latitude"))}
     )
-    matched = _join_on_cell(looking, filed, ["_level", "_gx", "_gy"], facts["n"], broadcast_max_rows, salts)
+    weight = max(facts["n"], facts["vertices"] // VERTICES_PER_ROW)
+    matched = _join_on_cell(looking, filed, ["_level", "_gx", "_gy"], weight, broadcast_max_rows, salts)
     lon, lat = F.col("longitude"), F.col("latitude")
     in_box = lon.between(F.col("_x0"), F.col("_x1")) & lat.between(F.col("_y0"), F.col("_y1"))
     return matched.filter(in_box).filter(_inside(F.col("ring"), lon, lat)).select(*pings.columns, "zone_id")

@@ -24,7 +24,7 @@ ZONE = 10
 RADIUS_M = geo.NAUTICAL_MILE_M
 BBOX = ports.SearchArea(xmin=-124.4, xmax=-122.6, ymin=47.5, ymax=49.0)
 LINK_SUFFIXES = ("er", "ion", ".")
-LINK_BASE = "https://files.example.org/ais"
+LINK_BASE = "https://files.example.org/pings"
 ZONE_VERTICES = 12
 ZONE_RADIUS_M = 1500.0
 

@@ -82,7 +82,7 @@ def file_listing(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     """
     key = F.col("doc_id")
     suffix = F.when(key % 3 == 0, ".csv.zst").when(key % 3 == 1, ".zip").otherwise(".txt")
-    name = F.concat(F.lit("ais-2024-"), F.lpad(key.cast("string"), 12, "0"), suffix)
+    name = F.concat(F.lit("pings-2024-"), F.lpad(key.cast("string"), 12, "0"), suffix)
     documents = table(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").alias("length"))
     source = documents.select(name.alias("name"), F.concat(F.lit("/history/"), name).alias("path"), "length")
     landed = table(spark, sf_dir, "labels").select(name.alias("name"), F.concat(F.lit("/landing/"), name).alias("path"))

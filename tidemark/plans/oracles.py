@@ -174,9 +174,9 @@ def _all_cells(resolutions: tuple[int, ...]) -> str:
 
 
 LISTING = """
-src AS (SELECT concat('ais-2024-', lpad(CAST(doc_id AS VARCHAR), 12, '0'),
+src AS (SELECT concat('pings-2024-', lpad(CAST(doc_id AS VARCHAR), 12, '0'),
   CASE doc_id%3 WHEN 0 THEN '.csv.zst' WHEN 1 THEN '.zip' ELSE '.txt' END) AS name, n_chars AS length FROM documents),
-land AS (SELECT concat('ais-2024-', lpad(CAST(doc_id AS VARCHAR), 12, '0'),
+land AS (SELECT concat('pings-2024-', lpad(CAST(doc_id AS VARCHAR), 12, '0'),
   CASE doc_id%3 WHEN 0 THEN '.csv.zst' WHEN 1 THEN '.zip' ELSE '.txt' END) AS name FROM labels),
 wanted AS (SELECT * FROM src WHERE name LIKE '%.csv.zst' OR name LIKE '%.zip'),
 pending AS (SELECT * FROM wanted WHERE name NOT IN (SELECT name FROM land))"""

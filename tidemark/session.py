@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+_SHIPPED_TO: set[str] = set()
+
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC time, ANSI casts and adaptive execution.
@@ -55,11 +57,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python tasks, once per application."""
     context = spark.sparkContext
-    if any(name.startswith("tidemark-pkg-") for name in context._python_includes):
+    if context.applicationId in _SHIPPED_TO:
         return
+    _SHIPPED_TO.add(context.applicationId)
     root = Path(__file__).resolve().parent
     folder = tempfile.mkdtemp(prefix="tidemark-")
-    archive = f"{folder}/tidemark-pkg-{uuid.uuid4().hex}.zip"
+    archive = f"{folder}/tidemark-{uuid.uuid4().hex}.zip"
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
         for source in sorted(root.rglob("*.py")):
             out.write(source, source.relative_to(root.parent))
