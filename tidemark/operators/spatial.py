@@ -27,6 +27,15 @@ def _join_on_cell(left: DataFrame, small: DataFrame, keys: list[str], small_rows
     return spread.join(copies, [*keys, "_salt"]).drop("_salt")
 
 
+def _settled(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns through a one-row generator, which the optimizer does not merge with what follows.
+
+    For costly expressions used many times over, such as the bounds of a ring.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[v.alias(c) for c, v in columns.items()]))))
+
+
 def pings_in_ports(
     pings: DataFrame,
     ports: DataFrame,
@@ -98,16 +107,10 @@ def pings_in_zones(
     """
     x = F.transform(F.col("ring"), lambda v: v["x"])
     y = F.transform(F.col("ring"), lambda v: v["y"])
-    bounded = zones.select(
-        "zone_id",
-        "ring",
-        F.array_min(x).alias("_x0"),
-        F.array_max(x).alias("_x1"),
-        F.array_min(y).alias("_y0"),
-        F.array_max(y).alias("_y1"),
-    )
+    rings = _settled(zones.select("zone_id", "ring"), ring=F.col("ring"))
+    bounded = _settled(rings, _x0=F.array_min(x), _x1=F.array_max(x), _y0=F.array_min(y), _y1=F.array_max(y))
     extent = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"), F.lit(base_deg))
-    levelled = bounded.withColumn("_level", F.ceil(F.log2(extent / F.lit(base_deg))).cast("int"))
+    levelled = _settled(bounded, _level=F.ceil(F.log2(extent / F.lit(base_deg))).cast("int"))
     facts = levelled.agg(
         F.min("_x0").alias("xmin"),
         F.max("_x1").alias("xmax"),
