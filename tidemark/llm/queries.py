@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import arrow_files, packing
+from tidemark.llm import arrow_files, packing, quality, warc
 from tidemark.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,31 @@ def op3_packing(spark, sf_dir):
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op4_quality_rules(spark, sf_dir):
+    judged = quality.assess(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLES["op4_quality_rules"] = quality.ORACLE_SQL
+
+
+@query
+def op7_warc(spark, sf_dir):
+    return warc.digests(warc.read_pages(warc.write_pages(table(spark, sf_dir, "pages"))))
+
+
+ORACLES["op7_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+k AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS d FROM p),
+f AS (SELECT d, min(page_id) AS first FROM k WHERE n >= 100 GROUP BY d HAVING count(*) > 1)
+SELECT page_id, n::BIGINT AS payload_bytes, k.d AS payload_digest,
+       CASE WHEN f.first IS NULL OR page_id = f.first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> f.first THEN f.first END AS refers_to
+FROM k LEFT JOIN f ON k.d = f.d
+"""
+
+
 @query
 def op8_arrow_files(spark, sf_dir):
     manifest = arrow_files.write_sequences(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
