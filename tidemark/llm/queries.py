@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import arrow_files, packing, quality, warc
+from tidemark.llm import arrow_files, mixing, packing, quality, warc
 from tidemark.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,12 @@ def op4_quality_rules(spark, sf_dir):
 ORACLES["op4_quality_rules"] = quality.ORACLE_SQL
 
 
+@query
+def op6_mixing(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query
 def op7_warc(spark, sf_dir):
     return warc.digests(warc.read_pages(warc.write_pages(table(spark, sf_dir, "pages"))))
