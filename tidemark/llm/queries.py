@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import arrow_files, mixing, near_dedup, packing, quality, warc
+from tidemark.llm import arrow_files, mixing, near_dedup, packing, quality, toxicity, warc
 from tidemark.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,9 @@ FROM k LEFT JOIN f ON k.d = f.d
 def op8_arrow_files(spark, sf_dir):
     manifest = arrow_files.write_sequences(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return arrow_files.read_documents(manifest)
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))

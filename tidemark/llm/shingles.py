@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tidemark.llm.textbytes import U64, in_chunks, mix64, span_hashes, text_bytes, word_spans
+from tidemark.llm.textbytes import U64, SpanHasher, in_chunks, mix64, text_bytes, word_spans
 
 CHUNK_BYTES = 1 << 20
 SHINGLE_WORDS = 5
@@ -21,8 +21,8 @@ _WORD[:128] = [chr(c).isalnum() for c in range(128)]
 _TURNS = np.random.default_rng(5).integers(1, 1 << 63, SHINGLE_WORDS, dtype=np.uint64) * U64(2) + U64(1)
 
 
-def word_hashes(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For chunks of rows: the first row, the words' fingerprints in text order, and where each row's words begin.
+def chunked_words(column: pa.Array) -> Iterator[tuple[int, SpanHasher, np.ndarray, np.ndarray, np.ndarray]]:
+    """For chunks of rows: the first row, a hasher of the text, where words begin and end, and each row's first word.
 
     Chunks hold about a megabyte of text, or one longer row. NULL texts have no words.
     """
@@ -30,7 +30,13 @@ def word_hashes(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
     for a, b in in_chunks(offsets, CHUNK_BYTES):
         part, at = raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
         begin, end = word_spans(_WORD[part], at)
-        yield a, span_hashes(part, begin, end), np.searchsorted(begin, at)
+        yield a, SpanHasher(part), begin, end, np.searchsorted(begin, at)
+
+
+def word_hashes(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For chunks of rows: the first row, the words' fingerprints in text order, and each row's first word."""
+    for first, hashed, begin, end, starts in chunked_words(column):
+        yield first, hashed(begin, end), starts
 
 
 def shingle_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:

@@ -75,12 +75,21 @@ def _powers_to(size: int) -> tuple[np.ndarray, np.ndarray]:
     return made[0], made[1]
 
 
+class SpanHasher:
+    """Fingerprints of spans of one chunk of bytes."""
+
+    def __init__(self, raw: np.ndarray):
+        power, self.inverse = _powers_to(len(raw) + 1)
+        self.sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+        np.cumsum(_byte_numbers()[raw] * power[: len(raw)], out=self.sums[1:])
+
+    def __call__(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix64((self.sums[end] - self.sums[begin]) * self.inverse[begin])
+
+
 def span_hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Fingerprints of ``raw[begin:end]`` for arrays of places."""
-    power, inverse = _powers_to(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum(_byte_numbers()[raw] * power[: len(raw)], out=sums[1:])
-    return mix64((sums[end] - sums[begin]) * inverse[begin])
+    return SpanHasher(raw)(begin, end)
 
 
 def word_spans(is_word: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
