@@ -152,14 +152,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.where(enough).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", similarity: float = 0.8) -> DataFrame:
-    """A row for each row of ``docs``: ``doc_id, cluster_id``, the smallest id of the documents linked to it in any way.
-
-    Documents are linked if the sets of their 5-word shingles have a Jaccard similarity of ``similarity`` or more,
-    and so are equal texts. Texts of fewer than five words are one shingle. NULL texts and texts without words are
-    linked to nothing and keep their own id. Rows with a NULL id belong to groups like others and get the group's
-    smallest id, NULL if no row of it has one. Rows that repeat appear again. No rows: no rows.
-    """
+def _groups(docs: DataFrame, doc: str, text: str, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Each row's text key and bands; and for each text with words its component, smallest id and text key."""
     picked = docs.select(F.col(doc).cast("bigint").alias("doc"), F.col(text).alias("text"))
     keyed = picked.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit("second"), "text")})
     signed = stored(
@@ -210,9 +204,41 @@ def near_duplicates(docs: DataFrame, *, doc: str = "doc_id", text: str = "text",
         components.select(F.col("node").alias("c"), "component"), F.col("node") == F.col("c"), "left"
     )
     lows = lows.select(F.col("k1").alias("n1"), F.col("k2").alias("n2"), "low", F.coalesce("component", "node").alias("component"))
+    return signed, lows
+
+
+def near_duplicates(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", similarity: float = 0.8) -> DataFrame:
+    """A row for each row of ``docs``: ``doc_id, cluster_id``, the smallest id of the documents linked to it in any way.
+
+    Documents are linked if the sets of their 5-word shingles have a Jaccard similarity of ``similarity`` or more,
+    and so are equal texts. Texts of fewer than five words are one shingle. NULL texts and texts without words are
+    linked to nothing and keep their own id. Rows with a NULL id belong to groups like others and get the group's
+    smallest id, NULL if no row of it has one. Rows that repeat appear again. No rows: no rows.
+    """
+    signed, lows = _groups(docs, doc, text, similarity)
     smallest = lows.groupBy("component").agg(F.min("low").alias("cluster")).withColumnRenamed("component", "of")
     named = lows.join(smallest, F.col("component") == F.col("of")).select("n1", "n2", "cluster")
     same = (F.col("k1") == F.col("n1")) & (F.col("k2") == F.col("n2")) & (F.size("bands") > 0)
     members = signed.select("doc", "k1", "k2", "bands").join(named, same, "left")
     own = F.when(F.size("bands") > 0, F.col("cluster")).otherwise(F.col("doc"))
     return members.select(F.col("doc").alias("doc_id"), own.alias("cluster_id"))
+
+
+def deduplicated(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each group the row with the smallest id, NULL last.
+
+    Rows with equal ids and texts count as one. Texts without words are in no group: of them only such repeats go.
+    """
+    signed, lows = _groups(docs, doc, text, similarity)
+    first = F.min(F.struct(F.col("low").isNull().alias("none"), "low", "n1", "n2")).alias("first")
+    kept = lows.groupBy("component").agg(first).select("first.n1", "first.n2", "first.low")
+    wordless = signed.where(F.size("bands") == 0).select(F.col("k1").alias("n1"), F.col("k2").alias("n2"), F.col("doc").alias("low"))
+    names = ["_k1", "_k2", "_id"]
+    while set(names) & set(docs.columns):
+        names = ["_" + n for n in names]
+    keys = (F.xxhash64(text), F.xxhash64(F.lit("second"), text), F.col(doc).cast("bigint"))
+    keyed = docs.withColumns(dict(zip(names, keys)))
+    k1, k2, own = map(F.col, names)
+    wanted = kept.unionByName(wordless).distinct()
+    left = keyed.join(wanted, (k1 == F.col("n1")) & (k2 == F.col("n2")) & own.eqNullSafe(F.col("low")), "left_semi")
+    return left.dropDuplicates(names).select(*docs.columns)

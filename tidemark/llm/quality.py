@@ -21,6 +21,7 @@ GAP = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 BULLETS = r"^[\x20\x09-\x0D]*[-*•‣▪●·]"
 SPAN = 5
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 @dataclass(frozen=True)
@@ -152,25 +153,35 @@ def verdict(rules: list[Rule]) -> Column:
     return kept
 
 
-def assess(docs: DataFrame, *, text: str = "text", rules: list[Rule] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``docs`` with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept``.
-
-    Columns of ``docs`` with these names are replaced. NULL and empty texts have no words, fail the base and are
-    not kept. Rows that repeat get equal verdicts. No rows: no rows.
-    """
+def _judged(docs: DataFrame, text: str, rules: list[Rule] | None, sample_rows: int) -> tuple[DataFrame, str]:
+    """``docs`` with measures and verdicts under a prefix that no column of ``docs`` has, and the prefix."""
     prefix = "_"
     while any(c.startswith(prefix) for c in docs.columns):
         prefix += "_"
     measured = base_measures(docs, text, prefix)
     rules = default_rules(text, prefix) if rules is None else rules
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    measures = {f"{prefix}{n}": n for n in [*names, "n_lines"]}
-    sampled = measured.select(F.col(text), *measures)
+    sampled = measured.select(F.col(text), *[f"{prefix}{n}" for n in (*MEASURES, "n_lines")])
     order = measured_order(sampled, rules, sample_rows)
     kept = F.when(base_failed(prefix), F.lit(False)).otherwise(verdict(order))
-    judged = measured.withColumns({f"{prefix}failed": base_failed(prefix), f"{prefix}kept": kept})
-    out = {**{n: F.col(f"{prefix}{n}") for n in names}, "base_failed": F.col(f"{prefix}failed"), "kept": F.col(f"{prefix}kept")}
-    return judged.withColumns(out).drop(*measures, f"{prefix}failed", f"{prefix}kept")
+    return measured.withColumns({f"{prefix}base_failed": base_failed(prefix), f"{prefix}kept": kept}), prefix
+
+
+def assess(docs: DataFrame, *, text: str = "text", rules: list[Rule] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``docs`` with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept``.
+
+    Columns of ``docs`` with these names are replaced. NULL and empty texts have no words, fail the base and are
+    not kept. Rows that repeat get equal verdicts. No rows: no rows.
+    """
+    judged, prefix = _judged(docs, text, rules, sample_rows)
+    out = [*MEASURES, "base_failed", "kept"]
+    own = [F.col(c) for c in docs.columns if c not in out]
+    return judged.select(*own, *[F.col(f"{prefix}{n}").alias(n) for n in out])
+
+
+def kept_rows(docs: DataFrame, *, text: str = "text", rules: list[Rule] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of ``docs`` that :func:`assess` keeps, with their own columns."""
+    judged, prefix = _judged(docs, text, rules, sample_rows)
+    return judged.where(f"`{prefix}kept`").select(*docs.columns)
 
 
 ORACLE_SQL = r"""
