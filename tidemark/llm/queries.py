@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import arrow_files, mixing, near_dedup, packing, quality, toxicity, warc
+from tidemark.llm import arrow_files, mixing, near_dedup, packing, quality, site_style, toxicity, warc
 from tidemark.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +90,8 @@ def op8_arrow_files(spark, sf_dir):
 def op9_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op10_html_extraction(spark, sf_dir):
+    return site_style.extract(table(spark, sf_dir, "pages"))
