@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import arrow_files, mixing, near_dedup, packing, quality, site_style, toxicity, warc
+from tidemark.llm import arrow_files, licenses, mixing, near_dedup, packing, quality, site_style, toxicity, warc
 from tidemark.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,11 @@ def op4_quality_rules(spark, sf_dir):
 ORACLES["op4_quality_rules"] = quality.ORACLE_SQL
 
 
+@query
+def op5_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("block")
+
+
 @query
 def op6_mixing(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
