@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import arrow_files, licenses, mixing, near_dedup, packing, quality, site_style, toxicity, warc
+from tidemark.llm import arrow_files, hashing_search, licenses, mixing, near_dedup, packing, quality, site_style, toxicity, warc
 from tidemark.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,11 @@ def op1_near_duplicates(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_multi_index_hashing(spark, sf_dir):
+    return hashing_search.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op3_packing(spark, sf_dir):
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
