@@ -223,8 +223,8 @@ def scan(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", templates:
     """``doc_id, line, license, saving, block`` for each block of each text that states a license.
 
     ``line`` counts from 0; ``saving`` is the share of the block's compressed size that the template takes off,
-    rounded to six places. A block that no license explains as a whole is judged line by line, and such a
-    line sentence by sentence.
+    rounded to six places. Lines are judged one by one, a line that no license explains sentence by
+    sentence, and a block of which no line is explained as a whole.
     NULL and empty texts state nothing. Rows that repeat are each reported, with NULL ids too. No rows: no rows.
     """
     blocks = candidate_blocks(docs, doc, text)
@@ -235,8 +235,9 @@ def scan(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", templates:
             of, line, license_, saving, stated = [], [], [], [], []
             for i, (at, block) in enumerate(zip(batch.column("line").to_pylist(), batch.column("block").to_pylist())):
                 parts = block.split("\n")
-                name, share = scanner.verdict(block) if len(parts) > 1 else (None, 0.0)
-                found = [(at, block, name, share)] if name else [(at + k, *x) for k, part in enumerate(parts) for x in scanner.stated(part)]
+                found = [(at + k, *x) for k, part in enumerate(parts) for x in scanner.stated(part)]
+                name, share = scanner.verdict(block) if not found and len(parts) > 1 else (None, 0.0)
+                found = found or ([(at, block, name, share)] if name else [])
                 for where, part, name, share in found:
                     of.append(i)
                     line.append(where)
