@@ -13,6 +13,7 @@ from tidemark.operators import filesets
 from tidemark.plans import flows
 from tidemark.sources import archives, features, pings
 from tidemark.sources.pings import scan_csv, with_parsed_time
+from tidemark.streaming import ingest
 
 HEADER = "event_id,mmsi,vessel_name,base_date_time,longitude,latitude"
 GOOD = ['1,366000001,"A, ""B""",2024-03-01T00:00:01,-123.5,48.5', "2,366000002,,bad time,-123.25,"]
@@ -75,14 +76,66 @@ def test_lines_survive_any_chunk_size(monkeypatch):
     text = "".join(f"línea {i} 🚢\n" for i in range(50)) + "last"
     for size in (1, 2, 3, 7, 1000):
         monkeypatch.setattr(archives, "CHUNK_BYTES", size)
-        got = [line for lines in archives._line_chunks(io.BytesIO(text.encode())) for line in lines]
-        assert got == text.split("\n")
+        assert "\n".join(archives._text_blocks(io.BytesIO(text.encode()))).split("\n") == text.split("\n")
 
 
-def test_zip_header_must_match(spark, tmp_path):
-    archive(tmp_path / "a.zip", {"one.csv": "MMSI,LAT\n1,2\n"})
-    with pytest.raises(Exception, match="expected"):
-        archives.scan_zip(spark, str(tmp_path)).collect()
+REORDERED = "mmsi,base_date_time,Longitude,latitude,sog,vessel_name\n366000003,2024-03-01T00:00:05,1.5,2.5,9,Z\n"
+
+
+def check_names(df):
+    rows = {r["mmsi"]: r for r in with_parsed_time(df).collect()}
+    assert df.columns[:6] == HEADER.split(",") and "sog" in df.columns
+    new, old = rows[366000003], rows[366000001]
+    assert (new["event_id"], new["vessel_name"], new["longitude"], new["latitude"], new["sog"]) == (None, "Z", 1.5, 2.5, "9")
+    assert new["ts"] == dt.datetime(2024, 3, 1, 0, 0, 5) and (old["event_id"], old["sog"], old["longitude"]) == (1, None, -123.5)
+    assert len(rows) == 4
+
+
+@pytest.mark.parametrize("keep_corrupt", [False, True])
+def test_columns_are_found_by_name(spark, tmp_path, keep_corrupt):
+    (tmp_path / "a.csv").write_text(TEXT)
+    (tmp_path / "b.csv.zst").write_bytes(zstandard.compress(REORDERED.encode()))
+    (tmp_path / "empty.csv").write_text("")
+    check_names(scan_csv(spark, str(tmp_path), keep_corrupt=keep_corrupt))
+
+
+def test_zip_columns_are_found_by_name(spark, tmp_path):
+    archive(tmp_path / "a.zip", {"one.csv": TEXT, "two.csv": REORDERED, "empty.csv": ""})
+    check_names(archives.scan_zip(spark, str(tmp_path)).drop("path", "member"))
+
+
+def test_stream_columns_are_found_by_name(spark, tmp_path):
+    landing, check, out = (str(tmp_path / n) for n in ("landing", "check", "out"))
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "a.csv").write_text(TEXT)
+    assert ingest.ingest_by_name(spark, landing, check, out).count() == 3
+    (tmp_path / "landing" / "b.csv").write_text(REORDERED)
+    check_names(ingest.ingest_by_name(spark, landing, check, out))
+    assert ingest.ingest_by_name(spark, landing, check, out).count() == 4
+
+
+def test_a_stream_by_position_refuses_another_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(REORDERED)
+    query = ingest.read_stream(spark, str(tmp_path)).writeStream.format("memory").queryName("refused").trigger(availableNow=True)
+    with pytest.raises(Exception):
+        query.start().awaitTermination()
+
+
+def test_header_names():
+    assert pings.header_names("\ufeffa, b ,,\"c,d\"\r\n") == ("a", "b", "_c2", "c,d")
+    with pytest.raises(ValueError, match="twice"):
+        pings.header_names("a,B,b")
+
+
+def test_members_are_dealt_by_size(spark, tmp_path):
+    for i in range(40):
+        archive(tmp_path / f"{i}.zip", {f"m{i}.csv": HEADER + "\n" + "1,2,x,,1,2\n" * (i + 1)})
+    members = archives.list_members(spark, str(tmp_path)).cache()
+    counts = archives.dealt_members(members).groupBy(F.spark_partition_id()).count().collect()
+    assert len(counts) == 40 and {r["count"] for r in counts} == {1}
+    sizes = archives.dealt_members(members, 8).groupBy(F.spark_partition_id()).agg(F.sum("member_bytes").alias("n")).collect()
+    assert len(sizes) == 8 and max(r["n"] for r in sizes) < 1.5 * min(r["n"] for r in sizes)
+    assert archives.scan_zip(spark, str(tmp_path)).count() == 40 * 41 // 2
 
 
 def test_ledger_counts_rows_and_unreadable_rows(spark, tmp_path):

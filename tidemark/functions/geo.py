@@ -11,6 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import put_aside
+
 WGS84 = 4326
 NAUTICAL_MILE_M = 1852.0
 
@@ -108,6 +110,8 @@ def add_utm(
     (the coalesce never fires): a join or filter on them then gives the optimizer no IS NOT NULL test to
     push down, which would repeat the whole computation inside a filter.
     """
+    df, now, back = put_aside(df, r"_(lon|lat|sin_phi|delta|t|xi|eta|up|(s|c|sh|ch)[246])")
+    lon, lat = now(lon), now(lat)
     middle, e = double(central_meridian(zone)), double(ECCENTRICITY)
     k0a = double(SCALE_FACTOR * RECTIFYING_RADIUS_M)
     usable = is_valid_lonlat(F.col(lon), F.col(lat)) & (F.abs(F.col(lat)) < 90.0)
@@ -148,7 +152,7 @@ def add_utm(
     staged = df
     for step in steps:
         staged = staged.withColumns(step)
-    return staged.withColumns({easting: east, northing: north}).drop(*(name for step in steps for name in step))
+    return back(staged.withColumns({easting: east, northing: north}).drop(*(name for step in steps for name in step)))
 
 
 # The inverse projection in four steps of SQL text, each a function of the previous one's results.
@@ -177,13 +181,14 @@ def _geodetic(chi: str) -> str:
 
 def add_lonlat(df: DataFrame, easting: str, northing: str, zone: int, lon: str = "lon", lat: str = "lat") -> DataFrame:
     """Append longitude and latitude of projected points."""
-    xi, eta = _to_sphere(easting, northing)
+    df, now, back = put_aside(df, "_xi|_eta|_xi0|_eta0|_chi")
+    xi, eta = _to_sphere(f"`{now(easting)}`", f"`{now(northing)}`")
     staged = df.withColumns({"_xi": F.expr(xi), "_eta": F.expr(eta)})
     xi0, eta0 = _undo_series("_xi", "_eta")
     staged = staged.withColumns({"_xi0": F.expr(xi0), "_eta0": F.expr(eta0)})
     x, chi = _conformal("_xi0", "_eta0", zone)
     staged = staged.withColumns({lon: F.expr(x), "_chi": F.expr(chi)})
-    return staged.withColumn(lat, F.expr(_geodetic("_chi"))).drop("_xi", "_eta", "_xi0", "_eta0", "_chi")
+    return back(staged.withColumn(lat, F.expr(_geodetic("_chi"))).drop("_xi", "_eta", "_xi0", "_eta0", "_chi"))
 
 
 def _each_vertex(ring: str, xy: tuple[str, str]) -> str:

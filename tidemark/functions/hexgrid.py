@@ -12,6 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import put_aside
 from tidemark.functions.geo import double, is_valid_lonlat
 
 # Authalic earth radius, standard parallel, base cell area.
@@ -74,6 +75,8 @@ def add_cells(
     Each resolution starts from the point itself. The work is spread over stacked projections so that no
     intermediate is evaluated twice.
     """
+    df, now, back = put_aside(df, r"_[xy]|_(q|r|rq|rr|rs)\d+")
+    lon, lat = now(lon), now(lat)
     usable = is_valid_lonlat(F.col(lon), F.col(lat))
     x, y = _plane(f"`{lon}`", f"`{lat}`")
     staged = df.withColumns({"_x": F.when(usable, F.expr(x)), "_y": F.when(usable, F.expr(y))})
@@ -84,7 +87,7 @@ def add_cells(
         whole |= {rq: F.expr(f"rint({q})"), rr: F.expr(f"rint({r})"), rs: F.expr(f"rint(-{q} - {r})")}
         out[f"{prefix}{res}"] = F.expr(_nearest(q, r, rq, rr, rs, res))
         temp += [q, r, rq, rr, rs]
-    return staged.withColumns(raw).withColumns(whole).withColumns(out).drop(*temp)
+    return back(staged.withColumns(raw).withColumns(whole).withColumns(out).drop(*temp))
 
 
 def cell_resolution(cell: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +66,23 @@ def scan_csv(spark, sf_dir):
     return _pings_out(ping_files.with_parsed_time(ping_files.scan_csv(spark, folder)))
 
 
+def _drifted_out(df: DataFrame) -> DataFrame:
+    named = ping_files.with_parsed_time(df).select(*given.PING_COLUMNS, F.col("sog").cast("bigint").alias("sog"))
+    return rounded(named, 7, "longitude", "latitude")
+
+
+@query
+def scan_csv_reordered(spark, sf_dir):
+    return _drifted_out(ping_files.scan_csv(spark, given.write_drifting_csv(spark, sf_dir, "drift")))
+
+
+@query
+def stream_schema_drift(spark, sf_dir):
+    folder = given.write_drifting_csv(spark, sf_dir, "drift")
+    checkpoint, path = scratch_path(spark, "drift-checkpoint"), scratch_path(spark, "drift-pings")
+    return _drifted_out(ingest.ingest_by_name(spark, folder, checkpoint, path, max_files_per_trigger=4))
+
+
 @query
 def schema_profile(spark, sf_dir):
     folder = given.write_csv(spark, sf_dir, "csv")
@@ -93,7 +111,14 @@ def feature_source(spark, sf_dir):
 
 @query
 def file_manifest(spark, sf_dir):
-    return listing.list_files(spark, sf_dir).select("name", "length")
+    """The given tables' files by name, each table with the rows read from its files."""
+    listed = listing.list_files(spark, sf_dir).select(F.regexp_extract("path", r"/([a-z]+)\.parquet(/|$)", 1).alias("table"), "path")
+    named = lambda name: F.col("_metadata.file_path").alias("path")
+    read = reduce(
+        DataFrame.unionByName, [spark.read.parquet(f"{sf_dir}/{t}.parquet").select(named(t), F.lit(t).alias("of")) for t in given.TABLES]
+    )
+    rows = read.groupBy("path", "of").agg(F.count(F.lit(1)).alias("rows"))
+    return listing.with_rows(listed.where(F.col("table").isin(*given.TABLES)), rows)
 
 
 @query
@@ -113,6 +138,17 @@ def write_overwrite(spark, sf_dir):
     return _pings_out(tables.replace_table(rows, table, path))
 
 
+@query
+def replace_self(spark, sf_dir):
+    """A table replaced by a selection from itself, read back through the catalog by another session."""
+    table, path = _table_name("pings"), scratch_path(spark, "pings")
+    tables.replace_table(given.pings(spark, sf_dir), table, path)
+    kept = spark.table(table).where(F.col("event_id") % 2 == 0).withColumn("_x", F.col("event_id") * 2)
+    replaced = tables.replace_table(kept, table, path)
+    tables.drop_old_versions(spark, path, replaced)
+    return rounded(spark.newSession().table(table).select(*given.PING_COLUMNS, "_x"), 7, "longitude", "latitude")
+
+
 @query
 def enrich_table(spark, sf_dir):
     folder = given.write_csv(spark, sf_dir, "csv")

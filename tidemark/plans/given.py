@@ -18,10 +18,13 @@ from pyspark.sql.types import StructType
 from tidemark.functions import geo
 from tidemark.operators.ports import project_ports
 from tidemark.session import scratch_path
-from tidemark.sources.archives import open_filesystem
+from tidemark.sources.files import open_filesystem
 
 PING_COLUMNS = ("event_id", "mmsi", "vessel_name", "ts", "longitude", "latitude")
 ROWS_PER_FILE = 50_000
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
 
 
 @cache
@@ -110,6 +113,24 @@ def write_csv(spark: SparkSession, sf_dir: str, label: str, files: int | None =
     return folder
 
 
+#: Column orders of the files that :func:`write_drifting_csv` writes; some lack a column, some have one more.
+DRIFTING_COLUMNS = (
+    ("event_id", "mmsi", "vessel_name", "base_date_time", "longitude", "latitude"),
+    ("mmsi", "base_date_time", "sog", "longitude", "latitude", "event_id", "vessel_name"),
+    ("latitude", "longitude", "event_id", "base_date_time", "mmsi"),
+)
+
+
+def write_drifting_csv(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """Folder of CSV files of all pings in three column orders, dealt by ``event_id``."""
+    folder = scratch_path(spark, label)
+    rows = ping_lines(spark, sf_dir).withColumn("sog", F.col("event_id") % 30)
+    for i, columns in enumerate(DRIFTING_COLUMNS):
+        part = rows.where(F.col("event_id") % len(DRIFTING_COLUMNS) == i).select(*columns)
+        part.write.option("header", "true").option("escape", '"').csv(f"{folder}/order{i}")
+    return folder
+
+
 def _csv_text(header: str):
     def line(row: tuple) -> str:
         return ",".join("" if v is None else repr(v) if isinstance(v, float) else str(v) for v in row)

@@ -10,6 +10,7 @@ import math
 
 from tidemark.functions import geo, hexgrid
 from tidemark.plans.catalogue import BBOX, LINK_BASE, LINK_SUFFIXES, ZONE_RADIUS_M, ZONE_VERTICES
+from tidemark.plans.given import TABLES
 
 VALID = "longitude IS NOT NULL AND latitude IS NOT NULL AND longitude BETWEEN -180 AND 180 AND latitude BETWEEN -90 AND 90"
 ALL_RESOLUTIONS = (6, 7, 8, 9)
@@ -280,7 +281,15 @@ def build() -> dict[str, str]:
     pings_only = with_(PINGS)
     lon7, lat7 = centroid("hex_res7", 7)
     lon9, lat9 = centroid("hex_res9", 9)
+    drifted = f"""{pings_only} SELECT event_id, mmsi, CASE WHEN event_id % 3 <> 2 THEN vessel_name END vessel_name,
+  date_trunc('second', ts) ts, round(longitude, 7) longitude, round(latitude, 7) latitude,
+  CASE WHEN event_id % 3 = 1 THEN event_id % 30 END sog FROM pings"""
+    counts = " UNION ALL ".join(f"SELECT '{t}' AS \"table\", 1::BIGINT files, count(*) \"rows\" FROM {t}" for t in TABLES)
     sql = {
+        "scan_csv_reordered": drifted,
+        "stream_schema_drift": drifted,
+        "file_manifest": counts,
+        "replace_self": f"{pings_only} SELECT {PINGS_FULL}, event_id * 2 AS _x FROM pings WHERE event_id % 2 = 0",
         "scan_pings": f"{pings_only} SELECT {PINGS_FULL} FROM pings",
         "schema_profile": f"{pings_only} {_profile()}",
         "feature_source": with_(PORTS, projection("ports", "plon", "plat", "pp", "pe", "pn"))

@@ -9,6 +9,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import put_aside
+from tidemark.session import scratch_path
+
 MORTON_BITS = 16
 
 
@@ -17,30 +20,60 @@ def create_schema(spark: SparkSession, name: str) -> None:
 
 
 def replace_table(df: DataFrame, table: str, path: str | None = None, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Drop and re-create a parquet table, schema included."""
+    """Re-create a parquet table, schema included.
+
+    The new rows are written beside the old ones before the name is given to them, so ``df`` may read the table
+    itself, and nothing is lost if the write fails. Old rows stay below ``path`` until :func:`drop_old_versions`.
+    """
     spark = df.sparkSession
+    version = _write_version(df, path or scratch_path(spark, "table"), partition_by)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(version).schema)
+    parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    writer = df.write.mode("overwrite").format("parquet").option("overwriteSchema", "true")
-    if path:
-        writer = writer.option("path", path)
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {parts} LOCATION '{version}'")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+        spark.sql(f"MSCK REPAIR TABLE {table}")
     return spark.table(table)
 
 
-def publish_version(df: DataFrame, root: str, view: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write a new version next to the older ones, then point the view at it.
-
-    ``df`` may read the current version: nothing it depends on is overwritten, and readers see either the
-    old or the complete new version.
-    """
-    spark = df.sparkSession
+def _write_version(df: DataFrame, root: str, partition_by: tuple[str, ...]) -> str:
+    """Write ``df`` to a folder of its own below ``root``, beside whatever ``df`` reads; returns the folder."""
     version = f"{root}/v-{uuid.uuid4().hex}"
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(version)
+    return version
+
+
+def drop_old_versions(spark: SparkSession, root: str, keep: DataFrame) -> list[str]:
+    """Delete the versions below ``root`` that hold none of the files ``keep`` reads; returns the folders deleted.
+
+    Only folders named like versions are touched. Readers of an older version must have ended.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    filesystem = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    used = [f for f in keep.inputFiles()]
+    found = [s.getPath() for s in filesystem.listStatus(hadoop) if s.isDirectory() and s.getPath().getName().startswith("v-")]
+    old = [p for p in found if not any(f"/{p.getName()}/" in f for f in used)]
+    for path in old:
+        filesystem.delete(path, True)
+    return [p.getName() for p in old]
+
+
+def publish_version(
+    df: DataFrame, root: str, view: str, partition_by: tuple[str, ...] = (), durable: bool = False
+) -> DataFrame:
+    """Write a new version next to the older ones, then point the view at it.
+
+    ``df`` may read the current version: nothing it depends on is overwritten, and readers see either the
+    old or the complete new version. A ``durable`` view is kept in the catalog and seen by every session.
+    """
+    spark = df.sparkSession
+    version = _write_version(df, root, partition_by)
+    if durable:
+        spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{version}`")
+        return spark.table(view)
     published = spark.read.parquet(version)
     published.createOrReplaceTempView(view)
     return published
@@ -119,7 +152,8 @@ def write_clustered(
     Ranges are cut on (key, row hash): a position holding a large share of all rows is spread over
     several files instead of filling one.
     """
-    keyed = df.withColumns({"_z": morton_key(F.col(lon), F.col(lat)), "_h": F.xxhash64(*df.columns)})
+    df, now, back = put_aside(df, "_[zh]")
+    keyed = df.withColumns({"_z": morton_key(F.col(now(lon)), F.col(now(lat))), "_h": F.xxhash64(*df.columns)})
     ranges = keyed.repartitionByRange(files, "_z", "_h") if files else keyed.repartitionByRange("_z", "_h")
-    ranges.sortWithinPartitions("_z").drop("_z", "_h").write.mode("errorifexists").parquet(path)
+    back(ranges.sortWithinPartitions("_z").drop("_z", "_h")).write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -1,8 +1,8 @@
 """CSV members of zip archives.
 
-Spark lists the archives, spreads (archive, member) pairs over tasks, and each task streams its member's
-lines; the JVM parses them with the same options as plain CSV. Nothing is extracted to disk and no member
-is held in memory as a whole. Member names are data, never paths.
+Spark lists the archives, spreads (archive, member) pairs over tasks by size, and each task streams its member's
+text in blocks; the JVM cuts and parses the lines with the same options as plain CSV. Nothing is extracted to disk
+and no member is held in memory as a whole. Member names are data, never paths.
 """
 
 from __future__ import annotations
@@ -12,26 +12,25 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import scratch_path
+from tidemark.sources.files import open_filesystem
 from tidemark.sources.listing import list_files
-from tidemark.sources.pings import csv_options
+from tidemark.sources.pings import by_name, csv_options, header_names, named_schema
 from tidemark.sources.schemas import CORRUPT_COLUMN, PING_FILE_SCHEMA, with_corrupt_column
 
 CHUNK_BYTES = 4 << 20
 
-_MEMBER_FIELDS = pa.schema([("path", pa.string()), ("member", pa.string()), ("member_bytes", pa.int64())])
-_LINE_FIELDS = pa.schema([("path", pa.string()), ("member", pa.string()), ("line", pa.string())])
+_MEMBER_FIELDS = pa.schema([("path", pa.string()), ("member", pa.string()), ("member_bytes", pa.int64()), ("header", pa.string())])
+_TEXT_FIELDS = pa.schema([("path", pa.string()), ("member", pa.string()), ("header", pa.string()), ("text", pa.string())])
 
 
-def open_filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    """File system and name in it, for a path as Spark reports it or a plain absolute path."""
-    if path.startswith("file:/") and not path.startswith("file://"):
-        path = "file://" + path.removeprefix("file:")
-    return pafs.FileSystem.from_uri(path)
+def _header_line(archive: zipfile.ZipFile, member: str) -> str:
+    with archive.open(member) as stream:
+        return stream.readline().decode("utf-8-sig", "replace").rstrip("\r\n")
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -39,66 +38,79 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path in batch.column("path").to_pylist():
             filesystem, name = open_filesystem(path)
             with filesystem.open_input_file(name) as handle, zipfile.ZipFile(handle) as archive:
-                found = [(path, m.filename, m.file_size) for m in archive.infolist() if m.filename.endswith(".csv")]
-            columns = list(zip(*found)) or [(), (), ()]
+                csvs = [m for m in archive.infolist() if m.filename.endswith(".csv")]
+                found = [(path, m.filename, m.file_size, _header_line(archive, m.filename)) for m in csvs]
+            columns = list(zip(*found)) or [(), (), (), ()]
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _MEMBER_FIELDS)], schema=_MEMBER_FIELDS)
 
 
-def _line_chunks(stream) -> Iterator[list[str]]:
+def _text_blocks(stream) -> Iterator[str]:
+    """A stream's text in blocks of whole lines."""
     decode = codecs.getincrementaldecoder("utf-8-sig")(errors="replace").decode
     rest = ""
     while chunk := stream.read(CHUNK_BYTES):
-        *lines, rest = (rest + decode(chunk)).split("\n")
-        yield lines
+        block, cut, tail = (rest + decode(chunk)).rpartition("\n")
+        if cut:
+            yield block
+        rest = tail
     rest += decode(b"", final=True)
     if rest:
-        yield [rest]
-
-
-def _lines(expected: list[str]):
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, member in zip(batch.column("path").to_pylist(), batch.column("member").to_pylist()):
-                filesystem, name = open_filesystem(path)
-                with (
-                    filesystem.open_input_file(name) as handle,
-                    zipfile.ZipFile(handle) as archive,
-                    archive.open(member) as stream,
-                ):
-                    header = None
-                    for lines in _line_chunks(stream):
-                        lines = [line.removesuffix("\r") for line in lines]
-                        if header is None and lines:
-                            header = [c.strip().strip('"').lower() for c in lines[0].split(",")]
-                            if header != expected:
-                                raise ValueError(f"{path}!{member}: header {header}, expected {expected}")
-                            lines = lines[1:]
-                        lines = [line for line in lines if line]
-                        size = len(lines)
-                        yield pa.record_batch(
-                            [pa.array([path] * size), pa.array([member] * size), pa.array(lines, pa.string())],
-                            schema=_LINE_FIELDS,
-                        )
-
-    return read
+        yield rest
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each member's text behind its header line, in blocks; the JVM cuts the lines."""
+    for batch in batches:
+        for path, member, header in zip(*(batch.column(c).to_pylist() for c in ("path", "member", "header"))):
+            filesystem, name = open_filesystem(path)
+            with filesystem.open_input_file(name) as handle, zipfile.ZipFile(handle) as archive, archive.open(member) as stream:
+                stream.readline()
+                for block in _text_blocks(stream):
+                    yield pa.record_batch([pa.array([x], pa.string()) for x in (path, member, header, block)], schema=_TEXT_FIELDS)
 
 
 def list_members(spark: SparkSession, folder: str) -> DataFrame:
-    """``path, member, member_bytes`` of the CSV members of every zip archive below a folder."""
+    """``path, member, member_bytes, header`` of the CSV members of every zip archive below a folder."""
     archives = list_files(spark, folder, "*.zip").select("path")
-    return archives.mapInArrow(_members, "path string, member string, member_bytes bigint")
+    return archives.mapInArrow(_members, "path string, member string, member_bytes bigint, header string")
+
+
+def dealt_members(members: DataFrame, tasks: int | None = None) -> DataFrame:
+    """``members`` (kept, as it is read more than once) in partitions of about equal bytes, one for each if not told.
+
+    Members are numbered by size and dealt in turn, forwards and backwards, so that a partition's large members
+    stand with small ones. The number of partitions is explicit, which adaptive execution leaves alone.
+    """
+    tasks = tasks or max(1, members.count())
+    place = F.row_number().over(Window.orderBy(F.desc("member_bytes"), "path", "member")) - 1  # a row per member
+    lap, seat = F.floor(place / tasks), place % tasks
+    dealt = members.withColumn("_part", F.when(lap % 2 == 0, seat).otherwise(tasks - 1 - seat).cast("int"))
+    return dealt.repartitionById(tasks, F.col("_part")).drop("_part")
 
 
 def scan_zip(
     spark: SparkSession, folder: str, schema: T.StructType = PING_FILE_SCHEMA, tasks: int | None = None
 ) -> DataFrame:
-    """Rows of all CSV members, with ``path, member`` and ``corrupt_record`` for lines that do not fit."""
-    members = list_members(spark, folder).select("path", "member")
-    keys = ["path", "member"]
-    members = members.repartition(tasks, *keys) if tasks else members.repartition(*keys)
-    lines = members.mapInArrow(_lines([n.lower() for n in schema.names]), "path string, member string, line string")
-    full = with_corrupt_column(schema)
-    options = csv_options(full) | {"header": "false"}
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in full)
-    parsed = lines.select("path", "member", F.from_csv("line", ddl, options).alias("r"))
-    return parsed.select("path", "member", *[F.col(f"r.{n}") for n in schema.names], F.col(f"r.{CORRUPT_COLUMN}"))
+    """Rows of all CSV members, with ``path, member`` and ``corrupt_record`` for lines that do not fit.
+
+    Columns are found by the names in each member's header; those that a member lacks are NULL, and others than the
+    schema's follow as text.
+    """
+    listing = scratch_path(spark, "members")
+    list_members(spark, folder).write.parquet(listing)
+    members = spark.read.parquet(listing).where(F.trim("header") != "")
+    headers = [r["header"] for r in members.select("header").distinct().orderBy("header").collect()]
+    texts = dealt_members(members, tasks).mapInArrow(_texts, "path string, member string, header string, text string")
+    line = F.explode(F.split("text", "\r?\n"))
+    lines = texts.select("path", "member", "header", line.alias("line")).where(F.rtrim("line", F.lit("\r")) != "")
+    lines = lines.withColumn("line", F.rtrim("line", F.lit("\r")))
+    frames = []
+    for header in headers:
+        full = with_corrupt_column(named_schema(header_names(header), schema))
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full)
+        own = lines.where(F.col("header") == header) if len(headers) > 1 else lines
+        parsed = own.select("path", "member", F.from_csv("line", ddl, csv_options(full) | {"header": "false"}).alias("r"))
+        frames.append(parsed.select("path", "member", "r.*"))
+    place = T.StructType([T.StructField("path", T.StringType()), T.StructField("member", T.StringType())])
+    whole = T.StructType([*place, *schema])
+    return by_name(frames or [spark.createDataFrame([], with_corrupt_column(whole))], whole)

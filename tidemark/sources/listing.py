@@ -29,3 +29,15 @@ def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> Dat
         "length",
         F.col("modificationTime").alias("modification_time"),
     )
+
+
+def with_rows(files: DataFrame, rows: DataFrame) -> DataFrame:
+    """``table, files, rows``: how many files of each table are listed, and the rows read from them.
+
+    ``files`` has ``table, path``; ``rows`` has ``path, rows`` of the files that were read. Paths are compared from
+    the table's name on, as listings and readers may spell a scheme differently. A file without rows counts with 0.
+    """
+    short = lambda path: F.regexp_extract(path, r"([^/]+\.parquet(?:/.*)?)$", 1)
+    counted = rows.select(short("path").alias("_read"), "rows")
+    joined = files.join(counted, short("path") == F.col("_read"), "left")
+    return joined.groupBy("table").agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))

@@ -11,9 +11,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import geo, hexgrid
-from tidemark.sources.pings import CSV_GLOB, csv_options, with_parsed_time
+from tidemark.functions.columns import put_aside
+from tidemark.sources.pings import CSV_GLOB, csv_options, scan_csv_files, with_parsed_time
 from tidemark.sources.schemas import PING_FILE_SCHEMA
 
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def stored_schema(spark: SparkSession, landing: str, location: str, infer_types: bool = False) -> T.StructType:
     """Schema of the landing files: taken from ``location``, or inferred once and kept there.
@@ -39,11 +42,14 @@ def read_stream(
     max_files_per_trigger: int | None = None,
     archive_dir: str | None = None,
 ) -> DataFrame:
-    """Unbounded DataFrame over ping files as they land.
+    """Unbounded DataFrame over ping files as they land. A file whose header differs from ``schema`` ends the query.
+
+    :func:`ingest_by_name` takes files of any column order instead.
 
     ``max_files_per_trigger`` releases files gradually; ``archive_dir`` moves files away once read.
     """
     reader = spark.readStream.schema(schema).options(**csv_options(schema)).option("pathGlobFilter", CSV_GLOB)
+    reader = reader.option("enforceSchema", "false")
     reader = reader.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -52,6 +58,42 @@ def read_stream(
     return reader.csv(landing)
 
 
+def ingest_by_name(
+    spark: SparkSession,
+    landing: str,
+    checkpoint: str,
+    path: str,
+    schema: T.StructType = PING_FILE_SCHEMA,
+    max_files_per_trigger: int | None = None,
+    keep_corrupt: bool = True,
+) -> DataFrame:
+    """Append the landing files not seen yet to a parquet folder, columns found by each file's header; returns it.
+
+    The stream carries file names only. Each batch's files are read as :func:`scan_csv` reads them, so reordered,
+    missing and added columns are handled by name, and written to a folder named after the batch, which a repeated
+    batch replaces. Columns beyond the schema differ from batch to batch and are merged when the folder is read.
+    """
+    names = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", CSV_GLOB)
+    names = names.option("recursiveFileLookup", "true")
+    if max_files_per_trigger:
+        names = names.option("maxFilesPerTrigger", str(max_files_per_trigger))
+
+    def append(files: DataFrame, batch: int) -> None:
+        rows = scan_csv_files(files.sparkSession, files, schema, keep_corrupt)
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    query = (
+        names.load(landing)
+        .select("path")
+        .writeStream.foreachBatch(append)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.option("mergeSchema", "true").parquet(path).drop("batch")
+
+
 def enriched(
     pings: DataFrame,
     resolutions: tuple[int, ...] = hexgrid.INGEST_RESOLUTIONS,
@@ -59,10 +101,11 @@ def enriched(
     lat: str = "latitude",
 ) -> DataFrame:
     """Append point, validity and cells; usable on batch and streaming input alike."""
-    x, y = F.col(lon).try_cast("double"), F.col(lat).try_cast("double")
+    pings, now, back = put_aside(pings, "_lon|_lat")
+    x, y = F.col(now(lon)).try_cast("double"), F.col(now(lat)).try_cast("double")
     located = pings.withColumns({"point_geom": geo.point(x, y), "is_valid_geom": geo.is_valid_lonlat(x, y)})
     located = hexgrid.add_cells(located.withColumns({"_lon": x, "_lat": y}), resolutions, "_lon", "_lat")
-    return located.drop("_lon", "_lat")
+    return back(located.drop("_lon", "_lat"))
 
 
 def ingest(
