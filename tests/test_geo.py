@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,6 +26,22 @@ def test_projection_check_value(spark):
     assert (row["easting"], row["northing"]) == pytest.approx((361694.859, 5503334.002), abs=1e-3)
 
 
+def test_published_positions(spark):
+    """A tower in zone 17 from a public gazetteer; lengths of the meridian on the ellipsoid, times the scale factor."""
+    rows = [(-79.387139, 43.642567, 17, 630084.0, 4833438.0), (3.0, 45.0, 31, 500000.0, 0.9996 * 4984944.378), (9.0, 89.999999999, 32, 500000.0, 0.9996 * 10001965.729)]
+    for lon, lat, zone, east, north in rows:
+        row = geo.add_utm(points(spark, [(lon, lat)]), "longitude", "latitude", zone).first()
+        assert (row["easting"], row["northing"]) == pytest.approx((east, north), abs=1.0)
+
+
+def test_six_resolutions_stay_below_the_compilers_limit(spark, sf_dir):
+    pings = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("value").alias("longitude"), F.col("value").alias("latitude"))
+    for resolutions in ((6, 7, 8), (6, 7, 8, 9), (6, 7, 8, 9, 10, 11)):
+        cells = hexgrid.add_cells(pings, resolutions)
+        text = spark._jvm.PythonSQLUtils.explainString(cells._jdf.queryExecution(), "codegen")
+        assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text))) < 8000
+
+
 def test_central_meridian_maps_to_false_easting(spark):
     row = geo.add_utm(points(spark, [(-123.0, 0.0)]), "longitude", "latitude", 10).first()
     assert (row["easting"], row["northing"]) == pytest.approx((500000.0, 0.0), abs=1e-6)

@@ -211,3 +211,16 @@ def test_table_by_name_or_folder(spark, tmp_path):
     spark.range(5).createOrReplaceTempView("five")
     assert pings.scan_table(spark, str(tmp_path / "t")).count() == 3
     assert pings.scan_table(spark, "five").count() == 5
+
+
+def test_feature_folders_that_are_missing_or_empty(spark, tmp_path):
+    with pytest.raises(Exception, match="no feature files"):
+        features.read_features(spark, str(tmp_path / "none"), "ports").collect()
+    assert features.read_features(spark, str(tmp_path), "ports").count() == 0
+
+
+def test_points_of_either_byte_order(spark):
+    rows = [(struct.pack("<BIdd", 1, 1, 1.5, 2.5),), (None,), (struct.pack(">BIdd", 0, 1, 3.5, -4.5),)]
+    found = features.with_point_xy(spark.createDataFrame(rows, "geometry binary"))
+    assert {(r["easting"], r["northing"]) for r in found.collect()} == {(1.5, 2.5), (None, None), (3.5, -4.5)}
+    assert features.epsg_of({"crs": None}) == 4326

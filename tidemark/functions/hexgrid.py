@@ -54,12 +54,16 @@ def _axial(x: str, y: str, resolution: int) -> tuple[str, str]:
     return f"{double(math.sqrt(3) / (3 * side))} * {x} - {y} * {third}", f"2D * {y} * {third}"
 
 
-def _nearest(q: str, r: str, rq: str, rr: str, rs: str, resolution: int) -> str:
-    """Cell id from fractional axes and the three rounded cube axes: the worst rounded one is derived."""
+def _worst(q: str, r: str, rq: str, rr: str, rs: str) -> str:
+    """Which rounded cube axis is furthest from the exact one: 1 for q, 2 for r, 0 for the third."""
     dq, dr, ds = f"abs({rq} - {q})", f"abs({rr} - {r})", f"abs({rs} + {q} + {r})"
-    q_is_worst, r_is_worse = f"({dq} > {dr} AND {dq} > {ds})", f"{dr} > {ds}"
-    fixed_q = f"CASE WHEN {q_is_worst} THEN -{rr} - {rs} ELSE {rq} END"
-    fixed_r = f"CASE WHEN NOT {q_is_worst} AND {r_is_worse} THEN -{rq} - {rs} ELSE {rr} END"
+    return f"CASE WHEN {dq} > {dr} AND {dq} > {ds} THEN 1 WHEN {dr} > {ds} THEN 2 ELSE 0 END"
+
+
+def _nearest(rq: str, rr: str, rs: str, worst: str, resolution: int) -> str:
+    """Cell id from the rounded cube axes, the worst of which is derived from the others."""
+    fixed_q = f"if({worst} = 1, -{rr} - {rs}, {rq})"
+    fixed_r = f"if({worst} = 2, -{rq} - {rs}, {rr})"
     return (
         f"{resolution * (1 << 2 * AXIS_BITS)}L"
         f" + (CAST({fixed_q} AS BIGINT) + {AXIS_OFFSET}L) * {1 << AXIS_BITS}L"
@@ -75,19 +79,20 @@ def add_cells(
     Each resolution starts from the point itself. The work is spread over stacked projections so that no
     intermediate is evaluated twice.
     """
-    df, now, back = put_aside(df, r"_[xy]|_(q|r|rq|rr|rs)\d+")
+    df, now, back = put_aside(df, r"_[xy]|_(q|r|rq|rr|rs|w)\d+")
     lon, lat = now(lon), now(lat)
     usable = is_valid_lonlat(F.col(lon), F.col(lat))
     x, y = _plane(f"`{lon}`", f"`{lat}`")
     staged = df.withColumns({"_x": F.when(usable, F.expr(x)), "_y": F.when(usable, F.expr(y))})
-    raw, whole, out, temp = {}, {}, {}, ["_x", "_y"]
+    raw, whole, worst, out, temp = {}, {}, {}, {}, ["_x", "_y"]
     for res in resolutions:
-        q, r, rq, rr, rs = (f"_{axis}{res}" for axis in ("q", "r", "rq", "rr", "rs"))
+        q, r, rq, rr, rs, w = (f"_{axis}{res}" for axis in ("q", "r", "rq", "rr", "rs", "w"))
         raw[q], raw[r] = (F.expr(axis) for axis in _axial("_x", "_y", res))
         whole |= {rq: F.expr(f"rint({q})"), rr: F.expr(f"rint({r})"), rs: F.expr(f"rint(-{q} - {r})")}
-        out[f"{prefix}{res}"] = F.expr(_nearest(q, r, rq, rr, rs, res))
-        temp += [q, r, rq, rr, rs]
-    return back(staged.withColumns(raw).withColumns(whole).withColumns(out).drop(*temp))
+        worst[w] = F.expr(_worst(q, r, rq, rr, rs))
+        out[f"{prefix}{res}"] = F.expr(_nearest(rq, rr, rs, w, res))
+        temp += [q, r, rq, rr, rs, w]
+    return back(staged.withColumns(raw).withColumns(whole).withColumns(worst).withColumns(out).drop(*temp))
 
 
 def cell_resolution(cell: Column) -> Column:

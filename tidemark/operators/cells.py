@@ -100,13 +100,15 @@ def describe_values(df: DataFrame, column: str) -> DataFrame:
     the distinct values.
     """
     histogram = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    # deviations are taken from about the mean, so large values do not cancel
+    middle = df.agg(F.avg(F.col(column).cast("double"))).scalar()
     value, weight = F.col(column).cast("double"), F.col("_n")
-    total = F.sum(weight)
-    mean = F.sum(value * weight) / total
-    spread = F.sum(value * value * weight) - F.sum(value * weight) * F.sum(value * weight) / total
+    histogram = histogram.withColumn("_off", value - middle)
+    total, off = F.sum(weight), F.col("_off")
+    spread = F.sum(off * off * weight)
     return histogram.agg(
         total.alias("count"),
-        mean.alias("mean"),
+        (F.sum(value * weight) / total).alias("mean"),
         F.when(total > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (total - 1))).alias("std"),
         F.min(column).cast("double").alias("min"),
         F.percentile(column, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), weight).alias("_q"),

@@ -14,12 +14,16 @@ import struct
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tidemark.sources.files import open_filesystem
+
 SUFFIXES = (".geojson", ".geojsonl", ".zip")
 FEATURE_SCHEMA = T.StructType(
     [
@@ -32,6 +36,7 @@ DEFAULT_CRS = 4326
 
 # Well-known-binary type codes (fixed values).
 WKB_POINT, WKB_LINESTRING, WKB_POLYGON = 1, 2, 3
+POINT_BYTES = 21
 
 
 def to_wkb(geometry: dict | None) -> bytes | None:
@@ -55,7 +60,7 @@ def to_wkb(geometry: dict | None) -> bytes | None:
 
 def epsg_of(document: dict) -> int:
     """EPSG code of the ``crs`` member, or 4326 when there is none."""
-    name = document.get("crs", {}).get("properties", {}).get("name")
+    name = ((document.get("crs") or {}).get("properties") or {}).get("name")
     if name is None or name.endswith("CRS84"):
         return DEFAULT_CRS
     code = re.search(r"EPSG:+(?:[\d.]*:)?(\d+)$", name)
@@ -78,21 +83,27 @@ class FeatureReader(DataSourceReader):
                 raise ValueError(f"option '{name}' is required")
 
     def partitions(self) -> list[FeatureFile]:
-        root = self.folder.removeprefix("file://").removeprefix("file:")
-        found = [os.path.join(d, f) for d, _, files in os.walk(root) for f in files if f.endswith(SUFFIXES)]
-        return [FeatureFile(path) for path in sorted(found)]
+        filesystem, root = open_filesystem(self.folder)
+        if filesystem.get_file_info(root).type == pafs.FileType.NotFound:
+            raise FileNotFoundError(f"no feature files at {self.folder}")
+        listed = filesystem.get_file_info(pafs.FileSelector(root, recursive=True))
+        scheme = self.folder.partition("://")[0] + "://" if "://" in self.folder else ""
+        paths = sorted(info.path for info in listed if info.path.endswith(SUFFIXES))
+        return [FeatureFile(path if path.startswith("/") and not scheme else scheme + path) for path in paths] or [FeatureFile("")]
 
     def read(self, partition: FeatureFile) -> Iterator[tuple[bytes, int, str]]:
-        path = partition.path
-        if not path.endswith(".zip"):
-            with open(path, "rb") as stream:
-                yield from self._features(path, stream)
+        if not partition.path:  # an empty folder
             return
-        with zipfile.ZipFile(path) as archive:
-            for member in archive.namelist():
-                if member.endswith(SUFFIXES[:2]):
-                    with archive.open(member) as stream:
-                        yield from self._features(member, stream)
+        filesystem, path = open_filesystem(partition.path)
+        with filesystem.open_input_file(path) as handle:
+            if not path.endswith(".zip"):
+                yield from self._features(path, handle)
+                return
+            with zipfile.ZipFile(handle) as archive:
+                for member in archive.namelist():
+                    if member.endswith(SUFFIXES[:2]):
+                        with archive.open(member) as stream:
+                            yield from self._features(member, stream)
 
     def _features(self, name: str, stream) -> Iterator[tuple[bytes, int, str]]:
         stem = os.path.basename(name).rsplit(".", 1)[0]
@@ -130,16 +141,20 @@ def read_features(spark: SparkSession, path: str, layer_name: str) -> DataFrame:
 def wkb_point_xy(geometry: pd.Series) -> pd.DataFrame:
     """Coordinates of point geometries; NULL for NULL, an error for any other type."""
 
-    def xy(wkb: bytes | None) -> tuple[float | None, float | None]:
-        if wkb is None:
-            return None, None
-        order = "<" if wkb[0] == 1 else ">"
-        code, x, y = struct.unpack(f"{order}Idd", wkb[1:21])
-        if code != WKB_POINT:
-            raise ValueError(f"expected a point, got geometry type {code}")
-        return x, y
-
-    return pd.DataFrame([xy(g) for g in geometry], columns=["x", "y"], dtype="float64")
+    out = np.full((len(geometry), 2), np.nan)
+    known = np.flatnonzero(geometry.notna().to_numpy())
+    raw = [bytes(g) for g in geometry.iloc[known]]
+    wrong = [g for g in raw if len(g) != POINT_BYTES]
+    if wrong:
+        raise ValueError(f"expected a point, got geometry type {struct.unpack('<I' if wrong[0][0] == 1 else '>I', wrong[0][1:5])[0]}")
+    for flag, order in ((1, "<"), (0, ">")):
+        layout = np.dtype([("order", "u1"), ("code", f"{order}u4"), ("x", f"{order}f8"), ("y", f"{order}f8")])
+        points = np.frombuffer(b"".join(raw), dtype=layout)
+        own = points["order"] == flag
+        if (points["code"][own] != WKB_POINT).any():
+            raise ValueError(f"expected a point, got geometry type {points['code'][own].max()}")
+        out[known[own], 0], out[known[own], 1] = points["x"][own], points["y"][own]
+    return pd.DataFrame(out, columns=["x", "y"])
 
 
 def with_point_xy(features: DataFrame, x: str = "easting", y: str = "northing") -> DataFrame:
