@@ -98,13 +98,15 @@ def add_utm(
     df: DataFrame,
     lon: str,
     lat: str,
-    zone: int,
+    zone: int | str,
     easting: str = "easting",
     northing: str = "northing",
     valid_only: bool = False,
 ) -> DataFrame:
     """Append projected metres: for every row of ``df`` if it holds valid points only, else NULL where invalid.
 
+    ``zone`` is a number for all rows, or the name of a column with each row's zone.
+
     Stacked projections evaluate each intermediate once, and the multiple angles of the series follow from
     the double ones by the addition theorems. With ``valid_only`` the results are declared free of NULLs
     (the coalesce never fires): a join or filter on them then gives the optimizer no IS NOT NULL test to
@@ -112,7 +114,8 @@ def add_utm(
     """
     df, now, back = put_aside(df, r"_(lon|lat|sin_phi|delta|t|xi|eta|up|(s|c|sh|ch)[246])")
     lon, lat = now(lon), now(lat)
-    middle, e = double(central_meridian(zone)), double(ECCENTRICITY)
+    middle = double(central_meridian(zone)) if isinstance(zone, int) else f"(`{now(zone)}` * 6D - 183D)"
+    e = double(ECCENTRICITY)
     k0a = double(SCALE_FACTOR * RECTIFYING_RADIUS_M)
     usable = is_valid_lonlat(F.col(lon), F.col(lat)) & (F.abs(F.col(lat)) < 90.0)
     inputs = {"_lon": F.col(lon), "_lat": F.col(lat)}

@@ -33,10 +33,25 @@ def without_size(ports: DataFrame, excluded: str = "Very Small", column: str = "
     return ports.filter(~(F.col(column) == F.lit(excluded)))
 
 
-def project_ports(ports: DataFrame, zone: int, lon: str = "plon", lat: str = "plat") -> DataFrame:
-    """Valid ports with their position in the projected plane."""
+#: Degrees from a zone's central meridian up to which a plane position is taken for a distance.
+ZONE_REACH_DEG = 4.0
+
+
+def project_ports(ports: DataFrame, zone: int | None, lon: str = "plon", lat: str = "plat") -> DataFrame:
+    """Valid ports with their position in the projected plane and its ``port_zone``.
+
+    Without ``zone`` each port is projected in its own. With one, a port too far from it for distances to hold is an
+    error rather than a wrong distance.
+    """
     usable = ports.filter(geo.is_valid_lonlat(F.col(lon), F.col(lat)))
-    return geo.add_utm(usable, lon, lat, zone, "port_e", "port_n", valid_only=True)
+    if zone is None:
+        own = F.least(F.lit(60), (F.floor((F.col(lon) + 180.0) / 6.0) + 1).cast("int"))
+    else:
+        far = F.abs(F.col(lon) - geo.central_meridian(zone)) > ZONE_REACH_DEG
+        message = F.format_string(f"port at longitude %s is outside UTM zone {zone}", F.col(lon).cast("string"))
+        own = F.when(far, F.raise_error(message).cast("int")).otherwise(F.lit(zone))
+    placed = usable.withColumn("port_zone", own)
+    return geo.add_utm(placed, lon, lat, zone or "port_zone", "port_e", "port_n", valid_only=True)
 
 
 def reproject_features(features: DataFrame, zone: int) -> DataFrame:

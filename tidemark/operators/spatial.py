@@ -40,12 +40,14 @@ def pings_in_ports(
     pings: DataFrame,
     ports: DataFrame,
     radius_m: float = geo.NAUTICAL_MILE_M,
-    zone: int = 10,
+    zone: int | None = 10,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Every (ping, port) pair no further apart than ``radius_m`` in the projected plane.
 
+    Without ``zone`` a pair is measured in the zone of its port, so ports may lie anywhere.
+
     ``pings`` has longitude and latitude; ``ports`` has port_id, port_name, plon, plat. The grid is in
     degrees, as wide as the widest port box: a ping lies in one square, a port box in at most 2 x 2, so
     each pair meets once. Pings in a square without any port drop out in a semi-join before the
@@ -63,15 +65,20 @@ def pings_in_ports(
     columns = square(F.col("x0"), area.width), square(F.col("x1"), area.width)
     rows = square(F.col("y0"), area.height), square(F.col("y1"), area.height)
     filed = projected.select(
-        "port_id", "port_name", "port_e", "port_n", "y0", "y1", F.explode(F.sequence(*columns)).alias("_gx")
-    ).select("port_id", "port_name", "port_e", "port_n", "_gx", F.explode(F.sequence(*rows)).alias("_gy"))
+        "port_id", "port_name", "port_e", "port_n", "port_zone", "y0", "y1", F.explode(F.sequence(*columns)).alias("_gx")
+    ).select("port_id", "port_name", "port_e", "port_n", "port_zone", "_gx", F.explode(F.sequence(*rows)).alias("_gy"))
     nearby = port_ops.within_bounds(pings, area).withColumns(
         {"_gx": square(F.col("longitude"), area.width), "_gy": square(F.col("latitude"), area.height)}
     )
-    if area.ports <= broadcast_max_rows:
-        nearby = nearby.join(F.broadcast(filed.select("_gx", "_gy")), ["_gx", "_gy"], "left_semi")
-    located = geo.add_utm(nearby, "longitude", "latitude", zone, valid_only=True)
-    matched = _join_on_cell(located, filed, ["_gx", "_gy"], area.ports, broadcast_max_rows, salts)
+    squares = filed.select("_gx", "_gy").distinct()
+    squares = F.broadcast(squares) if area.ports <= broadcast_max_rows else squares
+    nearby = nearby.join(squares, ["_gx", "_gy"], "left_semi")
+    if zone is None:
+        pairs = _join_on_cell(nearby, filed, ["_gx", "_gy"], area.ports, broadcast_max_rows, salts)
+        matched = geo.add_utm(pairs, "longitude", "latitude", "port_zone", valid_only=True)
+    else:
+        located = geo.add_utm(nearby, "longitude", "latitude", zone, valid_only=True)
+        matched = _join_on_cell(located, filed, ["_gx", "_gy"], area.ports, broadcast_max_rows, salts)
     de = F.col("easting") - F.col("port_e")
     dn = F.col("northing") - F.col("port_n")
     within = de * de + dn * dn <= F.lit(float(radius_m) ** 2)

@@ -109,6 +109,22 @@ def feature_source(spark, sf_dir):
     return rounded(named.select("port_id", "crs", "easting", "northing"), 3, "easting", "northing")
 
 
+def _feature_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = features.read_features(spark, given.write_port_features(spark, sf_dir, "features"), "ports")
+    return flows.ports_from_features(features.with_point_xy(found), ZONE)
+
+
+@query
+def ports_from_features(spark, sf_dir):
+    placed = rounded(_feature_ports(spark, sf_dir), 3, "easting", "northing")
+    return rounded(placed, 6, "plon", "plat", "LAT", "LON")
+
+
+@query
+def od_matrix_from_features(spark, sf_dir):
+    return flows.od_matrix(given.pings(spark, sf_dir), _feature_ports(spark, sf_dir), zone=ZONE)
+
+
 @query
 def file_manifest(spark, sf_dir):
     """The given tables' files by name, each table with the rows read from its files."""
@@ -263,6 +279,16 @@ def pings_in_ports(spark, sf_dir):
     return _in_port(spark, sf_dir).select("event_id", "mmsi", "vessel_name", "ts", "port_id", "port_name")
 
 
+@query
+def pings_in_ports_two_zones(spark, sf_dir):
+    """Every second row of ports, and the pings around it, one UTM zone further east: the same pairs must be found."""
+    row = lambda lat: F.floor((F.col(lat) - 46.9) / 0.6) % 2 * 6.0
+    all_ports = given.ports(spark, sf_dir).withColumn("plon", F.col("plon") + row("plat"))
+    rows = given.pings(spark, sf_dir).withColumn("longitude", F.col("longitude") + row("latitude"))
+    found = flows.in_port_pings(rows, all_ports, zone=None)
+    return found.select("event_id", "mmsi", "vessel_name", "ts", "port_id", "port_name")
+
+
 @query
 def pings_in_zones(spark, sf_dir):
     projected = ports.project_ports(given.ports(spark, sf_dir), ZONE)

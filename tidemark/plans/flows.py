@@ -17,30 +17,43 @@ def map_cells(pings: DataFrame, resolution: int) -> DataFrame:
 
 
 def in_port_pings(
-    pings: DataFrame, all_ports: DataFrame, radius_m: float = geo.NAUTICAL_MILE_M, zone: int = 10
+    pings: DataFrame, all_ports: DataFrame, radius_m: float = geo.NAUTICAL_MILE_M, zone: int | None = 10
 ) -> DataFrame:
-    """Pings within the radius of a port that is not very small."""
+    """Pings within the radius of a port that is not very small; ``zone`` None: each pair in its port's zone."""
     return spatial.pings_in_ports(pings, ports.without_size(all_ports), radius_m, zone)
 
 
-def stays(pings: DataFrame, all_ports: DataFrame, **options) -> DataFrame:
+def stays(
+    pings: DataFrame, all_ports: DataFrame, radius_m: float = geo.NAUTICAL_MILE_M, zone: int | None = 10, **options
+) -> DataFrame:
     """Port stays; ``options`` go to the session rule."""
     columns = pings.select("mmsi", "vessel_name", "ts", "longitude", "latitude")
-    return voyages.port_stays(in_port_pings(columns, all_ports), **options)
+    return voyages.port_stays(in_port_pings(columns, all_ports, radius_m, zone), **options)
 
 
-def od_matrix(pings: DataFrame, all_ports: DataFrame) -> DataFrame:
+def od_matrix(
+    pings: DataFrame, all_ports: DataFrame, radius_m: float = geo.NAUTICAL_MILE_M, zone: int | None = 10, **options
+) -> DataFrame:
     """Journeys between ports, busiest first."""
-    return voyages.od_matrix(voyages.journeys(stays(pings, all_ports)))
+    return voyages.od_matrix(voyages.journeys(stays(pings, all_ports, radius_m, zone, **options)))
 
 
 def ports_from_features(features: DataFrame, zone: int) -> DataFrame:
-    """Feature rows with decoded points and expanded properties to a WGS84 port table."""
+    """Feature rows with decoded points to a port table: all properties, the projected and the WGS84 position.
+
+    ``port_id, port_name, size, plon, plat`` are what the joins need; ``easting, northing`` and the eleven properties
+    follow under their own names.
+    """
     expanded = ports.expand_properties(features, ports.PORT_PROPERTIES_SAMPLE)
-    return ports.reproject_features(expanded, zone).select(
-        F.col("OID").alias("port_id"),
+    named = ports.reproject_features(expanded, zone)
+    properties = [c for c in expanded.columns if c not in ("geometry", "crs", "easting", "northing")]
+    return named.select(
+        F.col("OID").cast("double").cast("bigint").alias("port_id"),
         F.col("PORT").alias("port_name"),
-        F.col("SIZE").alias("size"),
+        F.col("SIZE").alias("port_size"),
         "plon",
         "plat",
-    )
+        "easting",
+        "northing",
+        *[c for c in properties if c.lower() != "size"],
+    ).withColumnRenamed("port_size", "size")

@@ -219,8 +219,14 @@ def write_port_features(spark: SparkSession, sf_dir: str, label: str, layer: str
         F.struct(F.lit("Point").alias("type"), F.array("port_e", "port_n").alias("coordinates")).alias("geometry"),
         F.struct(
             F.col("port_id").cast("string").alias("OID"),
+            (F.col("port_id") * 10).cast("string").alias("WPIN"),
+            F.concat(F.lit("Region "), F.col("port_id") % 5).alias("REGION"),
             F.col("port_name").alias("PORT"),
+            F.concat(F.lit("XX "), F.col("port_id")).alias("UN_LOCODE"),
+            F.lower("port_name").alias("COUNTRY"),
+            F.lit("Sea").alias("WORLD_WATE"),
             F.col("size").alias("SIZE"),
+            F.when(F.col("port_id") % 2 == 0, "Coastal").alias("TYPE"),
             F.col("plat").alias("LAT"),
             F.col("plon").alias("LON"),
         ).alias("properties"),

@@ -325,6 +325,13 @@ def build() -> dict[str, str]:
         "valid_points": f"{pings_only} SELECT {PINGS_FULL} FROM pings WHERE {VALID}",
         "sample_rows": f"{pings_only} SELECT {PINGS_FULL} FROM pings ORDER BY event_id LIMIT 10",
         "pings_in_ports": with_(IN_PORT) + " SELECT * FROM in_port",
+        "pings_in_ports_two_zones": with_(IN_PORT) + " SELECT * FROM in_port",
+        "od_matrix_from_features": with_(OD) + " SELECT * FROM od ORDER BY count DESC, origin_port, destination_port",
+        "ports_from_features": with_(PORTS, projection("ports", "plon", "plat", "pp", "pe", "pn"))
+        + """ SELECT port_id, port_name, size, round(plon, 6) plon, round(plat, 6) plat, round(pe, 3) easting, round(pn, 3) northing,
+  CAST(port_id AS VARCHAR) "OID", CAST(port_id * 10 AS VARCHAR) "WPIN", concat('Region ', port_id % 5) "REGION",
+  port_name "PORT", concat('XX ', port_id) "UN_LOCODE", lower(port_name) "COUNTRY", 'Sea' "WORLD_WATE",
+  CASE WHEN port_id % 2 = 0 THEN 'Coastal' END "TYPE", round(plat, 6) "LAT", round(plon, 6) "LON" FROM pp""",
         "pings_in_zones": _zones(),
         "pending_files": with_(LISTING) + " SELECT name, concat('/history/', name) path, length FROM pending",
         "pending_decompress": with_(LISTING)
