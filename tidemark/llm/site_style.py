@@ -53,7 +53,7 @@ def _hash(text: str) -> int:
 
 
 def _is_main(node: Node) -> bool:
-    return node.tag in _MAIN or "main" in node.names[:1]
+    return node.tag in _MAIN or (node.tag in ("div", "section") and node.names == ("main",))
 
 
 def is_noise(node: Node, in_main: bool) -> bool:
