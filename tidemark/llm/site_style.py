@@ -201,10 +201,14 @@ def site_templates(pages: DataFrame, *, url: str = "url", html: str = "html") ->
     presentation = F.when(several, 1 - F.col("mass") / (F.col("m") * F.log(F.col("m").cast("double")))).otherwise(1.0)
     shown = shown.select("host", "path", "m", presentation.alias("presentation"), (F.col("kids") / F.col("m")).alias("children"))
 
-    # how far each text of a node spreads over the pages that show the node, told to all nodes around it
-    text = kinds.where("kind = 1").join(shown.select(F.col("host").alias("h"), F.col("path").alias("p"), "m"), (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")))
-    spread = F.when(F.col("m") > 1, F.log(F.col("pages").cast("double")) / F.log(F.col("m").cast("double"))).otherwise(0.0)
-    text = text.groupBy("host", "path").agg(F.sum("size").alias("size"), F.sum(spread * F.col("size")).alias("spread"), F.first("above").alias("above"))
+    # how far each text of a node spreads over the pages that show the node, told to all nodes around it; the number of
+    # pages is the same for all texts of a node, so texts are summed, map side first, before it is looked up
+    logs = F.log(F.col("pages").cast("double"))
+    text = kinds.where("kind = 1").groupBy("host", "path").agg(F.sum("size").alias("size"), F.sum(logs * F.col("size")).alias("logs"), F.first("above").alias("above"))
+    known = shown.select(F.col("host").alias("h"), F.col("path").alias("p"), "m")
+    text = text.join(known, (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")))
+    spread = F.when(F.col("m") > 1, F.col("logs") / F.log(F.col("m").cast("double"))).otherwise(0.0)
+    text = text.withColumn("spread", spread)
     around = text.select("host", F.explode("above").alias("path"), "size", "spread").groupBy("host", "path")
     around = around.agg((1 - F.sum("spread") / F.sum("size")).alias("content"))
     around = around.select(F.col("host").alias("h"), F.col("path").alias("p"), "content")
