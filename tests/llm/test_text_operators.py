@@ -258,3 +258,23 @@ def test_toxicity_of_odd_rows(spark):
         assert len(scored) == docs.count() and all(0 <= r.score <= 1 for r in scored)
     kept = toxicity.keep_civil(docs, toxicity.train(docs, labels))
     assert kept.columns == docs.columns and kept.where(F.col("ids") != "x").count() == 0
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_deduplicated_keeps_the_first_row_of_each_group_of_all_pairs(spark, seed):
+    """Groups are told apart by their rows: two groups without any id are two groups."""
+    rows = near_copies(random.Random(seed))
+    sets = [shingle_set(r[1]) for r in rows]
+    groups = [{i} for i in range(len(rows))]
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        common = len(sets[i] & sets[j])
+        if common and common / (len(sets[i]) + len(sets[j]) - common) >= 0.8 and groups[i] is not groups[j]:
+            groups[i] |= groups[j]
+            for k in groups[j]:
+                groups[k] = groups[i]
+    groups = {min(g): g for g in groups if sets[min(g)]}.values()
+    kept = {r.row for r in near_dedup.deduplicated(spark.createDataFrame(rows, DOCS)).collect() if sets[r.row]}
+    assert len(kept) == len(groups)
+    for group in groups:
+        (one,) = kept & group
+        assert rows[one][0] == min((rows[i][0] for i in group if rows[i][0] is not None), default=None)
