@@ -279,3 +279,11 @@ def test_probes_reach_every_code_within_the_radius():
     for radius in (0, 5, 47, 60):
         assert hashing_search.within(index, queries, radius)[apart <= radius].all()
 
+
+@pytest.mark.parametrize("tag", ["div", "blockquote", "font"])
+def test_pages_nested_deep(spark, tag):
+    page = "<body>" + f"<{tag}>" * 5000 + "<p>deep" + f"</{tag}>" * 2500 + "<p>up"
+    assert site_style.main_text(page) == "deep up"
+    assert site_style.main_text("<main>" + page) == "deep up"
+    pages = [(i, "http://deep.org/", page, "d") for i in range(2)]
+    assert [r.text for r in site_style.extract(spark.createDataFrame(pages, PAGES)).collect()] == ["deep up"] * 2

@@ -7,6 +7,7 @@ options close their own kind, an end tag closes what is open inside it, and what
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 
@@ -67,17 +68,21 @@ def parse(html: str) -> Node:
     """The tree of a page below a root without a tag. Text is as written, character references included."""
     root = Node("")
     stack, at = [root], 0
+    opened: Counter[str] = Counter()
+
+    def cut(depth: int) -> None:
+        opened.subtract(n.tag for n in stack[depth:])
+        del stack[depth:]
 
     def close(tags: set[str] | frozenset[str], within: set[str] | frozenset[str]) -> None:
+        left, lowest = sum(opened[t] for t in tags), 0
         for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag in within:
-                return
+            if not left or stack[depth].tag in within:
+                break
             if stack[depth].tag in tags:
-                del stack[depth:]
-                if not tags & {n.tag for n in stack}:
-                    return
-                close(tags, within)
-                return
+                left, lowest = left - 1, depth
+        if lowest:
+            cut(lowest)
 
     while at < len(html):
         m = _TOKEN.search(html, at)
@@ -90,9 +95,11 @@ def parse(html: str) -> Node:
         if not tag:
             continue
         if m[1]:
+            if not opened[tag]:
+                continue
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == tag:
-                    del stack[depth:]
+                    cut(depth)
                     break
             continue
         if tag in _CLOSES_P:
@@ -107,4 +114,5 @@ def parse(html: str) -> Node:
             at = end.end() if end else len(html)
         elif tag not in VOID and not m[3].rstrip().endswith("/"):
             stack.append(node)
+            opened[tag] += 1
     return root

@@ -52,6 +52,11 @@ def _hash(text: str) -> int:
     return (zlib.crc32(raw) << 31) ^ zlib.adler32(raw) ^ len(raw) << 20
 
 
+def _below(path: int, node: Node) -> int:
+    """The path of a node from the path around it; 0 is the root's."""
+    return _hash(f"{path}>{node.label}")
+
+
 def _is_main(node: Node) -> bool:
     return node.tag in _MAIN or (node.tag in ("div", "section") and node.names == ("main",))
 
@@ -71,36 +76,40 @@ def style_nodes(page: str) -> Iterator[tuple[int, int, int, int, list[int]]]:
     """``path, kind, value, size, above`` for each style node of a page once.
 
     Kind 0 has the hash of the child sequence and the number of children, kind 1 the hash and the length of the text
-    that stands right below the node. ``above`` are the paths of the node and of all nodes around it.
+    that stands right below the node. ``above`` are the paths of the node and of all nodes around it, for kind 1 only.
     """
     shapes: dict[int, list[str]] = {}
     texts: dict[int, list[str]] = {}
-    paths: dict[int, list[int]] = {}
-
-    def walk(node: Node, above: list[int], path: str) -> None:
-        for child in node.children:
-            if isinstance(child, str):
-                if child.strip() and above:
-                    texts.setdefault(above[-1], []).append(child.strip())
-                continue
-            if above:
-                shapes.setdefault(above[-1], []).append(child.label)
-            if child.tag in RAW or child.tag in BLOCKS or child.children:
-                name = f"{path}>{child.label}"
-                key = _hash(name)
-                own = [*above, key]
-                shapes.setdefault(key, [])
-                paths.setdefault(key, own)
-                if child.tag not in RAW:
-                    walk(child, own, name)
-
-    walk(parse(page), [], "")
+    around: dict[int, int] = {}
+    stack = [(0, iter(parse(page).children))]
+    while stack:
+        path, children = stack[-1]
+        child = next(children, None)
+        if child is None:
+            stack.pop()
+            continue
+        if isinstance(child, str):
+            if child.strip() and path:
+                texts.setdefault(path, []).append(child.strip())
+            continue
+        if path:
+            shapes.setdefault(path, []).append(child.label)
+        if child.tag in RAW or child.tag in BLOCKS or child.children:
+            key = _below(path, child)
+            shapes.setdefault(key, [])
+            around.setdefault(key, path)
+            if child.tag not in RAW:
+                stack.append((key, iter(child.children)))
     for key, labels in shapes.items():
         runs = [x for i, x in enumerate(labels) if not i or labels[i - 1] != x]
-        yield key, 0, _hash(" ".join(runs)), len(runs), paths[key]
+        yield key, 0, _hash(" ".join(runs)), len(runs), []
         if key in texts:
+            above, up = [], key
+            while up:
+                above.append(up)
+                up = around[up]
             text = " ".join(texts[key])
-            yield key, 1, _hash(text), len(text), paths[key]
+            yield key, 1, _hash(text), len(text), above
 
 
 def main_text(page: str, templates: frozenset[int] = frozenset()) -> str:
@@ -111,16 +120,16 @@ def main_text(page: str, templates: frozenset[int] = frozenset()) -> str:
     """
     root = parse(page)
     mains: list[Node] = []
-
-    def find(node: Node, inside: bool) -> None:
-        for child in node.children:
-            if isinstance(child, Node):
-                if _is_main(child) and not is_noise(child, inside):
-                    mains.append(child)
-                elif not is_noise(child, inside):
-                    find(child, inside)
-
-    find(root, False)
+    stack = [iter(root.children)]
+    while stack:
+        child = next(stack[-1], None)
+        if child is None:
+            stack.pop()
+        elif isinstance(child, Node) and not is_noise(child, False):
+            if _is_main(child):
+                mains.append(child)
+            else:
+                stack.append(iter(child.children))
 
     def blocks_of(node: Node, in_main: bool, cut: bool) -> list[str]:
         blocks: list[str] = []
@@ -132,24 +141,23 @@ def main_text(page: str, templates: frozenset[int] = frozenset()) -> str:
             if text:
                 blocks.append(text)
 
-        def walk(at: Node, path: str) -> None:
-            for child in at.children:
-                if isinstance(child, str):
-                    open_.append(child)
-                    continue
-                name = f"{path}>{child.label}"
-                if is_noise(child, in_main) or (cut and _hash(name) in templates):
-                    if child.tag in BLOCKS or child.tag in RAW:
-                        flush()
-                    continue
-                if child.tag in BLOCKS:
+        stack = [(node, 0, iter(node.children))]
+        while stack:
+            at, path, children = stack[-1]
+            child = next(children, None)
+            if child is None:
+                stack.pop()
+                if at.tag in BLOCKS:
                     flush()
-                    walk(child, name)
+            elif isinstance(child, str):
+                open_.append(child)
+            else:
+                key = _below(path, child)
+                noise = is_noise(child, in_main) or (cut and key in templates)
+                if child.tag in BLOCKS or (noise and child.tag in RAW):
                     flush()
-                else:
-                    walk(child, name)
-
-        walk(node, "")
+                if not noise:
+                    stack.append((child, key, iter(child.children)))
         flush()
         return blocks
 
