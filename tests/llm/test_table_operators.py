@@ -287,3 +287,13 @@ def test_pages_nested_deep(spark, tag):
     assert site_style.main_text("<main>" + page) == "deep up"
     pages = [(i, "http://deep.org/", page, "d") for i in range(2)]
     assert [r.text for r in site_style.extract(spark.createDataFrame(pages, PAGES)).collect()] == ["deep up"] * 2
+
+
+def test_layouts_named_like_parts_keep_their_text():
+    for wrapper in ("class='content-sidebar-wrap'", "class='layout no-sidebar'", "id='search-results'", "class='has-comments'", "class=sidebar"):
+        for tag in ("main", "article"):
+            assert site_style.main_text(f"<body><div {wrapper}><{tag}><p>a</{tag}></div>") == "a"
+    assert site_style.main_text("<form id=aspnet><main>a</main></form>") == "a"
+    assert site_style.main_text("<div class='has-comments no-sidebar'>a<div class='sidebar-2 wide'>b</div><div id=social-share>c</div></div>") == "a"
+    assert site_style.main_text("<article class=widget>w</article>") == "w"
+    assert site_style.main_text("<article class=widget>w</article><article>a<ul class=comments><li>c</ul></article>") == "a"

@@ -44,6 +44,7 @@ class Node:
     tag: str
     names: tuple[str, ...] = ()
     hidden: bool = False
+    values: tuple[str, ...] = ()
     children: list[Node | str] = field(default_factory=list)
 
     @property
@@ -51,17 +52,23 @@ class Node:
         return f"{self.tag}.{'.'.join(self.names)}"
 
 
-def _names(attributes: str) -> tuple[tuple[str, ...], bool]:
-    """The words of class, id and role, and whether the element is hidden."""
+def _names(attributes: str) -> tuple[tuple[str, ...], bool, tuple[str, ...]]:
+    """The words of class, id and role, whether the element is hidden, and class, id and role as they stand."""
     if not attributes.strip():
-        return (), False
-    names, hidden = [], False
+        return (), False, ()
+    names, hidden, values = [], False, []
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key in ("class", "id", "role"):
             names += [t.lower() for t in _TOKENS.findall(value)]
+            values += value.split()
         hidden |= key == "hidden"
-    return tuple(names), hidden
+    return tuple(names), hidden, tuple(values)
+
+
+def words_of_value(value: str) -> list[str]:
+    """The words of one class, id or role without numbers."""
+    return [t.lower() for t in _TOKENS.findall(value) if not t.isdigit()]
 
 
 def parse(html: str) -> Node:

@@ -6,8 +6,8 @@ content importance of the text in its branch is one less the entropy of each tex
 recurs on every page of the host weighs nothing, text of one page weighs most. Branches of low importance are
 templates and are cut from each page.
 
-What a page itself says comes first: navigation, forms, asides, adverts and the like, by tag or name, are never main
-text, and ``main`` or ``article`` elements are never cut as templates.
+What a page itself says comes first: navigation, forms, asides, adverts and the like, by tag or by a whole class, id or
+role, are never main text unless they are named so and hold a ``main`` or ``article`` element, and ``main`` or ``article`` elements are never cut as templates.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Batches, stored
-from tidemark.llm.dom import BLOCKS, RAW, Node, parse
+from tidemark.llm.dom import BLOCKS, RAW, Node, parse, words_of_value
 
 #: A branch below this importance is a template, if enough pages of the host show it.
 LEAST_IMPORTANCE = 0.3
@@ -61,15 +61,27 @@ def _is_main(node: Node) -> bool:
     return node.tag in _MAIN or (node.tag in ("div", "section") and node.names == ("main",))
 
 
-def is_noise(node: Node, in_main: bool) -> bool:
-    """Whether an element says of itself that it is no main text."""
-    if node.tag in _NOISE_TAGS or node.hidden:
-        return True
-    if node.tag in ("html", "body"):
+def _named(value: str) -> bool:
+    """Whether a class, id or role says nothing but that it is a part beside the main text."""
+    words = words_of_value(value)
+    return bool(words) and (value.lower() in _NOISE_NAMES or _NOISE_NAMES.issuperset(words))
+
+
+def _by_tag(node: Node, in_main: bool) -> bool:
+    return node.tag in _NOISE_TAGS or node.hidden or (node.tag == "header" and not in_main)
+
+
+def _by_name(node: Node, in_main: bool) -> bool:
+    if node.tag in ("html", "body", "main"):
         return False
-    if node.tag == "header" or ("header" in node.names and node.tag not in _HEADINGS):
-        return not in_main
-    return not _NOISE_NAMES.isdisjoint(node.names)
+    if not in_main and node.tag not in _HEADINGS and any(v.lower() == "header" for v in node.values):
+        return True
+    return any(map(_named, node.values))
+
+
+def is_noise(node: Node, in_main: bool) -> bool:
+    """Whether an element says of itself that it is no main text: by its tag, or by a whole class, id or role."""
+    return _by_tag(node, in_main) or _by_name(node, in_main)
 
 
 def style_nodes(page: str) -> Iterator[tuple[int, int, int, int, list[int]]]:
@@ -120,14 +132,16 @@ def main_text(page: str, templates: frozenset[int] = frozenset()) -> str:
     """
     root = parse(page)
     mains: list[Node] = []
+    doubtful: list[Node] = []
+    # names never end the search: what is named like a part may be the layout around the main element
     stack = [iter(root.children)]
     while stack:
         child = next(stack[-1], None)
         if child is None:
             stack.pop()
-        elif isinstance(child, Node) and not is_noise(child, False):
+        elif isinstance(child, Node) and (child.tag == "form" and not child.hidden or not _by_tag(child, False)):
             if _is_main(child):
-                mains.append(child)
+                (doubtful if _by_name(child, False) else mains).append(child)
             else:
                 stack.append(iter(child.children))
 
@@ -161,6 +175,7 @@ def main_text(page: str, templates: frozenset[int] = frozenset()) -> str:
         flush()
         return blocks
 
+    mains = mains or doubtful
     if mains:
         return " ".join(b for m in mains for b in blocks_of(m, True, False))
     kept = blocks_of(root, False, bool(templates)) or (blocks_of(root, False, False) if templates else [])
