@@ -297,3 +297,13 @@ def test_layouts_named_like_parts_keep_their_text():
     assert site_style.main_text("<div class='has-comments no-sidebar'>a<div class='sidebar-2 wide'>b</div><div id=social-share>c</div></div>") == "a"
     assert site_style.main_text("<article class=widget>w</article>") == "w"
     assert site_style.main_text("<article class=widget>w</article><article>a<ul class=comments><li>c</ul></article>") == "a"
+
+
+def test_templates_of_a_part_of_a_large_host_are_cut(spark):
+    """30 sections of 5 pages each: every section's notice shows on 3 % of the host's pages."""
+    rng = random.Random(5)
+    unique = lambda: " ".join(rng.choices("abcdefgh", k=20)) + str(rng.random())
+    body = "<body><div class=s{}><p>Section words {}</p></div><div class=c><p>{}</p></div>"
+    pages = [(30 * i + k, f"http://large.org/{k}/{i}", body.format(k, k, unique()), "d") for i in range(5) for k in range(30)]
+    found = site_style.extract(spark.createDataFrame(pages, PAGES)).collect()
+    assert len(found) == 150 and all("Section" not in r.text and len(r.text.split()) == 20 for r in found)

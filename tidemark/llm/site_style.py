@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Batches, stored
@@ -27,9 +27,11 @@ from tidemark.llm.dom import BLOCKS, RAW, Node, parse, words_of_value
 #: A branch below this importance is a template, if enough pages of the host show it.
 LEAST_IMPORTANCE = 0.3
 LEAST_PAGES = 4
-#: Share of the host's pages that must show a branch: a host has at most 1 / share times a page's branches of them.
-LEAST_SHARE = 0.05
+#: Parts of the keys of (host, path) when templates are looked up, so that a large host is no hot key.
+PARTS = 32
 DECAY = 0.9
+#: Style nodes and their ancestors that a task hands over at once.
+BATCH_NODES = 1 << 20
 
 #: Elements and names that never hold main text.
 _NOISE_TAGS = frozenset(
@@ -188,34 +190,51 @@ def host_of(url):
     return F.lower(found)
 
 
-def site_templates(pages: DataFrame, *, url: str = "url", html: str = "html") -> DataFrame:
-    """``host, templates``: for each host the paths of its style nodes of low importance.
-
-    Pages without a host belong to none and have no templates. Counts are taken over all pages. A host with few
-    pages has no template, as nothing can be said of it.
-    """
+def page_nodes(pages: DataFrame, *, url: str = "url", html: str = "html") -> DataFrame:
+    """``host, k1, k2`` and the columns of ``style_nodes``, stored; ``k1, k2`` tell a page's html. Copies count too."""
+    k1, k2 = _page_keys(F.col("html"))
     picked = pages.select(host_of(F.col(url)).alias("host"), F.col(html).cast("string").alias("html")).where("host <> '' AND html IS NOT NULL")
+    picked = picked.select("host", "html", k1.alias("k1"), k2.alias("k2"))
 
     def rows(batches: Batches) -> Batches:
+        types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+        names = ["host", "k1", "k2", "path", "kind", "value", "size", "above"]
         for batch in batches:
-            hosts, columns = [], ([], [], [], [], [])
-            for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+            owners, columns, length = [], ([], [], [], [], []), 0
+
+            def built() -> pa.RecordBatch:
+                of = [batch.column(c).take(pa.array(owners, pa.int64())) for c in ("host", "k1", "k2")]
+                return pa.RecordBatch.from_arrays([*of, *[pa.array(c, t) for c, t in zip(columns, types)]], names=names)
+
+            for i, page in enumerate(batch.column("html").to_pylist()):
                 for values in style_nodes(page):
-                    hosts.append(host)
+                    owners.append(i)
                     for column, value in zip(columns, values):
                         column.append(value)
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), *[pa.array(c, t) for c, t in zip(columns, types)]],
-                names=["host", "path", "kind", "value", "size", "above"],
-            )
+                    length += 1 + len(values[4])
+                    if length >= BATCH_NODES:
+                        yield built()
+                        owners, columns, length = [], ([], [], [], [], []), 0
+            yield built()
+
+    fields = "host string, k1 bigint, k2 bigint, path bigint, kind int, value bigint, size bigint, above array<bigint>"
+    return stored(picked.mapInArrow(rows, fields), "style-nodes")
+
 
-    nodes = picked.mapInArrow(rows, "host string, path bigint, kind int, value bigint, size bigint, above array<bigint>")
+def _page_keys(html: Column) -> tuple[Column, Column]:
+    return F.xxhash64(html), F.xxhash64(F.lit("second"), html)
+
+
+def site_templates(nodes: DataFrame) -> DataFrame:
+    """``host, path``: for each host the paths of its style nodes of low importance.
+
+    Pages without a host belong to none and have no templates. Counts are taken over all pages. A host with few
+    pages has no template, as nothing can be said of it.
+    """
     kinds = nodes.groupBy("host", "path", "kind", "value").agg(
         F.count(F.lit(1)).alias("pages"), F.sum("size").alias("size"), F.first("above").alias("above")
     )
-    kinds = stored(kinds, "style-nodes")
-    hosts = picked.groupBy("host").agg(F.count(F.lit(1)).alias("all"))
+    kinds = stored(kinds, "style-kinds")
 
     shown = kinds.where("kind = 0").groupBy("host", "path")
     share = F.col("pages") * F.log(F.col("pages").cast("double"))
@@ -239,9 +258,15 @@ def site_templates(pages: DataFrame, *, url: str = "url", html: str = "html") ->
     weight = F.pow(F.lit(DECAY), F.col("children"))
     judged = shown.join(around, (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")))
     judged = judged.withColumn("importance", (1 - weight) * F.col("presentation") + weight * F.col("content"))
-    low = judged.where((F.col("importance") < LEAST_IMPORTANCE) & (F.col("m") >= LEAST_PAGES)).select("host", "path", "m")
-    low = low.join(hosts.withColumnRenamed("host", "site"), F.col("host") == F.col("site")).where(F.col("m") >= LEAST_SHARE * F.col("all"))
-    return low.groupBy("host").agg(F.collect_set("path").alias("templates"))
+    return judged.where((F.col("importance") < LEAST_IMPORTANCE) & (F.col("m") >= LEAST_PAGES)).select("host", "path")
+
+
+def page_templates(nodes: DataFrame) -> DataFrame:
+    """``site, p1, p2, templates``: which of a page's own paths are templates of its host, for pages that have some."""
+    low = site_templates(nodes).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    own = nodes.where("kind = 0").select("host", "k1", "k2", "path", F.pmod("k1", F.lit(PARTS)).cast("int").alias("part"))
+    found = own.join(low, ["host", "path", "part"], "left_semi").groupBy("host", "k1", "k2").agg(F.collect_set("path").alias("templates"))
+    return found.select(F.col("host").alias("site"), F.col("k1").alias("p1"), F.col("k2").alias("p2"), "templates")
 
 
 def extract(pages: DataFrame, *, page: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -250,11 +275,13 @@ def extract(pages: DataFrame, *, page: str = "page_id", url: str = "url", html:
     NULL and empty html give an empty text. A NULL or odd url has no host and no templates. Rows that repeat are
     each extracted. No rows: no rows.
     """
-    templates = stored(site_templates(pages, url=url, html=html), "style-templates").select(F.col("host").alias("site"), "templates")
+    templates = stored(page_templates(page_nodes(pages, url=url, html=html)), "style-templates")
     picked = pages.select(
         F.col(page).alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html")
     )
-    joined = picked.join(templates, host_of(F.col("url")) == F.col("site"), "left").drop("site")
+    k1, k2 = _page_keys(F.col("html"))
+    same = (host_of(F.col("url")) == F.col("site")) & (k1 == F.col("p1")) & (k2 == F.col("p2"))
+    joined = picked.join(templates, same, "left").drop("site", "p1", "p2")
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
