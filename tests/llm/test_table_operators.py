@@ -307,3 +307,19 @@ def test_templates_of_a_part_of_a_large_host_are_cut(spark):
     pages = [(30 * i + k, f"http://large.org/{k}/{i}", body.format(k, k, unique()), "d") for i in range(5) for k in range(30)]
     found = site_style.extract(spark.createDataFrame(pages, PAGES)).collect()
     assert len(found) == 150 and all("Section" not in r.text and len(r.text.split()) == 20 for r in found)
+
+
+def test_templates_inside_articles_are_cut(spark):
+    rng = random.Random(6)
+    unique = lambda: " ".join(rng.choices("abcdefgh", k=20)) + str(rng.random())
+    body = "<body><article><h1>{}</h1><p>{} <b>Note</b> x</p><p>Sign up for <i>our</i> letter</p><p>{}</p><div class=who><p>By us</p></div></article>"
+    pages = [(i, f"http://art.org/{i}", body.format(unique(), unique(), unique()), "d") for i in range(20)]
+    one = body.format("head", "first words of it", "last words of it")
+    pages += [(100 + i, f"http://copies.org/{i}", one, "d") for i in range(9)]
+    pages += [(200 + i, f"http://near.org/{i}", one.replace("head", f"head {i}"), "d") for i in range(9)]
+    found = {r.page_id: r.text for r in site_style.extract(spark.createDataFrame(pages, PAGES)).collect()}
+    for i in range(20):
+        assert "Sign" not in found[i] and "By us" not in found[i] and "Note x" in found[i] and len(found[i].split()) == 62
+    for i in range(9):
+        assert found[100 + i] == "head first words of it Note x Sign up for our letter last words of it By us"
+        assert found[200 + i] == found[100].replace("head", f"head {i}")

@@ -7,7 +7,9 @@ recurs on every page of the host weighs nothing, text of one page weighs most. B
 templates and are cut from each page.
 
 What a page itself says comes first: navigation, forms, asides, adverts and the like, by tag or by a whole class, id or
-role, are never main text unless they are named so and hold a ``main`` or ``article`` element, and ``main`` or ``article`` elements are never cut as templates.
+role, are never main text unless they are named so and hold a ``main`` or ``article`` element. Those elements are never
+cut as templates, but blocks inside them are: by their path, or an innermost block by its text, if that recurs at its
+path. Only pages that differ are counted, and what leaves less than half of the main text is taken for a copy, not cut.
 """
 
 from __future__ import annotations
@@ -59,6 +61,28 @@ def _below(path: int, node: Node) -> int:
     return _hash(f"{path}>{node.label}")
 
 
+def _innermost(node: Node) -> str:
+    """The text of a block without blocks in it, white space single; empty for other elements."""
+    if node.tag not in BLOCKS:
+        return ""
+    texts, stack = [], [iter(node.children)]
+    while stack:
+        child = next(stack[-1], None)
+        if child is None:
+            stack.pop()
+        elif isinstance(child, str):
+            texts.append(child)
+        elif child.tag in BLOCKS and child.tag not in ("br", "hr"):
+            return ""
+        elif child.tag not in RAW:
+            stack.append(iter(child.children))
+    return " ".join("".join(texts).split())
+
+
+def _block_key(path: int, text: str) -> int:
+    return _hash(f"{path}#{text}")
+
+
 def _is_main(node: Node) -> bool:
     return node.tag in _MAIN or (node.tag in ("div", "section") and node.names == ("main",))
 
@@ -89,11 +113,13 @@ def is_noise(node: Node, in_main: bool) -> bool:
 def style_nodes(page: str) -> Iterator[tuple[int, int, int, int, list[int]]]:
     """``path, kind, value, size, above`` for each style node of a page once.
 
-    Kind 0 has the hash of the child sequence and the number of children, kind 1 the hash and the length of the text
-    that stands right below the node. ``above`` are the paths of the node and of all nodes around it, for kind 1 only.
+    Kind 0 has the hash of the child sequence and the number of children, kind 1 the hash and the length of each
+    distinct text that stands right below the node, kind 2 of each distinct whole text if the node is an innermost block.
+    ``above`` are the paths of the node and of all nodes around it, for kind 1 only.
     """
     shapes: dict[int, list[str]] = {}
-    texts: dict[int, list[str]] = {}
+    texts: dict[int, set[str]] = {}
+    wholes: dict[int, set[str]] = {}
     around: dict[int, int] = {}
     stack = [(0, iter(parse(page).children))]
     while stack:
@@ -104,7 +130,7 @@ def style_nodes(page: str) -> Iterator[tuple[int, int, int, int, list[int]]]:
             continue
         if isinstance(child, str):
             if child.strip() and path:
-                texts.setdefault(path, []).append(child.strip())
+                texts.setdefault(path, set()).add(child.strip())
             continue
         if path:
             shapes.setdefault(path, []).append(child.label)
@@ -114,6 +140,8 @@ def style_nodes(page: str) -> Iterator[tuple[int, int, int, int, list[int]]]:
             around.setdefault(key, path)
             if child.tag not in RAW:
                 stack.append((key, iter(child.children)))
+            if text := _innermost(child):
+                wholes.setdefault(key, set()).add(text)
     for key, labels in shapes.items():
         runs = [x for i, x in enumerate(labels) if not i or labels[i - 1] != x]
         yield key, 0, _hash(" ".join(runs)), len(runs), []
@@ -122,32 +150,42 @@ def style_nodes(page: str) -> Iterator[tuple[int, int, int, int, list[int]]]:
             while up:
                 above.append(up)
                 up = around[up]
-            text = " ".join(texts[key])
-            yield key, 1, _hash(text), len(text), above
+            for value, size in {_hash(text): len(text) for text in texts[key]}.items():
+                yield key, 1, value, size, above
+        for value, size in {_block_key(key, text): len(text) for text in wholes.get(key, ())}.items():
+            yield key, 2, value, size, []
 
 
 def main_text(page: str, templates: frozenset[int] = frozenset()) -> str:
     """The main text of a page: blocks in order, white space inside them single, joined by a space.
 
-    Branches at the paths in ``templates`` are cut unless they are, hold or lie in main elements. If that leaves no
-    text, nothing is cut as a template.
+    ``templates`` has paths of branches and keys of innermost blocks. They are cut unless they are or hold main elements,
+    inside main elements as whole blocks only. If that leaves no text, or less than half of the main elements' text, as
+    in near copies of a page, nothing is cut as a template.
     """
     root = parse(page)
-    mains: list[Node] = []
-    doubtful: list[Node] = []
+    mains: list[tuple[Node, int]] = []
+    doubtful: list[tuple[Node, int]] = []
     # names never end the search: what is named like a part may be the layout around the main element
-    stack = [iter(root.children)]
+    stack = [(0, iter(root.children))]
     while stack:
-        child = next(stack[-1], None)
+        path, children = stack[-1]
+        child = next(children, None)
         if child is None:
             stack.pop()
         elif isinstance(child, Node) and (child.tag == "form" and not child.hidden or not _by_tag(child, False)):
+            key = _below(path, child)
             if _is_main(child):
-                (doubtful if _by_name(child, False) else mains).append(child)
+                (doubtful if _by_name(child, False) else mains).append((child, key))
             else:
-                stack.append(iter(child.children))
+                stack.append((key, iter(child.children)))
+
+    def template(node: Node, key: int, in_main: bool) -> bool:
+        if in_main and (node.tag not in BLOCKS or _is_main(node)):
+            return False
+        return key in templates or (in_main and _block_key(key, _innermost(node)) in templates)
 
-    def blocks_of(node: Node, in_main: bool, cut: bool) -> list[str]:
+    def blocks_of(node: Node, start: int, in_main: bool, cut: bool) -> list[str]:
         blocks: list[str] = []
         open_: list[str] = []
 
@@ -157,7 +195,7 @@ def main_text(page: str, templates: frozenset[int] = frozenset()) -> str:
             if text:
                 blocks.append(text)
 
-        stack = [(node, 0, iter(node.children))]
+        stack = [(node, start, iter(node.children))]
         while stack:
             at, path, children = stack[-1]
             child = next(children, None)
@@ -169,7 +207,7 @@ def main_text(page: str, templates: frozenset[int] = frozenset()) -> str:
                 open_.append(child)
             else:
                 key = _below(path, child)
-                noise = is_noise(child, in_main) or (cut and key in templates)
+                noise = is_noise(child, in_main) or (cut and template(child, key, in_main))
                 if child.tag in BLOCKS or (noise and child.tag in RAW):
                     flush()
                 if not noise:
@@ -179,8 +217,10 @@ def main_text(page: str, templates: frozenset[int] = frozenset()) -> str:
 
     mains = mains or doubtful
     if mains:
-        return " ".join(b for m in mains for b in blocks_of(m, True, False))
-    kept = blocks_of(root, False, bool(templates)) or (blocks_of(root, False, False) if templates else [])
+        whole = " ".join(b for m, key in mains for b in blocks_of(m, key, True, False))
+        kept = " ".join(b for m, key in mains for b in blocks_of(m, key, True, True)) if templates else whole
+        return kept if 2 * len(kept) >= len(whole) else whole
+    kept = blocks_of(root, 0, False, bool(templates)) or (blocks_of(root, 0, False, False) if templates else [])
     return " ".join(kept)
 
 
@@ -191,10 +231,11 @@ def host_of(url):
 
 
 def page_nodes(pages: DataFrame, *, url: str = "url", html: str = "html") -> DataFrame:
-    """``host, k1, k2`` and the columns of ``style_nodes``, stored; ``k1, k2`` tell a page's html. Copies count too."""
+    """``host, k1, k2`` and the columns of ``style_nodes``, stored; ``k1, k2`` tell a page's html. Copies of a
+    page on its host count once."""
     k1, k2 = _page_keys(F.col("html"))
     picked = pages.select(host_of(F.col(url)).alias("host"), F.col(html).cast("string").alias("html")).where("host <> '' AND html IS NOT NULL")
-    picked = picked.select("host", "html", k1.alias("k1"), k2.alias("k2"))
+    picked = picked.distinct().select("host", "html", k1.alias("k1"), k2.alias("k2"))
 
     def rows(batches: Batches) -> Batches:
         types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
@@ -226,9 +267,10 @@ def _page_keys(html: Column) -> tuple[Column, Column]:
 
 
 def site_templates(nodes: DataFrame) -> DataFrame:
-    """``host, path``: for each host the paths of its style nodes of low importance.
+    """``host, path``: for each host the paths of its style nodes of low importance, and the keys of its innermost blocks
+    whose text recurs.
 
-    Pages without a host belong to none and have no templates. Counts are taken over all pages. A host with few
+    Pages without a host belong to none and have no templates. Counts are taken over all pages that differ. A host with few
     pages has no template, as nothing can be said of it.
     """
     kinds = nodes.groupBy("host", "path", "kind", "value").agg(
@@ -258,13 +300,19 @@ def site_templates(nodes: DataFrame) -> DataFrame:
     weight = F.pow(F.lit(DECAY), F.col("children"))
     judged = shown.join(around, (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")))
     judged = judged.withColumn("importance", (1 - weight) * F.col("presentation") + weight * F.col("content"))
-    return judged.where((F.col("importance") < LEAST_IMPORTANCE) & (F.col("m") >= LEAST_PAGES)).select("host", "path")
+    low = judged.where((F.col("importance") < LEAST_IMPORTANCE) & (F.col("m") >= LEAST_PAGES)).select("host", "path")
+
+    blocks = kinds.where("kind = 2").select("host", "path", "value", "pages").where(F.col("pages") >= LEAST_PAGES)
+    blocks = blocks.join(known, (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")))
+    recurring = 1 - F.log(F.col("pages").cast("double")) / F.log(F.col("m").cast("double")) < LEAST_IMPORTANCE
+    return low.unionByName(blocks.where(recurring).select("host", F.col("value").alias("path")))
 
 
 def page_templates(nodes: DataFrame) -> DataFrame:
     """``site, p1, p2, templates``: which of a page's own paths are templates of its host, for pages that have some."""
     low = site_templates(nodes).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    own = nodes.where("kind = 0").select("host", "k1", "k2", "path", F.pmod("k1", F.lit(PARTS)).cast("int").alias("part"))
+    own = nodes.where("kind <> 1").withColumn("path", F.when(F.col("kind") == 0, F.col("path")).otherwise(F.col("value")))
+    own = own.select("host", "k1", "k2", "path", F.pmod("k1", F.lit(PARTS)).cast("int").alias("part"))
     found = own.join(low, ["host", "path", "part"], "left_semi").groupBy("host", "k1", "k2").agg(F.collect_set("path").alias("templates"))
     return found.select(F.col("host").alias("site"), F.col("k1").alias("p1"), F.col("k2").alias("p2"), "templates")
 
