@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -231,24 +232,26 @@ def host_of(url):
 
 
 def page_nodes(pages: DataFrame, *, url: str = "url", html: str = "html") -> DataFrame:
-    """``host, k1, k2`` and the columns of ``style_nodes``, stored; ``k1, k2`` tell a page's html. Copies of a
-    page on its host count once."""
+    """``host, k1, k2`` and the columns of ``style_nodes``; ``k1, k2`` tell a page's html. Of a page's copies on its host
+    one is taken; a row of kind 3 stands for each page."""
     k1, k2 = _page_keys(F.col("html"))
     picked = pages.select(host_of(F.col(url)).alias("host"), F.col(html).cast("string").alias("html")).where("host <> '' AND html IS NOT NULL")
-    picked = picked.distinct().select("host", "html", k1.alias("k1"), k2.alias("k2"))
+    picked = picked.select("host", "html", k1.alias("k1"), k2.alias("k2"))
 
     def rows(batches: Batches) -> Batches:
         types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-        names = ["host", "k1", "k2", "path", "kind", "value", "size", "above"]
+        names = ["host", "k1", "k2", "row", "path", "kind", "value", "size", "above"]
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             owners, columns, length = [], ([], [], [], [], []), 0
 
             def built() -> pa.RecordBatch:
                 of = [batch.column(c).take(pa.array(owners, pa.int64())) for c in ("host", "k1", "k2")]
+                of.append(pa.array(np.array(owners, dtype=np.int64) + row))
                 return pa.RecordBatch.from_arrays([*of, *[pa.array(c, t) for c, t in zip(columns, types)]], names=names)
 
             for i, page in enumerate(batch.column("html").to_pylist()):
-                for values in style_nodes(page):
+                for values in ((0, 3, 0, 0, []), *style_nodes(page)):
                     owners.append(i)
                     for column, value in zip(columns, values):
                         column.append(value)
@@ -257,9 +260,13 @@ def page_nodes(pages: DataFrame, *, url: str = "url", html: str = "html") -> Dat
                         yield built()
                         owners, columns, length = [], ([], [], [], [], []), 0
             yield built()
+            row += len(batch)
 
-    fields = "host string, k1 bigint, k2 bigint, path bigint, kind int, value bigint, size bigint, above array<bigint>"
-    return stored(picked.mapInArrow(rows, fields), "style-nodes")
+    fields = "host string, k1 bigint, k2 bigint, row bigint, path bigint, kind int, value bigint, size bigint, above array<bigint>"
+    nodes = stored(picked.mapInArrow(rows, fields), "style-nodes")
+    each = nodes.where("kind = 3").select("host", "k1", "k2", "row")
+    copies = each.join(each.groupBy("host", "k1", "k2").agg(F.min("row").alias("row")).select("row"), "row", "left_anti").select("row")
+    return nodes.join(copies, "row", "left_anti")
 
 
 def _page_keys(html: Column) -> tuple[Column, Column]:
@@ -273,7 +280,7 @@ def site_templates(nodes: DataFrame) -> DataFrame:
     Pages without a host belong to none and have no templates. Counts are taken over all pages that differ. A host with few
     pages has no template, as nothing can be said of it.
     """
-    kinds = nodes.groupBy("host", "path", "kind", "value").agg(
+    kinds = nodes.where("kind < 3").groupBy("host", "path", "kind", "value").agg(
         F.count(F.lit(1)).alias("pages"), F.sum("size").alias("size"), F.first("above").alias("above")
     )
     kinds = stored(kinds, "style-kinds")
@@ -311,7 +318,7 @@ def site_templates(nodes: DataFrame) -> DataFrame:
 def page_templates(nodes: DataFrame) -> DataFrame:
     """``site, p1, p2, templates``: which of a page's own paths are templates of its host, for pages that have some."""
     low = site_templates(nodes).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    own = nodes.where("kind <> 1").withColumn("path", F.when(F.col("kind") == 0, F.col("path")).otherwise(F.col("value")))
+    own = nodes.where("kind IN (0, 2)").withColumn("path", F.when(F.col("kind") == 0, F.col("path")).otherwise(F.col("value")))
     own = own.select("host", "k1", "k2", "path", F.pmod("k1", F.lit(PARTS)).cast("int").alias("part"))
     found = own.join(low, ["host", "path", "part"], "left_semi").groupBy("host", "k1", "k2").agg(F.collect_set("path").alias("templates"))
     return found.select(F.col("host").alias("site"), F.col("k1").alias("p1"), F.col("k2").alias("p2"), "templates")
