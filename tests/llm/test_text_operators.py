@@ -278,3 +278,25 @@ def test_deduplicated_keeps_the_first_row_of_each_group_of_all_pairs(spark, seed
     for group in groups:
         (one,) = kept & group
         assert rows[one][0] == min((rows[i][0] for i in group if rows[i][0] is not None), default=None)
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_special_marks_give_their_ids_as_loaded(path, spark, tmp_path):
+    untouched = Tokenizer.from_file(path)
+    rng = random.Random(8)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|", "|>", "a", "It's", " ", "\n ", ".", "x,y", "é", "\u3000"]
+    texts = ODD + ["".join(rng.choices(parts, k=30)) for _ in range(300)]
+    ids, starts = tokens.piece_tokenizer(path, True).ids(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[starts[i] : starts[i + 1]].tolist() == untouched.encode(text or "", add_special_tokens=False).ids, repr(text)
+
+
+def test_queries_give_special_marks_their_ids(spark, tmp_path):
+    from tidemark.llm.queries import QUERIES
+
+    rows = [(i, t, "s", "x", i) for i, t in enumerate(["a <|endoftext|> b", "<|startoftext|>c<|endoftext|>", "plain"])]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    for name, path, end in (("op3_packing", WORD, 1), ("op8_arrow_files", BYTE, 2)):
+        untouched = Tokenizer.from_file(path)
+        found = {r.doc_id: r.ids_crc32 for r in QUERIES[name](spark, str(tmp_path)).collect()}
+        assert found == {r[0]: crc([*untouched.encode(r[1], add_special_tokens=False).ids, end]) for r in rows}

@@ -132,11 +132,13 @@ def write_sequences(
     end_id: int = 2,
     length: int = LENGTH,
     wide: bool = False,
+    special: bool = False,
 ) -> DataFrame:
     """Files of the ids of all documents in ascending id order, ``end_id`` behind each, and their manifest.
 
     Returns a stored row per file: ``part, path, documents, tokens, sequences, first_token`` where
     ``first_token`` counts the ids in the files before. ``wide`` keeps 32-bit ids, for vocabularies over 65,536.
+    ``special`` gives special marks inside texts their own ids, as the tokenizer does when loaded.
 
     NULL and empty texts give the end id alone. NULL document ids come first; rows with equal ids stay separate,
     in the order of their texts' hashes. No documents: no files and an empty manifest.
@@ -149,7 +151,7 @@ def write_sequences(
     fields = "part int, path string, documents bigint, tokens bigint, sequences bigint"
 
     def write(batches: Batches) -> Batches:
-        part, encode = TaskContext.get().partitionId(), piece_tokenizer(tokenizer)
+        part, encode = TaskContext.get().partitionId(), piece_tokenizer(tokenizer, special)
         path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.arrow"
         out, documents = None, 0
         for batch in batches:

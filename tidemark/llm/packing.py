@@ -105,11 +105,11 @@ def schedule(sizes: list[int], weights: list[Fraction] | None, window: int) -> S
     return Schedule(window, total, tuple(starts), tuple(served), tuple(rates))
 
 
-def _encoded(tokenizer: str, end_id: int):
+def _encoded(tokenizer: str, end_id: int, special: bool):
     fields = pa.schema([("row", pa.int64()), ("doc", pa.int64()), ("source", pa.string()), ("n", pa.int64()), ("ids", pa.binary())])
 
     def run(batches: Batches) -> Batches:
-        encode, done = piece_tokenizer(tokenizer), 0
+        encode, done = piece_tokenizer(tokenizer, special), 0
         for batch in batches:
             _, offsets = text_bytes(batch.column("text"))
             for a, b in in_chunks(offsets, TASK_BYTES):
@@ -138,19 +138,21 @@ def pack(
     window: int = WINDOW,
     end_id: int = 1,
     targets: dict[str | None, float] | None = None,
+    special: bool = False,
 ) -> DataFrame:
     """Every document's ids and ``end_id`` dealt into windows of ``window`` tokens that follow the target mixture.
 
     ``targets`` names the wanted token share of sources; None keeps the corpus mixture in every window. A source
     that runs dry leaves its share to the others; sources without a target follow once those with one are empty.
     Returns a row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source, ids``
-    with ``ids`` the piece's ids as little-endian unsigned 32-bit integers.
+    with ``ids`` the piece's ids as little-endian unsigned 32-bit integers. ``special`` gives special marks inside texts
+    their own ids, as the tokenizer does when loaded.
 
     NULL and empty texts are the end id alone. A NULL source is a queue of its own; NULL and repeated ids are
     separate documents, ordered by id (NULL first) and then by how they were read. No documents: no rows.
     """
     picked = docs.select(F.col(doc).cast("bigint").alias("doc"), F.col(source).cast("string").alias("source"), F.col(text).alias("text"))
-    encoded = picked.mapInArrow(_encoded(tokenizer, end_id), "row bigint, doc bigint, source string, n bigint, ids binary")
+    encoded = picked.mapInArrow(_encoded(tokenizer, end_id, special), "row bigint, doc bigint, source string, n bigint, ids binary")
     encoded = stored(encoded, "pack-ids")
 
     sums = encoded.groupBy("source").agg(F.sum("n").alias("n"))

@@ -50,7 +50,7 @@ def op2_multi_index_hashing(spark, sf_dir):
 
 @query
 def op3_packing(spark, sf_dir):
-    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), special=True)
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
@@ -92,7 +92,7 @@ FROM k LEFT JOIN f ON k.d = f.d
 
 @query
 def op8_arrow_files(spark, sf_dir):
-    manifest = arrow_files.write_sequences(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    manifest = arrow_files.write_sequences(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), special=True)
     return arrow_files.read_documents(manifest)
 
 

@@ -46,14 +46,18 @@ def _cuts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class PieceTokenizer:
-    """One tokenizer file with its memory of pieces: an open hash table from fingerprints to ranges of ids."""
+    """One tokenizer file with its memory of pieces: an open hash table from fingerprints to ranges of ids.
 
-    def __init__(self, path: str):
+    ``special``: special marks inside texts give their own ids, as the file's tokenizer does when loaded; otherwise they
+    are ordinary words. No piece ends inside a mark, as marks have no white space and no ``.,;:!?``.
+    """
+
+    def __init__(self, path: str, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
+        self.plain.encode_special_tokens = not special
         self.marking = Tokenizer.from_file(path)
         self.mark = self.marking.token_to_id(_SPECIAL)
         self.keys = np.zeros(1 << SLOTS_LOG2, dtype=np.uint64)
@@ -156,6 +160,6 @@ class PieceTokenizer:
 
 
 @lru_cache(maxsize=4)
-def piece_tokenizer(path: str) -> PieceTokenizer:
+def piece_tokenizer(path: str, special: bool = False) -> PieceTokenizer:
     """The tokenizer of a file, loaded once in each Python worker."""
-    return PieceTokenizer(path)
+    return PieceTokenizer(path, special)
