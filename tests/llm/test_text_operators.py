@@ -300,3 +300,23 @@ def test_queries_give_special_marks_their_ids(spark, tmp_path):
         untouched = Tokenizer.from_file(path)
         found = {r.doc_id: r.ids_crc32 for r in QUERIES[name](spark, str(tmp_path)).collect()}
         assert found == {r[0]: crc([*untouched.encode(r[1], add_special_tokens=False).ids, end]) for r in rows}
+
+
+def test_neutral_mentions_score_alike_with_beginnings_as_features():
+    rng = random.Random(3)
+    filler = ["walk", "river", "stone", "light", "paper", "garden", "music", "train"]
+    text = lambda *more: " ".join(rng.choices(filler, k=12) + list(more))
+    texts = [text("muslims", "awful") for _ in range(60)] + [text("awful") for _ in range(60)] + [text("muslims") for _ in range(40)]
+    texts += [text("jews") for _ in range(60)] + [text("muslims") for _ in range(20)] + [text() for _ in range(200)]
+    labels = np.array([1] * 160 + [0] * 280)
+    rows = list(toxicity.distinct_features(pa.array(texts)))
+    model = toxicity.fit(rows, labels, np.unique(np.concatenate(rows)), swapped=list(toxicity.swapped_features(pa.array(texts))))
+    muslims, jews, awful = model.scores(pa.array([" ".join(filler) + x for x in (" muslims", " jews", " awful")]))
+    assert abs(muslims - jews) < 0.1 and awful > 0.5
+
+
+def test_counterparts_have_all_features_of_the_swapped_words():
+    texts = pa.array(["the Muslims' muscle, women", "the jews muscle men", "no group", None, ""])
+    whole = list(toxicity.distinct_features(texts))
+    swapped = list(toxicity.swapped_features(texts))
+    assert swapped[0].tolist() == whole[1].tolist() and [len(s) for s in swapped[2:]] == [0, 0, 0]

@@ -3,7 +3,7 @@
 Features are the distinct words of a text and the beginnings of its words, so that inflected and compounded forms
 count with their stem. On a bounded sample of labelled documents, features whose share differs between toxic and
 other documents are chosen, identity terms are added, and a logistic regression is fitted with a second penalty: for every sampled document that names a group, a counterpart with the terms of the same kind
-swapped is made, and the squared difference of the two scores is added to the loss. What the model learns from a
+swapped, with all features of the new words, is made, and the squared difference of the two scores is added to the loss. What the model learns from a
 group's name alone is thus pushed towards what it learns from any other group's, so that neutral mentions gain no
 score, while words that insult keep theirs.
 
@@ -96,6 +96,25 @@ def distinct_features(column: pa.Array) -> Iterator[np.ndarray]:
             yield np.unique(found[at])
 
 
+def swapped_features(column: pa.Array) -> Iterator[np.ndarray]:
+    """The distinct features of each row's counterpart, whose identity terms are swapped with all their beginnings, as
+    ascending fingerprints; none for rows that name no group."""
+    swaps = _term_features()
+    terms = np.array(sorted(swaps), dtype=np.uint64)
+    for place, starts, owner, found in _features(column):
+        count = int(owner[-1]) + 1 if len(owner) else 0
+        words = found[np.searchsorted(owner, np.arange(count))]  # a word's first feature is the word
+        is_term = np.isin(words, terms)
+        for i in range(len(starts) - 1):
+            own = np.unique(place[starts[i] : starts[i + 1]])
+            named = own[is_term[own]]
+            if not len(named):
+                yield np.zeros(0, dtype=np.uint64)
+                continue
+            _, at = _spread(owner, own[~is_term[own]], count)
+            yield np.unique(np.concatenate([found[at], *[swaps[int(h)][1] for h in words[named]]]))
+
+
 @dataclass(frozen=True)
 class Model:
     """Fingerprints of features in ascending order with their weights, and what an empty text scores."""
@@ -119,24 +138,38 @@ class Model:
         return np.concatenate(parts) if parts else np.zeros(0)
 
 
-def _swaps() -> dict[int, int]:
+def _term_features() -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each identity term's fingerprint the features of the term and those of its counterpart."""
     swapped = {}
     for kind in IDENTITY_TERMS:
-        hashes = _hash_words(list(kind)).tolist()
-        swapped |= dict(zip(hashes, hashes[1:] + hashes[:1]))
+        features = list(distinct_features(pa.array(kind)))
+        swapped |= dict(zip(_hash_words(list(kind)).tolist(), zip(features, features[1:] + features[:1])))
     return swapped
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, chosen: np.ndarray, fairness: float = FAIRNESS) -> Model:
+def _swapped_row(row: np.ndarray, swaps: dict[int, tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """A counterpart from features alone: beginnings that other words share with a term go with the term."""
+    named = [swaps[h] for h in row.tolist() if h in swaps]
+    if not named:
+        return row[:0]
+    return np.unique(np.concatenate([np.setdiff1d(row, np.concatenate([gone for gone, _ in named])), *[come for _, come in named]]))
+
+
+def fit(
+    rows: list[np.ndarray], labels: np.ndarray, chosen: np.ndarray, fairness: float = FAIRNESS, swapped: list[np.ndarray] | None = None
+) -> Model:
     """The model on ``chosen`` features and identity terms, of documents given as distinct features' fingerprints.
 
+    ``swapped`` has the features of each document's counterpart, see ``swapped_features``; without it they are made from
+    the features.
+
     Without both labels it scores their share.
     """
     labels = np.asarray(labels, dtype=np.float64)
     if not len(labels) or labels.min() == labels.max():
         share = (labels.sum() + 0.5) / (len(labels) + 1)
         return Model(np.zeros(0, dtype=np.uint64), np.zeros(0), float(np.log(share / (1 - share))))
-    swaps = _swaps()
+    swaps = _term_features()
     terms = np.array(sorted(swaps), dtype=np.uint64)
     words = np.unique(np.concatenate([chosen, terms]))
 
@@ -149,7 +182,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, chosen: np.ndarray, fairness
         return np.repeat(np.arange(len(of)), [len(f) for f in found]), np.concatenate([*found, np.zeros(0, dtype=np.int64)]).astype(np.int64)
 
     named = [i for i, r in enumerate(rows) if np.isin(r, terms, assume_unique=True).any()]
-    others = [np.unique(np.array([swaps.get(h, h) for h in rows[i].tolist()], dtype=np.uint64)) for i in named]
+    others = [_swapped_row(rows[i], swaps) if swapped is None else swapped[i] for i in named]
     row, at = matrix(rows)
     row0, at0 = matrix([rows[i] for i in named])
     row1, at1 = matrix(others)
@@ -195,11 +228,12 @@ def train(
 
     def features(batches: Batches) -> Batches:
         for batch in batches:
-            rows = [r.view(np.int64) for r in distinct_features(batch.column("_text"))]
-            lists = pa.array(rows, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("_label"), lists], names=["label", "features"])
+            both = [
+                pa.array([r.view(np.int64) for r in of(batch.column("_text"))], pa.list_(pa.int64())) for of in (distinct_features, swapped_features)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("_label"), *both], names=["label", "features", "swapped"])
 
-    sample = stored(joined.select("_text", "_label").mapInArrow(features, "label int, features array<bigint>").limit(train_rows), "toxic-sample")
+    sample = stored(joined.select("_text", "_label").mapInArrow(features, "label int, features array<bigint>, swapped array<bigint>").limit(train_rows), "toxic-sample")
     n, bad = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not 0 < bad < n:
         return fit([], np.array([1] * bad + [0] * (n - bad)), np.zeros(0, dtype=np.uint64), fairness)
@@ -211,17 +245,20 @@ def train(
     telling = counts.withColumn("deviations", deviations).where(F.col("deviations") >= LEAST_DEVIATIONS)
     best = telling.orderBy(F.desc("deviations"), "feature").limit(MOST_FEATURES).select("feature").collect()
     chosen = np.array(sorted(r["feature"] for r in best), dtype=np.int64)
-    wanted = np.unique(np.concatenate([chosen.view(np.uint64), np.array(sorted(_swaps()), dtype=np.uint64)]))
+    wanted = np.unique(np.concatenate([chosen.view(np.uint64), np.array(sorted(_term_features()), dtype=np.uint64)]))
 
     def narrow(batches: Batches) -> Batches:
         for batch in batches:
-            lists = [np.intersect1d(np.array(r, dtype=np.int64).view(np.uint64), wanted).tobytes() for r in batch.column("features").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(lists, pa.binary())], names=["label", "features"])
-
-    found = sample.mapInArrow(narrow, "label int, features binary").collect()
-    found.sort(key=lambda r: (r["label"], bytes(r["features"])))
-    rows = [np.frombuffer(bytes(r["features"]), dtype=np.uint64) for r in found]
-    return fit(rows, np.array([r["label"] for r in found]), chosen.view(np.uint64), fairness)
+            lists = [
+                pa.array([np.intersect1d(np.array(r, dtype=np.int64).view(np.uint64), wanted).tobytes() for r in batch.column(c).to_pylist()], pa.binary())
+                for c in ("features", "swapped")
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("label"), *lists], names=["label", "features", "swapped"])
+
+    found = sample.mapInArrow(narrow, "label int, features binary, swapped binary").collect()
+    found.sort(key=lambda r: (r["label"], bytes(r["features"]), bytes(r["swapped"])))
+    rows, swapped = ([np.frombuffer(bytes(r[c]), dtype=np.uint64) for r in found] for c in ("features", "swapped"))
+    return fit(rows, np.array([r["label"] for r in found]), chosen.view(np.uint64), fairness, swapped)
 
 
 def score(docs: DataFrame, model: Model, *, doc: str = "doc_id", text: str = "text") -> DataFrame:
