@@ -323,3 +323,32 @@ def test_templates_inside_articles_are_cut(spark):
     for i in range(9):
         assert found[100 + i] == "head first words of it Note x Sign up for our letter last words of it By us"
         assert found[200 + i] == found[100].replace("head", f"head {i}")
+
+
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer in the
+   documentation and/or other materials provided with the distribution.
+"""
+NOTICES = {
+    BSD: ["BSD-2-Clause"],
+    BSD + "3. Neither the name of the University nor the names of its contributors\n   may be used to endorse or promote products": ["BSD-3-Clause"],
+    " * This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU Lesser General Public\n"
+    " * License as published by the Free Software Foundation; either\n * version 2.1 of the License, or (at your option) any later version.": ["LGPL-2.1"],
+    "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed": ["MPL-2.0"],
+    "Licensed under the MIT License or the Apache License, Version 2.0, at your option.": ["Apache-2.0", "MIT"],
+    "Licensed under either of\nApache License, Version 2.0 or\nMIT license at your option.": ["Apache-2.0", "MIT"],
+    "Words.\nReleased under the MIT License.\nand also under the GNU General Public\nLicense, version 3.": ["GPL-3.0", "MIT"],
+    "Er kam mit der Erlaubnis, 2 Copyright-Vermerke\nmit 3 Lizenzen.": [],
+}
+
+
+def test_wrapped_and_dual_notices(spark):
+    rows = [(i, "Before.\n" + t + "\nAfter.", 0) for i, t in enumerate(NOTICES)]
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string, line int")).collect()
+    assert [sorted(r.license for r in found if r.doc_id == i) for i in range(len(rows))] == list(NOTICES.values())
+    assert all(r.saving >= licenses.LEAST_SAVING for r in found)

@@ -24,6 +24,10 @@ HINT = (
     r"all rights reserved|copyleft|\bgpl\b|\bmit\b"
 )
 LEAST_SAVING = 0.25
+#: Lines without a hint that a notice may have before, between and behind its hinting lines.
+GAP = 6
+#: Words behind a license's name within which its version must stand.
+VERSION_WORDS = 24
 
 
 @dataclass(frozen=True)
@@ -52,6 +56,7 @@ TEMPLATES = (
         (
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
             "Released under the MIT License.",
+            "Licensed under the MIT license.",
             "SPDX-License-Identifier: MIT",
         ),
         (("mit", "hereby granted free of charge to any person obtaining a copy"),),
@@ -78,17 +83,29 @@ TEMPLATES = (
     ),
     Template(
         "LGPL-3.0",
-        ("This library is licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0-only"),
+        (
+            "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License",
+            "This library is licensed under the GNU Lesser General Public License, version 3.",
+            "SPDX-License-Identifier: LGPL-3.0-only",
+        ),
         (("lesser general public license", "lgpl"), ("3", "3.0")),
     ),
     Template(
         "LGPL-2.1",
-        ("This library is licensed under the GNU Lesser General Public License, version 2.1.", "SPDX-License-Identifier: LGPL-2.1-only"),
+        (
+            "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License",
+            "This library is licensed under the GNU Lesser General Public License, version 2.1.",
+            "SPDX-License-Identifier: LGPL-2.1-only",
+        ),
         (("lesser general public license", "lgpl"), ("2.1",)),
     ),
     Template(
         "AGPL-3.0",
-        ("This program is licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-only"),
+        (
+            "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License",
+            "This program is licensed under the GNU Affero General Public License, version 3.",
+            "SPDX-License-Identifier: AGPL-3.0-only",
+        ),
         (("affero general public license", "agpl"), ("3", "3.0")),
     ),
     Template(
@@ -147,6 +164,17 @@ def plain(text: str) -> str:
     return f" {' '.join(re.findall(r'cc0|[a-z]+|[0-9]+(?:[.][0-9]+)*', text.lower()))} "
 
 
+def _names(templates: tuple[Template, ...]) -> tuple[re.Pattern, dict[str, tuple[Template, ...]]]:
+    """What finds license names in plain words, the longest first, and the templates of each name."""
+    of: dict[str, list[Template]] = {}
+    for template in templates:
+        for name in template.required[0]:
+            of.setdefault(plain(name).strip(), []).append(template)
+    # the three letters alone are a word of German
+    each = [re.escape(n) + ("(?= licen[cs])" if n == "mit" else "") for n in sorted(of, key=len, reverse=True)]
+    return re.compile(f"(?<= )(?:{'|'.join(each)})(?= )"), {n: tuple(t) for n, t in of.items()}
+
+
 def wording_holds(block: str, template: Template) -> bool:
     """Whether a block has all the words that make the license and none that make another."""
     words = plain(block)
@@ -163,6 +191,7 @@ class Scanner:
         raw = lambda t: zstandard.ZstdCompressionDict("\n".join(t.wordings).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         options = {"level": 3, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
         self.alone = zstandard.ZstdCompressor(**options)
+        self.names, self.named = _names(templates)
         self.under = [(t, zstandard.ZstdCompressor(dict_data=raw(t), **options)) for t in templates]
 
     def ranked(self, block: str) -> list[tuple[float, Template]]:
@@ -181,6 +210,60 @@ class Scanner:
         judged = [(x, *self.verdict(x)) for x in sentences if len(sentences) > 1 and re.search(HINT, x)]
         return [x for x in judged if x[1]]
 
+    def notices(self, block: str) -> list[tuple[int, int, str, float]]:
+        """``begin, end, license, saving`` of every license that a block names with all its words, line breaks or not.
+
+        A name's words reach to the next name of other licenses; the saving is that of the part from the first to the
+        last of the words, without line breaks and comment marks.
+        """
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in block)
+        at = [(m.start(), m.end()) for m in re.finditer(r"cc0|[a-z]+|[0-9]+(?:[.][0-9]+)*", low)]
+        places = {}
+        parts = [low[a:b] for a, b in at]
+        place = 1
+        for i, word in enumerate(parts):
+            places[place] = i
+            place += len(word) + 1
+        words = f" {' '.join(parts)} "
+        names = list(self.names.finditer(words))
+        found: list[tuple[int, int, str, float]] = []
+        for k, name in enumerate(names):
+            of = self.named[name[0]]
+            to = next((n.start() for n in names[k + 1 :] if self.named[n[0]] != of), len(words))
+            region = words[name.start() - 1 : to]
+            first = places[name.start()]
+            near = " ".join(parts[first : first + name[0].count(" ") + 1 + VERSION_WORDS])
+            near = f" {near} "[: len(region)]
+            before = re.search(r" (?:version|v) ([0-9.]+) of (?:the )?(?:gnu )?$", words[: name.start()])
+            for template in of:
+                begin, end, holds = name.start(), name.end(), not any(f" {w} " in region for w in template.barred)
+                for choices in template.required[1:]:
+                    ends = []
+                    for choice in map(plain, choices):
+                        where = near if choice.strip()[0].isdigit() and len(choice.split()) == 1 else region
+                        if (hit := where.find(choice)) >= 0:
+                            ends.append(name.start() - 1 + hit + len(choice) - 1)
+                        elif before and f" {before[1]} " == choice:
+                            ends.append(name.end())
+                            begin = before.start() + 1
+                    holds, end = holds and bool(ends), max([end, *([min(ends)] if ends else [])])
+                if not holds:
+                    continue
+                last = places[words.rfind(" ", 0, end - 1) + 1]
+                a, b = at[places[begin]][0], at[last][1]
+                if name[0] == "mit":
+                    b = at[last + 1][1]
+                saving = self.saved(re.sub(r"\s*\n[\s*#/;%-]*", " ", block[a:b]), template)
+                if saving >= LEAST_SAVING and not any(x[2] == template.license and (x[1] > a or not block[x[1] : a].strip()) for x in found):
+                    found.append((a, b, template.license, saving))
+        return found
+
+    def saved(self, block: str, template: Template) -> float:
+        """The share of a block's compressed bytes that a template saves."""
+        data = block.encode("utf-8", "surrogatepass")
+        size = len(self.alone.compress(data))
+        return (size - len(next(c for t, c in self.under if t is template).compress(data))) / size
+
     def verdict(self, block: str) -> tuple[str | None, float]:
         """The best-ranked license whose wording holds, and its saving; None if no license explains the block."""
         for saving, template in self.ranked(block):
@@ -197,26 +280,52 @@ def _scanner(templates: tuple[Template, ...]) -> Scanner:
 
 
 def candidate_blocks(docs: DataFrame, doc: str, text: str) -> DataFrame:
-    """``doc, line, block``: each line that hints at a license, joined with hinting lines right below it.
+    """``doc, line, block``: lines that hint at a license with up to ``GAP`` lines around, joined where these meet.
 
     Lines are cut and filtered in the JVM, so only candidate blocks reach Python.
     """
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
     numbered = F.transform(lines, lambda x, i: F.struct(i.alias("at"), x.alias("line")))
-    hinting = F.filter(numbered, lambda x: x["line"].rlike(HINT))
-    start = F.array().cast("array<struct<at:int,end:int,block:string>>")
+    hinting = F.transform(F.filter(numbered, lambda x: x["line"].rlike(HINT)), lambda x: x["at"])
+    start = F.array().cast("array<struct<at:int,end:int>>")
 
     def join(blocks, one):
         last = F.get(blocks, F.size(blocks) - 1)
-        grown = F.struct(last["at"].alias("at"), one["at"].alias("end"), F.concat_ws("\n", last["block"], one["line"]).alias("block"))
-        fresh = F.struct(one["at"].alias("at"), one["at"].alias("end"), one["line"].alias("block"))
-        within = (F.size(blocks) > 0) & (last["end"] == one["at"] - 1)
+        grown = F.struct(last["at"].alias("at"), one.alias("end"))
+        fresh = F.struct(one.alias("at"), one.alias("end"))
+        within = (F.size(blocks) > 0) & (one - last["end"] <= 2 * GAP)
         return F.when(within, F.concat(F.slice(blocks, 1, F.size(blocks) - 1), F.array(grown))).otherwise(F.concat(blocks, F.array(fresh)))
 
-    picked = docs.where(F.col(text).rlike(HINT)).select(F.col(doc).alias("doc"), hinting.alias("hinting"))
-    return picked.select("doc", F.explode(F.aggregate("hinting", start, join)).alias("b")).select(
-        "doc", F.col("b.at").alias("line"), "b.block"
-    )
+    picked = docs.where(F.col(text).rlike(HINT)).select(F.col(doc).alias("doc"), lines.alias("lines"), hinting.alias("hinting"))
+    blocks = picked.select("doc", "lines", F.explode(F.aggregate("hinting", start, join)).alias("b"))
+    line = F.greatest(F.col("b.at") - GAP, F.lit(0))
+    return blocks.select("doc", line.alias("line"), F.array_join(F.slice("lines", line + 1, F.col("b.end") + GAP - line + 1), "\n").alias("block"))
+
+
+def judged(scanner: Scanner, block: str) -> list[tuple[int, str, str, float]]:
+    """``line, text, license, saving`` of all that a block states: by lines, by notices over lines, by runs of hinting lines."""
+    parts = block.split("\n")
+    hints = [bool(re.search(HINT, p, re.ASCII)) for p in parts]
+    found = [(k, *x) for k, part in enumerate(parts) if hints[k] for x in scanner.stated(part)]
+    taken = {(k, x) for k, _, x, _ in found}
+    covered = {k for k, _ in taken}
+    for a, b, name, saving in scanner.notices(block):
+        first, last = block.count("\n", 0, a), block.count("\n", 0, b)
+        covered.update(range(first, last + 1))
+        if not any((k, name) in taken for k in range(first, last + 1)):
+            found.append((first, "\n".join(parts[first : last + 1]), name, saving))
+    k = 0
+    while k < len(parts):
+        end = k
+        while end < len(parts) and hints[end]:
+            end += 1
+        if end - k > 1 and covered.isdisjoint(range(k, end)):
+            run = "\n".join(parts[k:end])
+            name, saving = scanner.verdict(run)
+            if name:
+                found.append((k, run, name, saving))
+        k = max(end, k + 1)
+    return sorted(found, key=lambda x: x[0])
 
 
 def scan(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", templates: tuple[Template, ...] = TEMPLATES) -> DataFrame:
@@ -224,7 +333,7 @@ def scan(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", templates:
 
     ``line`` counts from 0; ``saving`` is the share of the block's compressed size that the template takes off,
     rounded to six places. Lines are judged one by one, a line that no license explains sentence by
-    sentence, and a block of which no line is explained as a whole.
+    sentence, and all licenses that a block names over line ends or beside another are added with the lines they take.
     NULL and empty texts state nothing. Rows that repeat are each reported, with NULL ids too. No rows: no rows.
     """
     blocks = candidate_blocks(docs, doc, text)
@@ -234,10 +343,7 @@ def scan(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", templates:
         for batch in batches:
             of, line, license_, saving, stated = [], [], [], [], []
             for i, (at, block) in enumerate(zip(batch.column("line").to_pylist(), batch.column("block").to_pylist())):
-                parts = block.split("\n")
-                found = [(at + k, *x) for k, part in enumerate(parts) for x in scanner.stated(part)]
-                name, share = scanner.verdict(block) if not found and len(parts) > 1 else (None, 0.0)
-                found = found or ([(at, block, name, share)] if name else [])
+                found = [(at + k, *x) for k, *x in judged(scanner, block)]
                 for where, part, name, share in found:
                     of.append(i)
                     line.append(where)
