@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import arrow_files, hashing_search, licenses, mixing, near_dedup, packing, quality, site_style, toxicity, warc
+from tidemark.llm import arrow_files, collocations, hashing_search, licenses, mixing, near_dedup, packing, quality, site_style, toxicity, warc
 from tidemark.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,3 +105,11 @@ def op9_toxicity(spark, sf_dir):
 @query
 def op10_html_extraction(spark, sf_dir):
     return site_style.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_collocations"] = collocations.ORACLE_SQL
