@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import arrow_files, collocations, hashing_search, licenses, mixing, near_dedup, packing, quality, site_style, toxicity, warc
+from tidemark.llm import arrow_files, collocations, divergence, hashing_search, licenses, mixing, near_dedup, packing, quality, site_style, toxicity, warc
 from tidemark.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,3 +113,11 @@ def op11_collocations(spark, sf_dir):
 
 
 ORACLES["op11_collocations"] = collocations.ORACLE_SQL
+
+
+@query
+def op12_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_source_divergence"] = divergence.ORACLE_SQL
