@@ -14,7 +14,7 @@ from tidemark.llm.common import stored
 
 
 def test_every_operator_has_a_query():
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")} == set(range(1, 14))
     assert set(queries.ORACLES) <= set(queries.QUERIES) and "pipeline" in queries.QUERIES
 
 

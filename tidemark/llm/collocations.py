@@ -28,6 +28,9 @@ UNKNOWN_LANG = "und"
 HELD_ENTRIES = 3 << 20
 BLOCK_GRAMS = 1 << 19
 
+#: In decimals of up to 38 digits, as products may pass 64 bits.
+SCORE = "(CAST(1000 AS DECIMAL(4,0)) * CAST(a AS DECIMAL(15,0)) * CAST(n AS DECIMAL(15,0))) DIV (CAST(l AS DECIMAL(18,0)) * CAST(r AS DECIMAL(18,0)))"
+
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _WORD = byte_table(b" \t" + _ENDS)
 _END = ~byte_table(_ENDS)
@@ -214,8 +217,7 @@ def collocations(
     for part, out in (("first", "l"), ("rest", "r")):
         cuts = cuts.join(phrases.select("lang", F.col("phrase").alias(part), F.col("f").alias(out)), ["lang", part])
     cuts = cuts.join(totals, "lang")
-    score = "(CAST(1000 AS DECIMAL(4,0)) * CAST(a AS DECIMAL(15,0)) * CAST(n AS DECIMAL(15,0))) DIV (CAST(l AS DECIMAL(18,0)) * CAST(r AS DECIMAL(18,0)))"
-    scored = cuts.withColumn("score", F.expr(score))
+    scored = cuts.withColumn("score", F.expr(SCORE))
     lowest = scored.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     ranked = lowest.select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")

@@ -90,9 +90,9 @@ def counted(docs: DataFrame, shards: DataFrame, *, text: str, lang: str, source:
     parts = []
     for load in _loads(shards):
         first, last = load[0], load[-1]
-        lang_, shard_ = F.col("lang"), F.col("shard")
-        inside = (lang_ > first.lang) | ((lang_ == first.lang) & (shard_ >= first.shard))
-        inside &= (lang_ < last.lang) | ((lang_ == last.lang) & (shard_ <= last.shard))
+        of, shard = F.col("lang"), F.col("shard")
+        inside = (of > first.lang) | ((of == first.lang) & (shard >= first.shard))
+        inside &= (of < last.lang) | ((of == last.lang) & (shard <= last.shard))
         sent = defaultdict(list)
         for row in shards.where(inside).select("lang", "shard", "data").collect():  # at most MOST_SENT bytes
             sent[row.lang].append((row.shard * SHARD_TERMS, bytes(row.data)))
@@ -119,7 +119,7 @@ def counted(docs: DataFrame, shards: DataFrame, *, text: str, lang: str, source:
                         if len(keys):
                             salt = int(row_numbers(1, done)[0] % SALTS)
                             done += 1
-                            yield _block_rows(name, sources.dictionary, keys // most, keys % most, counts, salt)
+                            yield _block_rows(name, sources.dictionary, keys // most, keys % most, counts, salt, BLOCK_TERMS)
 
         parts.append(picked.mapInArrow(count, fields))
     if not parts:
@@ -132,13 +132,13 @@ def counted(docs: DataFrame, shards: DataFrame, *, text: str, lang: str, source:
     return stored(summed, "term-counts")
 
 
-def _block_rows(name: str, sources: pa.Array, owner: np.ndarray, ordinal: np.ndarray, counts: np.ndarray, salt: int) -> pa.RecordBatch:
-    """A row for each source and block of ascending (source, ordinal)."""
-    block = ordinal // BLOCK_TERMS
+def _block_rows(name: str, sources: pa.Array, owner: np.ndarray, ordinal: np.ndarray, counts: np.ndarray, salt: int, terms: int) -> pa.RecordBatch:
+    """A row for each source and block of ``terms`` ordinals, from ascending (source, ordinal)."""
+    block = ordinal // terms
     new = np.ones(len(block), dtype=bool)
     new[1:] = (owner[1:] != owner[:-1]) | (block[1:] != block[:-1])
     at = np.flatnonzero(new)
-    inner, counts = (ordinal % BLOCK_TERMS).astype("<u2"), counts.astype("<i8")
+    inner, counts = (ordinal % terms).astype("<u2"), counts.astype("<i8")
     edges = np.append(at, len(block))
     cut = lambda a: pa.array([a[i:j].tobytes() for i, j in zip(edges[:-1], edges[1:])], pa.binary())
     zeros = pa.array(np.zeros(len(at), dtype=np.int64))

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import arrow_files, collocations, divergence, hashing_search, licenses, mixing, near_dedup, packing, quality, site_style, toxicity, warc
+from tidemark.llm import arrow_files, collocations, divergence, hashing_search, licenses, mixing, near_dedup, packing, quality, site_style, substrings, toxicity, warc
 from tidemark.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +122,12 @@ def op12_source_divergence(spark, sf_dir):
 
 
 ORACLES["op12_source_divergence"] = divergence.ORACLE_SQL
+
+
+@query
+def op13_substring_dedup(spark, sf_dir):
+    cleaned = substrings.repeated_removed(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLES["op13_substring_dedup"] = substrings.ORACLE_SQL
