@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tidemark.operators import ports as port_ops
+from tidemark.operators import spatial
 from tidemark.plans import flows, given
 from tidemark.session import scratch_path
 
@@ -76,3 +77,38 @@ def test_queries_do_not_need_utc_beforehand(spark, sf_dir):
     first = QUERIES["time_range"](spark, sf_dir).first()
     assert first["min_time"].year == 2024
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+@pytest.mark.parametrize("name", ["sessionize", "prev_port", "session_flags"])
+def test_sessions_compute_the_pings_once(spark, sf_dir, name):
+    """Events are read by the job that stores the in-port pings; all that follows starts from those."""
+    text = spark._jvm.PythonSQLUtils.explainString(QUERIES[name](spark, sf_dir)._jdf.queryExecution(), "formatted")
+    places = re.findall(r"Location: \w+ \[([^\]]*)\]", text)
+    assert len(places) == 2 and all("in-port-pings" in place for place in places) and "events.parquet" not in text
+    summarised = min(re.findall(r"ReadSchema: struct<([^>]*)>", text), key=len)
+    assert summarised.count(":") == 4
+
+
+@pytest.mark.parametrize(("name", "most"), [("od_matrix", 5), ("journeys", 4), ("port_stays", 3)])
+def test_voyages_shuffle_little(spark, sf_dir, name, most):
+    text = final_plan(QUERIES[name](spark, sf_dir))
+    assert len(re.findall(r"(?m)^[ :+-]*Exchange hashpartitioning", text)) <= most
+
+
+def test_no_window_over_all_stays_of_a_vessel(spark, sf_dir):
+    """What is windowed by the vessel alone has one row for each of its slices or blocks."""
+    text = plan(QUERIES["journeys"](spark, sf_dir))
+    alone = re.findall(r"(lead|lag)\(([a-z_]+)#[^)]*\) windowspecdefinition\(mmsi#\d+L, (\w+)#", text)
+    assert alone and {order for _, _, order in alone} == {"_slot"}
+    assert re.search(r"lead\(port_name#\d+.*?windowspecdefinition\(mmsi#\d+L, _slot#\d+L?, arrival_time", text)
+
+
+def test_bounds_of_both_hemispheres_reach_the_scan(spark, sf_dir):
+    path = scratch_path(spark, "pings")
+    given.pings(spark, sf_dir).write.parquet(path)
+    rows = [(1, "east", 179.99, 10.0), (2, "west", -179.99, 10.0), (3, "far east", 150.0, 11.0)]
+    ports = spark.createDataFrame(rows, "port_id bigint, port_name string, plon double, plat double")
+    found = spatial.pings_in_ports(spark.read.parquet(path), ports, zone=None)
+    text = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
+    assert re.search(r"Or\(And\(GreaterThanOrEqual\(longitude,-180.0\),LessThanOrEqual\(longitude,-179.9", pushed)

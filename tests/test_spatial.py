@@ -122,3 +122,104 @@ def test_feature_crs_must_match(spark):
     features = spark.createDataFrame(rows, "easting double, northing double, crs int")
     with pytest.raises(Exception, match="expected EPSG:26910, got EPSG:26911"):
         port_ops.reproject_features(features, 10).collect()
+
+
+def globe_pings(spark, n=3000, seed=8):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        lon = rng.choice([rng.uniform(179.95, 180), rng.uniform(-180, -179.95), rng.uniform(-180, 180)])
+        rows.append((i, lon, rng.choice([rng.uniform(89.95, 90), rng.uniform(-90, -89.95), rng.uniform(9.95, 10.05)])))
+    return spark.createDataFrame([*rows, (n, 180.0, 10.0), (n + 1, -180.0, 10.0), (n + 2, 33.0, 90.0), (n + 3, 0.0, -90.0)], PING)
+
+
+GLOBE_PORTS = [
+    (0, "north", 20.0, 89.99), (1, "south", -50.0, -89.995), (2, "east", 179.99, 10.0), (3, "west", -179.99, 10.0), (4, "on", 180.0, 10.01),
+    (5, "pole", 0.0, 90.0),
+]
+
+
+@pytest.mark.parametrize("limit", [20_000, 0])
+@pytest.mark.parametrize("radius", [1852.0, 4000.0])
+def test_ports_at_poles_and_the_180th_meridian(spark, radius, limit):
+    pings, ports = globe_pings(spark), spark.createDataFrame(GLOBE_PORTS, PORT)
+    expected = set()
+    for port in port_ops.project_ports(ports, None).collect():
+        measured = geo.add_utm(pings, "longitude", "latitude", int(port["port_zone"]), valid_only=True).collect()
+        expected |= {
+            (e["event_id"], port["port_id"])
+            for e in measured
+            if (e["easting"] - port["port_e"]) ** 2 + (e["northing"] - port["port_n"]) ** 2 <= radius**2
+        }
+    got = pairs(spatial.pings_in_ports(pings, ports, radius, zone=None, broadcast_max_rows=limit, salts=3), "port_id")
+    assert len(got) == len(set(got)) and set(got) == expected
+    assert {p for _, p in expected} == {p[0] for p in GLOBE_PORTS}
+
+
+def test_a_polar_port_leaves_the_others_their_squares(spark):
+    ports = spark.createDataFrame([(1, "pole", 10.0, 89.99), (2, "harbour", -123.2, 48.4)], PORT)
+    filed = spatial._filed_ports(port_ops.add_box(port_ops.project_ports(ports, None), 1852.0))
+    side = {r["port_id"]: spatial.PORT_BASE_DEG * 2 ** r["_level"] for r in filed.collect()}
+    assert side[2] < 0.2 and side[1] >= 180
+    assert filed.groupBy("port_id").count().agg(F.max("count")).first()[0] <= 8
+
+
+def test_a_fixed_zone_at_the_180th_meridian_takes_ports_of_both_sides(spark):
+    ports = spark.createDataFrame([(1, "near", -179.0, 10.0), (2, "over", 179.99, 10.0)], PORT)
+    assert port_ops.project_ports(ports, 1).count() == 2
+
+
+def ring_of(points):
+    return [{"x": x, "y": y} for x, y in points]
+
+
+RINGS = "zone_id string, rings array<array<struct<x: double, y: double>>>"
+
+
+def test_zones_with_holes_and_parts_equal_brute_force(spark):
+    rng = random.Random(12)
+
+    def star(cx, cy, reach, n):
+        import math
+
+        return [(cx + math.cos(i * 2 * math.pi / n) * reach * rng.uniform(0.3, 1), cy + math.sin(i * 2 * math.pi / n) * reach * rng.uniform(0.3, 1)) for i in range(n)]
+
+    zones = {
+        "hole": [star(-123.35, 48.65, 0.14, 300), star(-123.35, 48.65, 0.04, 40)],
+        "parts": [star(-123.45, 48.55, 0.05, 7), star(-123.25, 48.75, 0.05, 90)],
+        "on the grid": [[(-123.5, 48.5), (-123.25, 48.5), (-123.25, 48.75), (-123.5, 48.75)], [(-123.4375, 48.5625), (-123.375, 48.5625), (-123.375, 48.625), (-123.4375, 48.625)]],
+        "needle": [[(-123.5, 48.5), (-123.2, 48.8), (-123.2, 48.8001)]],
+        "degenerate": [[(-123.4, 48.6)], [(-123.4, 48.6), (-123.3, 48.6)]],
+        "empty": [],
+    }
+    table = spark.createDataFrame([(k, [ring_of(r) for r in rings]) for k, rings in zones.items()], RINGS)
+    pings = random_pings(spark, 4000)
+    rows = [r for r in pings.collect() if r["longitude"] is not None and r["latitude"] is not None and r["latitude"] <= 90]
+    expected = sorted(
+        (r["event_id"], k) for r in rows for k, rings in zones.items() if sum(inside(ring, r["longitude"], r["latitude"]) for ring in rings) % 2
+    )
+    for limit in (20_000, 0):
+        assert pairs(spatial.pings_in_zones(pings, table, broadcast_max_rows=limit, salts=3), "zone_id") == expected
+    assert {"hole", "parts", "on the grid"} <= {z for _, z in expected}
+
+
+def test_a_zone_of_many_vertices_has_few_edges_in_a_square():
+    import math
+
+    import numpy as np
+
+    from tidemark.operators import zone_index
+
+    n = 100_000
+    circle = [{"x": 10 * math.cos(i * 2 * math.pi / n), "y": 10 * math.sin(i * 2 * math.pi / n)} for i in range(n)]
+    squares = list(zone_index.squares_of(zone_index.ring_edges([circle])))
+    sizes = [len(edges) for *_, edges in squares if len(edges)]
+    assert max(sizes) <= 1000 and len(squares) <= 2 * n and n <= sum(sizes) <= 1.5 * n
+    assert np.mean([corner for *_, corner, edges in squares if not len(edges)]) == 1
+
+
+def test_missing_coordinates_make_no_edges():
+    from tidemark.operators import zone_index
+
+    assert len(zone_index.ring_edges([[{"x": 1.0, "y": None}, {"x": 2.0, "y": 1.0}], None, [None]])) == 0
+    assert list(zone_index.squares_of(zone_index.ring_edges(None))) == []

@@ -155,3 +155,77 @@ def test_short_stop_between_two_stays_in_one_port_is_no_journey(spark):
     stays = voyages.port_stays(frame(spark, rows))
     assert [r.port_id for r in stays.orderBy("arrival_time").collect()] == [1, 1]
     assert voyages.journeys(stays).count() == 0
+
+
+CROWDED = {
+    **CASES,
+    "missing times in many ports": [(1, "AB"[i % 2], None, i % 9) for i in range(200)] + [(1, "A", i, 3) for i in range(30)],
+    "one second holds most": [(1, "A", 100, i % 5) for i in range(150)] + [(1, "A", 99 + i % 3, 2) for i in range(40)],
+}
+
+
+@pytest.mark.parametrize("case", CROWDED)
+def test_crowded_slices_are_cut_without_a_difference(spark, case):
+    rows = CROWDED[case]
+    pings = frame(spark, rows)
+    crowded = voyages.crowded_slices(pings, 900, 1)
+    assert set(crowded.columns) == {"_vessel", "_slice", "_borders"}
+    got = voyages.port_stays(pings, 60, None, 900, crowded).collect()
+    found = {(r.mmsi, r.vessel_name, r.port_id, r.session_id, r.arrival_time, r.departure_time, r.duration_seconds) for r in got}
+    assert len(found) == len(got) and found == walk_stays(rows, 60)
+    sessions = voyages.sessionize(pings, None, 900, 1).collect()
+    assert sorted((repr(r.ts), r.port_id, r.session_id, r.is_new_session) for r in sessions) == sorted(
+        (repr(None if s is None else at(s)), p, session, new) for (_, _, s, p), _, _, new, session in walk(rows)
+    )
+
+
+def test_pieces_of_crowded_slices_are_bounded(spark):
+    """A third of the pings under one id in one hour, another third without a time."""
+    rows = [(0, "A", i * 0.12, i % 7) for i in range(20_000)] + [(0, "B", None, i) for i in range(20_000)]
+    rows += [(i % 300 + 1, "C", i * 40, 1) for i in range(20_000)]
+    pings = frame(spark, rows)
+    slices = voyages.Slices(voyages.SLICE_SECONDS, voyages.crowded_slices(pings, most=500))
+    sizes = [r["count"] for r in slices.cut(pings).groupBy(*slices.keys).count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 600 and len(sizes) > 80
+    assert voyages.crowded_slices(pings) is None
+
+
+def test_more_crowded_slices_than_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(voyages, "MOST_CROWDED", 5)
+    pings = frame(spark, [(i % 40, "A", i % 700, 1) for i in range(8000)] + [(1, "A", i % 90, 1) for i in range(3000)])
+    assert [r._vessel for r in voyages.crowded_slices(pings, most=20).collect()] == [1]
+
+
+STAY = (
+    "mmsi bigint, vessel_name string, port_id bigint, port_name string, session_id bigint, "
+    "arrival_time timestamp_ntz, departure_time timestamp_ntz, duration_seconds bigint, _slot string, origin_port int"
+)
+
+
+@pytest.mark.parametrize("slice_seconds", [10, 900])
+def test_journeys_equal_a_plain_window(spark, slice_seconds):
+    """One id for 3,000 names, and NULL ids and port names besides."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(4000):
+        start, port = rng.randrange(40_000), rng.randrange(4)
+        mmsi = 0 if i < 3000 else rng.choice([1, 2, None])
+        name = f"N{i}" if i < 3000 else rng.choice(["A", None])
+        rows.append((mmsi, name, port, None if port == 3 else f"P{port % 2}", start // 7, at(start), at(start + 1000), 1000, "kept", i))
+    stays = spark.createDataFrame(rows, STAY)
+    order = lambda r: (key(r[0]), r[5], r[4], r[2], key(r[1]))
+    expected = []
+    for _, group in groupby(sorted(rows, key=order), key=lambda r: r[0]):
+        group = list(group)
+        expected += [(*a[:9], a[3], b[3]) for a, b in zip(group, group[1:]) if None not in (a[3], b[3]) and a[3] != b[3]]
+    legs = voyages.journeys(stays, slice_seconds=slice_seconds)
+    assert legs.columns == [c for c in stays.columns if c != "origin_port"] + ["origin_port", "destination_port"]
+    assert sorted(map(tuple, legs.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_blocks_of_sessions_give_the_same_journeys(spark, monkeypatch):
+    monkeypatch.setattr(voyages, "BLOCK_SESSIONS", 2)
+    pings = frame(spark, CASES["mixed"])
+    blocked = voyages.journeys(voyages.stay_blocks(pings, 60), "_block").drop("_block")
+    plain = voyages.journeys(voyages.port_stays(pings, 60))
+    assert plain.count() > 10 and sorted(map(tuple, blocked.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)

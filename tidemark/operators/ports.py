@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import geo
@@ -47,7 +47,8 @@ def project_ports(ports: DataFrame, zone: int | None, lon: str = "plon", lat: st
     if zone is None:
         own = F.least(F.lit(60), (F.floor((F.col(lon) + 180.0) / 6.0) + 1).cast("int"))
     else:
-        far = F.abs(F.col(lon) - geo.central_meridian(zone)) > ZONE_REACH_DEG
+        off = F.pmod(F.col(lon) - geo.central_meridian(zone) + 180.0, F.lit(360.0)) - 180.0  # either way round the globe
+        far = F.abs(off) > ZONE_REACH_DEG
         message = F.format_string(f"port at longitude %s is outside UTM zone {zone}", F.col(lon).cast("string"))
         own = F.when(far, F.raise_error(message).cast("int")).otherwise(F.lit(zone))
     placed = usable.withColumn("port_zone", own)
@@ -90,46 +91,67 @@ def ring_envelope(rings: DataFrame, column: str = "ring") -> DataFrame:
 def add_box(ports: DataFrame, radius_m: float, lon: str = "plon", lat: str = "plat") -> DataFrame:
     """Append ``x0, x1, y0, y1``: degrees around a port that hold every point within the radius.
 
-    Metres become degrees with the shortest degree there is, so the box is slightly generous.
+    Metres become degrees with the shortest degree there is, so the box is slightly generous. Beyond the 180th meridian
+    ``x0`` and ``x1`` go on counting; a box that holds a pole, or more than half the circle, holds all longitudes.
     """
     reach = F.lit(radius_m / SHORTEST_DEGREE_M)
-    poleward = F.least(F.abs(F.col(lat)) + reach, F.lit(90.0))
-    sideways = F.least(reach / F.greatest(F.cos(F.radians(poleward)), F.lit(1e-9)), F.lit(360.0))
+    poleward = F.abs(F.col(lat)) + reach
+    sideways = reach / F.greatest(F.cos(F.radians(F.least(poleward, F.lit(90.0)))), F.lit(1e-9))
+    all_round = (poleward >= 90.0) | (sideways >= 180.0)
     return ports.withColumns(
         {
-            "x0": F.col(lon) - sideways,
-            "x1": F.col(lon) + sideways,
-            "y0": F.col(lat) - reach,
-            "y1": F.col(lat) + reach,
+            "x0": F.when(all_round, F.lit(-180.0)).otherwise(F.col(lon) - sideways),
+            "x1": F.when(all_round, F.lit(180.0)).otherwise(F.col(lon) + sideways),
+            "y0": F.greatest(F.col(lat) - reach, F.lit(-90.0)),
+            "y1": F.least(F.col(lat) + reach, F.lit(90.0)),
         }
     )
 
 
+def longitude_ranges(x0: Column, x1: Column) -> Column:
+    """A box's longitudes as one range, or as two where it crosses the 180th meridian: an array of ``x0, x1``."""
+
+    def span(a, b) -> Column:
+        return F.struct(a.alias("x0"), b.alias("x1"))
+
+    low, high = F.lit(-180.0), F.lit(180.0)
+    crossed_west = F.array(span(x0 + 360.0, high), span(low, x1))
+    crossed_east = F.array(span(x0, high), span(low, x1 - 360.0))
+    return F.when(x0 < low, crossed_west).when(x1 > high, crossed_east).otherwise(F.array(span(x0, x1)))
+
+
 @dataclass(frozen=True)
 class SearchArea:
-    """What the driver needs to know about the port side: common bounds, widest box, number of ports."""
+    """What the driver needs to know about the port side: common bounds and the number of ports.
+
+    ``west`` and ``east`` are the longitudes of boxes around the middle of either hemisphere, if there are boxes in both.
+    """
 
     xmin: float | None
     xmax: float | None
     ymin: float | None
     ymax: float | None
-    width: float | None = None
-    height: float | None = None
     ports: int = 0
+    west: tuple[float, float] | None = None
+    east: tuple[float, float] | None = None
 
 
 def search_area(boxed: DataFrame) -> SearchArea:
     """Facts about all boxes, from one single-row job."""
-    row = boxed.agg(
-        F.min("x0").alias("xmin"),
-        F.max("x1").alias("xmax"),
+    western = F.col("x0") + F.col("x1") < 0
+    row = boxed.select("y0", "y1", F.posexplode(longitude_ranges(F.col("x0"), F.col("x1"))).alias("nth", "range"))
+    row = row.select("nth", "y0", "y1", "range.x0", "range.x1").agg(
+        *(f(F.when(side, F.col(c))).alias(f"{name}{c}") for name, side in (("w", western), ("e", ~western)) for f, c in ((F.min, "x0"), (F.max, "x1"))),
         F.min("y0").alias("ymin"),
         F.max("y1").alias("ymax"),
-        F.max(F.col("x1") - F.col("x0")).alias("width"),
-        F.max(F.col("y1") - F.col("y0")).alias("height"),
-        F.count(F.lit(1)).alias("ports"),
+        F.count_if(F.col("nth") == 0).alias("ports"),
     ).first()
-    return SearchArea(**row.asDict())
+    west = (row["wx0"], row["wx1"]) if row["wx0"] is not None else None
+    east = (row["ex0"], row["ex1"]) if row["ex0"] is not None else None
+    sides = [s for s in (west, east) if s]
+    xmin, xmax = (min(s[0] for s in sides), max(s[1] for s in sides)) if sides else (None, None)
+    both = bool(west and east)
+    return SearchArea(xmin, xmax, row["ymin"], row["ymax"], row["ports"], west if both else None, east if both else None)
 
 
 def within_bounds(
@@ -138,9 +160,8 @@ def within_bounds(
     """Keep points inside the bounds, all four sides included. Constant bounds reach the file scan."""
     if area.xmin is None:
         return df.filter(F.lit(False))
-    return df.filter(
-        (F.col(lon) >= area.xmin)
-        & (F.col(lon) <= area.xmax)
-        & (F.col(lat) >= area.ymin)
-        & (F.col(lat) <= area.ymax)
+    sides = [area.west, area.east] if area.west and area.east and area.west[1] < area.east[0] else [(area.xmin, area.xmax)]
+    across = [(F.col(lon) >= low) & (F.col(lon) <= high) for low, high in sides]
+    return df.filter(across[0] if len(across) == 1 else across[0] | across[1]).filter(
+        (F.col(lat) >= area.ymin) & (F.col(lat) <= area.ymax)
     )

@@ -553,7 +553,7 @@ def port_stays(spark, sf_dir):
 
 @query
 def journeys(spark, sf_dir):
-    legs = voyages.journeys(flows.stays(given.pings(spark, sf_dir), given.ports(spark, sf_dir)))
+    legs = flows.journeys(given.pings(spark, sf_dir), given.ports(spark, sf_dir))
     return legs.select("mmsi", "session_id", "arrival_time", "departure_time", "origin_port", "destination_port")
 
 

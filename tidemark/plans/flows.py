@@ -27,15 +27,29 @@ def stays(
     pings: DataFrame, all_ports: DataFrame, radius_m: float = geo.NAUTICAL_MILE_M, zone: int | None = 10, **options
 ) -> DataFrame:
     """Port stays; ``options`` go to the session rule."""
+    return _stay_blocks(pings, all_ports, radius_m, zone, **options).drop("_block")
+
+
+def _stay_blocks(pings: DataFrame, all_ports: DataFrame, radius_m: float, zone: int | None, **options) -> DataFrame:
     columns = pings.select("mmsi", "vessel_name", "ts", "longitude", "latitude")
-    return voyages.port_stays(in_port_pings(columns, all_ports, radius_m, zone), **options)
+    if "crowded" not in options:
+        options["crowded"] = voyages.crowded_slices(pings.select("mmsi", "ts"), options.get("slice_seconds", voyages.SLICE_SECONDS))
+        options.setdefault("collapse", options["crowded"] is not None)
+    return voyages.stay_blocks(in_port_pings(columns, all_ports, radius_m, zone), **options)
+
+
+def journeys(
+    pings: DataFrame, all_ports: DataFrame, radius_m: float = geo.NAUTICAL_MILE_M, zone: int | None = 10, **options
+) -> DataFrame:
+    """Journeys between differently named ports."""
+    return voyages.journeys(_stay_blocks(pings, all_ports, radius_m, zone, **options), "_block").drop("_block")
 
 
 def od_matrix(
     pings: DataFrame, all_ports: DataFrame, radius_m: float = geo.NAUTICAL_MILE_M, zone: int | None = 10, **options
 ) -> DataFrame:
     """Journeys between ports, busiest first."""
-    return voyages.od_matrix(voyages.journeys(stays(pings, all_ports, radius_m, zone, **options)))
+    return voyages.od_matrix(journeys(pings, all_ports, radius_m, zone, **options))
 
 
 def ports_from_features(features: DataFrame, zone: int) -> DataFrame:
