@@ -102,6 +102,7 @@ def test_collocations_by_force(spark, least, longest, top):
 def test_collocations_pass_small_tasks_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(collocations, "BLOCK_GRAMS", 8)
     monkeypatch.setattr(collocations, "HELD_ENTRIES", 20)
+    monkeypatch.setattr(collocations, "BUCKET_WORDS", 16)
     rows = odd_rows()
     found = collocations.collocations(spark.createDataFrame(rows, DOCS).repartition(5), least=2)
     assert sorted(map(tuple, found.collect())) == phrases_by_force(rows, 2, 5, 2000)
