@@ -292,14 +292,15 @@ def phrase_counts(docs: DataFrame, *, text: str = "text", lang: str = "lang", le
     vocabulary = words.where("id IS NOT NULL").select("lang", "id", "word", "f")
     bits = max(1, int(vocabulary.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]).bit_length())
     known = words.where("size(places) > 0").groupBy("chunk").agg(F.collect_list(F.struct("places", "ids")).alias("known"))
-    coded = chunks.select("chunk", "lang", "size", "codes").join(known, "chunk").join(totals.withColumnRenamed("n", "total"), "lang")
+    coded = chunks.select("chunk", "lang", "size", "codes").join(known.hint("merge"), "chunk").join(totals.withColumnRenamed("n", "total"), "lang")
 
     two = pair_filters(coded, bits)
     pairs = frequent_grams(two.where("filter IS NOT NULL").select("lang", "words", "block", "part", "filter"), bits, least)
     grams = pairs.where("f IS NOT NULL").select("lang", "ids", "f")
     if longest > 2:
         own = pairs.where("size(pairs) > 0").groupBy("part").agg(F.collect_list("pairs").alias("pairs"))
-        runs = two.where("chunk IS NOT NULL").select("lang", "part", "total", "size", "ids").join(own, "part")
+        # never broadcast: the lists grow with the corpus
+        runs = two.where("chunk IS NOT NULL").select("lang", "part", "total", "size", "ids").join(own.hint("merge"), "part")
         grams = grams.unionByName(frequent_grams(longer_filters(runs, bits, longest), bits, least).select("lang", "ids", "f"))
 
     each = grams.select("lang", "ids", "f", F.posexplode("ids").alias("place", "id")).join(vocabulary.select("lang", "id", "word"), ["lang", "id"])
