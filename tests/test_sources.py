@@ -8,6 +8,7 @@ import zipfile
 import pytest
 import zstandard
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo, IsNotNull
 
 from tidemark.operators import filesets
 from tidemark.plans import flows
@@ -224,3 +225,83 @@ def test_points_of_either_byte_order(spark):
     found = features.with_point_xy(spark.createDataFrame(rows, "geometry binary"))
     assert {(r["easting"], r["northing"]) for r in found.collect()} == {(1.5, 2.5), (None, None), (3.5, -4.5)}
     assert features.epsg_of({"crs": None}) == 4326
+
+
+def test_every_kind_of_geometry_is_encoded(spark, tmp_path):
+    square, hole = [[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]], [[1, 1], [2, 1], [2, 2], [1, 1]]
+    kinds = {
+        "Polygon": [square, hole],
+        "MultiPolygon": [[square, hole], [[[9, 9], [10, 9], [9, 10], [9, 9]]]],
+        "MultiPoint": [[1, 2], [3, 4]],
+        "MultiLineString": [[[0, 0], [1, 1]], [[2, 2], [3, 3], [4, 4]]],
+        "Circle": [1, 2, 3],
+        "Point": [],
+    }
+    lines = [{"geometry": {"type": k, "coordinates": c}, "properties": {"kind": k}} for k, c in kinds.items()]
+    lines += [{"geometry": {"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [1, 2]}]}, "properties": {"kind": "GeometryCollection"}}]
+    lines += [{"geometry": None, "properties": {"kind": "none"}}]
+    (tmp_path / "all.geojsonl").write_text("\n".join(map(json.dumps, lines)))
+    found = features.read_features(spark, str(tmp_path), "all")
+    decoded = found.select(F.get_json_object("properties", "$.kind").alias("kind"), "geometry", features.wkb_rings("geometry").alias("rings"))
+    rows = {r.kind: r for r in decoded.collect()}
+    assert len(rows) == len(lines)
+    assert {k for k, r in rows.items() if r.geometry is None} == {"Circle", "Point", "none"}
+    assert {k for k, r in rows.items() if r.rings is not None} == {"Polygon", "MultiPolygon"}
+    rings = [[[int(v.x), int(v.y)] for v in ring] for ring in rows["MultiPolygon"].rings]
+    assert rings == [square, hole, [[9, 9], [10, 9], [9, 10], [9, 9]]]
+    assert rows["MultiPoint"].geometry[:9] == struct.pack("<BII", 1, 4, 2) and len(rows["MultiLineString"].geometry) == 9 + 18 + 5 * 16
+
+
+def test_rings_of_either_byte_order_and_broken_bytes():
+    ring = [(0.0, 0.0), (1.0, 0.0), (0.0, 1.0)]
+    big = struct.pack(">BIII", 0, 3, 1, 3) + b"".join(struct.pack(">dd", *p) for p in ring)
+    assert [tuple(p) for p in features.polygon_rings(big)[0]] == ring
+    assert features.polygon_rings(big[:-5]) is None and features.polygon_rings(b"") is None
+    nested = struct.pack("<BII", 1, 6, 1) + big
+    assert len(features.polygon_rings(nested)) == 1
+    assert features.polygon_rings(struct.pack("<BII", 1, 6, 1) + struct.pack("<BIdd", 1, 1, 0, 0)) is None
+
+
+@pytest.mark.parametrize("split", [1, 37, 100, 5000])
+def test_line_files_are_split_without_losing_or_repeating_lines(tmp_path, split):
+    lines = [json.dumps({"geometry": None, "properties": {"n": i, "pad": "ü" * (i % 40)}}, ensure_ascii=False) for i in range(60)]
+    (tmp_path / "l.geojsonl").write_text("\n".join(lines) + "\n\n", encoding="utf-8")
+    reader = features.FeatureReader({"path": str(tmp_path), "layer_name": "l", "split_bytes": str(split)})
+    parts = reader.partitions()
+    assert len(parts) == -(-(tmp_path / "l.geojsonl").stat().st_size // split)
+    found = [json.loads(p)["n"] for part in parts for _, _, p in reader.read(part)]
+    assert found == list(range(60))
+
+
+def test_filters_on_crs_reach_the_files(spark, tmp_path):
+    projected = {"properties": {"name": "EPSG:26910"}}
+    lines = [{"geometry": {"type": "Point", "coordinates": [i, 1]}, "properties": {"n": i}} | ({"crs": projected} if i % 3 == 0 else {}) for i in range(30)]
+    (tmp_path / "p.geojsonl").write_text("\n".join(map(json.dumps, lines)))
+    found = features.read_features(spark, str(tmp_path), "p", split_bytes=300)
+    assert found.rdd.getNumPartitions() > 5
+    for condition, expected in (("crs = 26910", 10), ("crs IN (26910, 26911)", 10), ("crs = 4326", 20), ("crs = 4326 AND crs = 26910", 0), ("crs IS NOT NULL", 30), ("crs <> 4326", 10)):
+        assert found.where(condition).count() == expected, condition
+    reader = features.FeatureReader({"path": str(tmp_path), "layer_name": "p"})
+    assert list(reader.pushFilters([EqualTo(("crs",), 26910), IsNotNull(("crs",))])) == [IsNotNull(("crs",))]
+    parsed = []
+    reader._parsed = lambda lines, own=reader._parsed: (parsed.append(x) or x for x in own(lines))
+    assert len([r for part in reader.partitions() for r in reader.read(part)]) == 10 and len(parsed) == 10
+
+
+def test_only_wanted_columns_are_built(spark, tmp_path):
+    (tmp_path / "p.geojsonl").write_text(json.dumps({"geometry": {"type": "Point", "coordinates": [1, 2]}, "properties": {"n": 1}}))
+    found = features.read_features(spark, str(tmp_path), "p", columns=("crs", "properties"))
+    assert [tuple(r) for r in found.collect()] == [(4326, '{"n": 1}')]
+    reader = features.FeatureReader({"path": str(tmp_path), "layer_name": "p", "columns": "crs"})
+    assert list(reader.read(reader.partitions()[0])) == [(None, 4326, None)]
+    with pytest.raises(ValueError, match="columns"):
+        features.FeatureReader({"path": str(tmp_path), "layer_name": "p", "columns": "shape"})
+
+
+def test_zones_must_be_in_the_expected_crs(spark, tmp_path):
+    (tmp_path / "z.geojsonl").write_text(json.dumps({"geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [0, 1]]]}, "properties": {"id": "a"}}))
+    found = features.read_features(spark, str(tmp_path), "z")
+    (zone,) = flows.zones_from_features(found, "id").collect()
+    assert zone.zone_id == "a" and [(v.x, v.y) for v in zone.rings[0]] == [(0, 0), (1, 0), (0, 1)]
+    with pytest.raises(Exception, match="expected EPSG:26910, got EPSG:4326"):
+        flows.zones_from_features(found, "id", 10).collect()

@@ -206,7 +206,16 @@ def buffer_ring(easting: str, northing: str, radius_m: float, vertices: int, zon
         f"transform(sequence(0, {vertices - 1}), i -> named_struct("
         f"'x', {easting} + {radius} * cos({angle}), 'y', {northing} + {radius} * sin({angle})))"
     )
+    return F.expr(_lonlat_ring(ring, zone))
+
+
+def _lonlat_ring(ring: str, zone: int) -> str:
     ring = _each_vertex(ring, _to_sphere("v.x", "v.y"))
     ring = _each_vertex(ring, _undo_series("v.x", "v.y"))
     ring = _each_vertex(ring, _conformal("v.x", "v.y", zone))
-    return F.expr(_each_vertex(ring, ("v.x", _geodetic("v.y"))))
+    return _each_vertex(ring, ("v.x", _geodetic("v.y")))
+
+
+def lonlat_rings(rings: str, zone: int) -> Column:
+    """A column of projected rings ``array<array<struct<x, y>>>`` in EPSG:4326."""
+    return F.expr(f"transform({rings}, ring -> {_lonlat_ring('ring', zone)})")

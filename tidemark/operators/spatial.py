@@ -33,6 +33,15 @@ def _join_on_cell(left: DataFrame, small: DataFrame, keys: list[str], small_rows
     return spread.join(copies, [*keys, "_salt"]).drop("_salt")
 
 
+def _settled(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns through a one-row generator, which the optimizer does not merge with what follows.
+
+    For costly expressions used many times over, such as the bounds of a box.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[v.alias(c) for c, v in columns.items()]))))
+
+
 def _square(degrees: Column, level: Column, base_deg: float) -> Column:
     return F.floor(degrees / (F.lit(base_deg) * F.pow(F.lit(2.0), level.cast("double")))).cast("int")
 
@@ -48,7 +57,7 @@ def _looking(pings: DataFrame, levels: list[int], base_deg: float) -> DataFrame:
 def _filed_ports(boxed: DataFrame) -> DataFrame:
     """Ports once for each square of their own level that their box touches, on either side of the 180th meridian."""
     extent = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), F.lit(PORT_BASE_DEG))
-    levelled = boxed.withColumn("_level", F.ceil(F.log2(extent / F.lit(PORT_BASE_DEG))).cast("int"))
+    levelled = _settled(boxed, _level=F.ceil(F.log2(extent / F.lit(PORT_BASE_DEG))).cast("int"))
 
     def squares(low: Column, high: Column) -> Column:
         return F.sequence(_square(low, F.col("_level"), PORT_BASE_DEG), _square(high, F.col("_level"), PORT_BASE_DEG))
@@ -82,6 +91,7 @@ def pings_in_ports(
     ids = {c: ports.schema[c].dataType for c in ("port_id", "port_name")}
     plain, _, restored = put_aside(pings.drop(*ids), _PORT_HELPERS)
     projected = port_ops.add_box(port_ops.project_ports(ports, zone), radius_m)
+    projected = _settled(projected, **{c: F.col(c) for c in ("x0", "x1", "y0", "y1")})
     filed = _filed_ports(projected)
     area = port_ops.search_area(projected)
     if not area.ports:

@@ -28,6 +28,7 @@ LINK_SUFFIXES = ("er", "ion", ".")
 LINK_BASE = "https://files.example.org/pings"
 ZONE_VERTICES = 12
 ZONE_RADIUS_M = 1500.0
+HOLE_RADIUS_M = 600.0
 
 
 def query(function: Query) -> Query:
@@ -297,6 +298,16 @@ def pings_in_zones(spark, sf_dir):
     return found.select("event_id", "mmsi", "zone_id")
 
 
+@query
+def pings_in_feature_zones(spark, sf_dir):
+    """Zones with holes, read from feature files as polygons and multi-polygons."""
+    folder = given.write_zone_features(spark, sf_dir, "zone-features", (ZONE_RADIUS_M, HOLE_RADIUS_M), ZONE_VERTICES)
+    crs = geo.epsg_of_zone(ZONE)
+    zones = flows.zones_from_features(features.read_features(spark, folder, "zones").where(F.col("crs") == crs), "OID", ZONE)
+    zones = zones.withColumn("zone_id", F.col("zone_id").cast("bigint"))
+    return spatial.pings_in_zones(given.pings(spark, sf_dir), zones).select("event_id", "mmsi", "zone_id")
+
+
 @query
 def pending_files(spark, sf_dir):
     return filesets.pending_files(*given.file_listing(spark, sf_dir)).select("name", "path", "length")

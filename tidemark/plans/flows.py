@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import geo
 from tidemark.operators import cells, ports, spatial, voyages
+from tidemark.sources.features import wkb_rings
 
 
 def map_cells(pings: DataFrame, resolution: int) -> DataFrame:
@@ -71,3 +72,17 @@ def ports_from_features(features: DataFrame, zone: int) -> DataFrame:
         "northing",
         *[c for c in properties if c.lower() != "size"],
     ).withColumnRenamed("port_size", "size")
+
+
+def zones_from_features(feature_rows: DataFrame, zone_id: str, zone: int | None = None) -> DataFrame:
+    """``zone_id, rings`` in EPSG:4326 of the polygons and multi-polygons among features; other geometries are left out.
+
+    ``zone_id`` is the property that names a zone. Features are in EPSG:4326, or projected in UTM ``zone``; another crs is
+    an error rather than a wrong place.
+    """
+    expected = 4326 if zone is None else geo.epsg_of_zone(zone)
+    message = F.format_string(f"expected EPSG:{expected}, got EPSG:%s", F.col("crs").cast("string"))
+    checked = F.when(F.col("crs") == expected, F.col("geometry")).otherwise(F.raise_error(message).cast("binary"))
+    decoded = feature_rows.select(F.get_json_object("properties", f"$.{zone_id}").alias("zone_id"), wkb_rings(checked).alias("rings"))
+    decoded = decoded.where(F.col("rings").isNotNull())
+    return decoded if zone is None else decoded.withColumn("rings", geo.lonlat_rings("rings", zone))

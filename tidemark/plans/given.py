@@ -5,6 +5,7 @@ Every relation here grows with the tables it reads: one ping per event, one file
 
 from __future__ import annotations
 
+import math
 import zipfile
 from collections.abc import Iterator
 from functools import cache
@@ -236,3 +237,35 @@ def write_port_features(spark: SparkSession, sf_dir: str, label: str, layer: str
     written = lines.mapInArrow(_archive_features(folder, layer), "stem string")
     written.write.format("noop").mode("overwrite").save()
     return folder
+
+
+def write_zone_features(
+    spark: SparkSession, sf_dir: str, label: str, radii: tuple[float, float], vertices: int, layer: str = "zones"
+) -> str:
+    """Folder of zipped features in the projected CRS: around each port a polygon with a hole, every second one as a
+    multi-polygon, and a point and a line that are no zones."""
+    folder = scratch_path(spark, label)
+    projected = project_ports(ports(spark, sf_dir), 10)
+    step = geo.double(2 * math.pi / vertices)
+    ring = (
+        f"transform(sequence(0, {vertices - 1}), i -> array(port_e + {{0}} * cos({step} * i), port_n + {{0}} * sin({step} * i)))"
+    )
+    rings = F.array(*[F.expr(ring.format(geo.double(radius))) for radius in radii])
+    crs = F.lit(f"urn:ogc:def:crs:EPSG::{geo.epsg_of_zone(10)}")
+
+    def lines(rows: DataFrame, kind: str, coordinates) -> DataFrame:
+        feature = F.struct(
+            F.lit("Feature").alias("type"),
+            F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates")).alias("geometry"),
+            F.struct(F.col("port_id").cast("string").alias("OID")).alias("properties"),
+            F.struct(F.lit("name").alias("type"), F.struct(crs.alias("name")).alias("properties")).alias("crs"),
+        )
+        return rows.select(F.to_json(feature).alias("value"))
+
+    odd = F.col("port_id") % 2 == 1
+    every = lines(projected.where(odd), "Polygon", rings).unionByName(lines(projected.where(~odd), "MultiPolygon", F.array(rings)))
+    every = every.unionByName(lines(projected.limit(1), "Point", F.array("port_e", "port_n")))
+    every = every.unionByName(lines(projected.limit(1), "LineString", rings[0]))
+    written = every.mapInArrow(_archive_features(folder, layer), "stem string")
+    written.write.format("noop").mode("overwrite").save()
+    return folder

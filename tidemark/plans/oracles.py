@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 
 from tidemark.functions import geo, hexgrid
-from tidemark.plans.catalogue import BBOX, LINK_BASE, LINK_SUFFIXES, ZONE_RADIUS_M, ZONE_VERTICES
+from tidemark.plans.catalogue import BBOX, HOLE_RADIUS_M, LINK_BASE, LINK_SUFFIXES, ZONE_RADIUS_M, ZONE_VERTICES
 from tidemark.plans.given import TABLES
 
 VALID = "longitude IS NOT NULL AND latitude IS NOT NULL AND longitude BETWEEN -180 AND 180 AND latitude BETWEEN -90 AND 90"
@@ -214,6 +214,31 @@ SELECT event_id, mmsi, zone_id FROM sides WHERE inside = 1""",
     )
 
 
+def _zones_with_holes() -> str:
+    """The even-odd test over all edges of both rings of every zone."""
+    rings = [("outer", ZONE_RADIUS_M), ("hole", HOLE_RADIUS_M)]
+    step = d(2 * math.pi / ZONE_VERTICES)
+    vertices = " UNION ALL ".join(
+        f"SELECT port_id, '{name}' part, i vertex, pe + {d(radius)}*cos({step}*i) ve, pn + {d(radius)}*sin({step}*i) vn "
+        f"FROM pp, (SELECT unnest(range({ZONE_VERTICES})) i)"
+        for name, radius in rings
+    )
+    return with_(
+        PINGS,
+        projection("ports", "plon", "plat", "pp", "pe", "pn"),
+        f"\nverts AS ({vertices})",
+        unprojection("verts", "ve", "vn", "ring", "vlon", "vlat"),
+        f"""
+edges AS (SELECT a.port_id, a.vlon x1, a.vlat y1, b.vlon x2, b.vlat y2 FROM ring a JOIN ring b
+  ON a.port_id=b.port_id AND a.part=b.part AND b.vertex=(a.vertex+1)%{ZONE_VERTICES}),
+near AS (SELECT event_id, mmsi, longitude, latitude, port_id FROM pings JOIN pp
+  ON abs(longitude-plon) < 0.1 AND abs(latitude-plat) < 0.1 WHERE {VALID})
+SELECT event_id, mmsi, near.port_id zone_id FROM near JOIN edges ON near.port_id=edges.port_id
+  WHERE (y1 > latitude) <> (y2 > latitude) AND longitude < x1 + (latitude-y1)*(x2-x1)/(y2-y1)
+  GROUP BY ALL HAVING count(*) % 2 = 1""",
+    )
+
+
 def _null_rows() -> str:
     columns = ("event_id", "mmsi", "vessel_name", "ts", "longitude", "latitude")
     return " UNION ALL ".join(
@@ -333,6 +358,7 @@ def build() -> dict[str, str]:
   port_name "PORT", concat('XX ', port_id) "UN_LOCODE", lower(port_name) "COUNTRY", 'Sea' "WORLD_WATE",
   CASE WHEN port_id % 2 = 0 THEN 'Coastal' END "TYPE", round(plat, 6) "LAT", round(plon, 6) "LON" FROM pp""",
         "pings_in_zones": _zones(),
+        "pings_in_feature_zones": _zones_with_holes(),
         "pending_files": with_(LISTING) + " SELECT name, concat('/history/', name) path, length FROM pending",
         "pending_decompress": with_(LISTING)
         + """, stem AS (SELECT name, replace(replace(name, '.csv.zst', '.csv'), '.zip', '.csv') csv_name FROM wanted),
