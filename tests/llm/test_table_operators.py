@@ -352,3 +352,27 @@ def test_wrapped_and_dual_notices(spark):
     found = licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string, line int")).collect()
     assert [sorted(r.license for r in found if r.doc_id == i) for i in range(len(rows))] == list(NOTICES.values())
     assert all(r.saving >= licenses.LEAST_SAVING for r in found)
+
+
+def test_ids_are_anchors_inside_articles():
+    page = "<article><h2 id='search'>One</h2><p>a</p><h2 id=alert>Two</h2><section id=navigation><h2>Sky</h2><p>Stars.</p></section></article>"
+    assert site_style.main_text(page) == "One a Two Sky Stars."
+    assert site_style.main_text("<article><p>a</p><div class=alert>n</div><ul role=navigation><li>m</ul></article>") == "a"
+    assert site_style.main_text("<div id=menu>m</div><h2 id=menu>The menu</h2><p>a</p>") == "The menu a"
+
+
+@pytest.mark.parametrize("size", [40, 2000, 20_000])
+def test_what_is_cut_does_not_depend_on_the_size_of_the_host(spark, size):
+    """A heading and a short line on 12 % of the pages stay, what stands on every page goes."""
+    own = "<h2>Conclusion</h2><p>Thanks to all readers.</p>"
+    html = F.concat(
+        F.lit("<body><article><p>Filed under news</p><h1>"), F.sha1(F.col("id").cast("string")), F.lit("</h1><p>"),
+        F.array_join(F.transform(F.sequence(F.lit(1), F.lit(20)), lambda i: F.sha1(F.concat_ws("-", F.col("id"), i))), " "),
+        F.when(F.col("id") % 25 < 3, own).otherwise(""), F.lit("</p><div class=x3>Subscribe to our letter</div></article>"),
+    )
+    pages = spark.range(size).select(F.col("id").alias("page_id"), F.lit("http://one.org/a").alias("url"), html.alias("html"))
+    found = site_style.extract(pages)
+    marked = found.select("page_id", *(F.contains("text", F.lit(x)).alias(n) for n, x in (("c", "Conclusion"), ("t", "Thanks to all"), ("f", "Filed"), ("s", "Subscribe"))))
+    counts = Counter(tuple(r) for r in marked.select(F.col("page_id") % 25 < 3, "c", "t", "f", "s").collect())
+    with_own = sum(i % 25 < 3 for i in range(size))
+    assert counts == {(True, True, True, False, False): with_own, (False, False, False, False, False): size - with_own}

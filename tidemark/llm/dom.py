@@ -45,6 +45,7 @@ class Node:
     names: tuple[str, ...] = ()
     hidden: bool = False
     values: tuple[str, ...] = ()
+    ids: tuple[str, ...] = ()
     children: list[Node | str] = field(default_factory=list)
 
     @property
@@ -52,18 +53,18 @@ class Node:
         return f"{self.tag}.{'.'.join(self.names)}"
 
 
-def _names(attributes: str) -> tuple[tuple[str, ...], bool, tuple[str, ...]]:
-    """The words of class, id and role, whether the element is hidden, and class, id and role as they stand."""
+def _names(attributes: str) -> tuple[tuple[str, ...], bool, tuple[str, ...], tuple[str, ...]]:
+    """The words of class, id and role, whether the element is hidden, classes and roles as they stand, and ids."""
     if not attributes.strip():
-        return (), False, ()
-    names, hidden, values = [], False, []
+        return (), False, (), ()
+    names, hidden, values, ids = [], False, [], []
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key in ("class", "id", "role"):
             names += [t.lower() for t in _TOKENS.findall(value)]
-            values += value.split()
+            (ids if key == "id" else values).extend(value.split())
         hidden |= key == "hidden"
-    return tuple(names), hidden, tuple(values)
+    return tuple(names), hidden, tuple(values), tuple(ids)
 
 
 def words_of_value(value: str) -> list[str]:

@@ -6,10 +6,12 @@ content importance of the text in its branch is one less the entropy of each tex
 recurs on every page of the host weighs nothing, text of one page weighs most. Branches of low importance are
 templates and are cut from each page.
 
-What a page itself says comes first: navigation, forms, asides, adverts and the like, by tag or by a whole class, id or
-role, are never main text unless they are named so and hold a ``main`` or ``article`` element. Those elements are never
-cut as templates, but blocks inside them are: by their path, or an innermost block by its text, if that recurs at its
-path. Only pages that differ are counted, and what leaves less than half of the main text is taken for a copy, not cut.
+What a page itself says comes first: navigation, forms, asides, adverts and the like, by tag or by a whole class or role,
+are never main text unless they are named so and hold a ``main`` or ``article`` element. Ids count as such names outside of
+these elements only, as inside them they are anchors. Main elements are never cut as templates, but an innermost block
+inside them is if its text stands at the same path on half of the host's pages or more, whatever the size of the host; a
+text that fewer pages share is theirs. Headings are never cut by themselves. Only pages that differ are counted, and what
+leaves less than half of the main text is taken for a copy, not cut.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from tidemark.llm.dom import BLOCKS, RAW, Node, parse, words_of_value
 #: A branch below this importance is a template, if enough pages of the host show it.
 LEAST_IMPORTANCE = 0.3
 LEAST_PAGES = 4
+#: Share of the host's pages on which a block inside a main element recurs before it is cut.
+MAIN_SHARE = 0.5
 #: Parts of the keys of (host, path) when templates are looked up, so that a large host is no hot key.
 PARTS = 32
 DECAY = 0.9
@@ -103,11 +107,12 @@ def _by_name(node: Node, in_main: bool) -> bool:
         return False
     if not in_main and node.tag not in _HEADINGS and any(v.lower() == "header" for v in node.values):
         return True
-    return any(map(_named, node.values))
+    return any(map(_named, node.values)) or (not in_main and node.tag not in _HEADINGS and any(map(_named, node.ids)))
 
 
 def is_noise(node: Node, in_main: bool) -> bool:
-    """Whether an element says of itself that it is no main text: by its tag, or by a whole class, id or role."""
+    """Whether an element says of itself that it is no main text: by its tag, by a whole class or role, or outside of main
+    elements by its id."""
     return _by_tag(node, in_main) or _by_name(node, in_main)
 
 
@@ -160,8 +165,8 @@ def style_nodes(page: str) -> Iterator[tuple[int, int, int, int, list[int]]]:
 def main_text(page: str, templates: frozenset[int] = frozenset()) -> str:
     """The main text of a page: blocks in order, white space inside them single, joined by a space.
 
-    ``templates`` has paths of branches and keys of innermost blocks. They are cut unless they are or hold main elements,
-    inside main elements as whole blocks only. If that leaves no text, or less than half of the main elements' text, as
+    ``templates`` has paths of branches, which are cut outside of main elements, and keys of innermost blocks, which are cut
+    inside them. Headings stay unless the branch around them goes. If that leaves no text, or less than half of the main elements' text, as
     in near copies of a page, nothing is cut as a template.
     """
     root = parse(page)
@@ -182,9 +187,11 @@ def main_text(page: str, templates: frozenset[int] = frozenset()) -> str:
                 stack.append((key, iter(child.children)))
 
     def template(node: Node, key: int, in_main: bool) -> bool:
-        if in_main and (node.tag not in BLOCKS or _is_main(node)):
+        if node.tag in _HEADINGS:
             return False
-        return key in templates or (in_main and _block_key(key, _innermost(node)) in templates)
+        if in_main:
+            return node.tag in BLOCKS and not _is_main(node) and _block_key(key, _innermost(node)) in templates
+        return key in templates
 
     def blocks_of(node: Node, start: int, in_main: bool, cut: bool) -> list[str]:
         blocks: list[str] = []
@@ -278,7 +285,8 @@ def site_templates(nodes: DataFrame) -> DataFrame:
     whose text recurs.
 
     Pages without a host belong to none and have no templates. Counts are taken over all pages that differ. A host with few
-    pages has no template, as nothing can be said of it.
+    pages has no template, as nothing can be said of it. A block is told by its text and path, and recurs if ``MAIN_SHARE`` of
+    all the host's pages have it, a share that is the same for hosts of every size.
     """
     kinds = nodes.where("kind < 3").groupBy("host", "path", "kind", "value").agg(
         F.count(F.lit(1)).alias("pages"), F.sum("size").alias("size"), F.first("above").alias("above")
@@ -309,10 +317,12 @@ def site_templates(nodes: DataFrame) -> DataFrame:
     judged = judged.withColumn("importance", (1 - weight) * F.col("presentation") + weight * F.col("content"))
     low = judged.where((F.col("importance") < LEAST_IMPORTANCE) & (F.col("m") >= LEAST_PAGES)).select("host", "path")
 
-    blocks = kinds.where("kind = 2").select("host", "path", "value", "pages").where(F.col("pages") >= LEAST_PAGES)
-    blocks = blocks.join(known, (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")))
-    recurring = 1 - F.log(F.col("pages").cast("double")) / F.log(F.col("m").cast("double")) < LEAST_IMPORTANCE
-    return low.unionByName(blocks.where(recurring).select("host", F.col("value").alias("path")))
+    hosts = nodes.where("kind = 3").groupBy("host").agg(F.count(F.lit(1)).alias("all"))
+    hosts = hosts.select("host", "all", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+    blocks = kinds.where("kind = 2").where(F.col("pages") >= LEAST_PAGES).select("host", "value", "pages")
+    blocks = blocks.withColumn("part", F.pmod("value", F.lit(PARTS)).cast("int")).join(hosts, ["host", "part"])
+    blocks = blocks.where(F.col("pages") >= MAIN_SHARE * F.col("all"))
+    return low.unionByName(blocks.select("host", F.col("value").alias("path")))
 
 
 def page_templates(nodes: DataFrame) -> DataFrame:
