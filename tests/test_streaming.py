@@ -91,3 +91,50 @@ def test_read_files_can_be_archived(spark, landing, target, tmp_path):
     write(landing, "b.csv", [2])
     ingest.ingest(ingest.read_stream(spark, str(landing), archive_dir=str(archive)), **target, spatial=False)
     assert ids(spark, target) == [1, 2]
+
+
+def by_name(spark, landing, tmp_path, **options):
+    return ingest.ingest_by_name(spark, str(landing), str(tmp_path / "checkpoint"), str(tmp_path / "rows"), **options)
+
+
+def test_a_file_keeps_its_own_batch_column(spark, landing, tmp_path):
+    (landing / "a.csv").write_text("event_id,batch,_Batch2\n1,seven,x\n")
+    rows = by_name(spark, landing, tmp_path)
+    assert [(r["event_id"], r["batch"], r["_Batch2"]) for r in rows.collect()] == [(1, "seven", "x")]
+    (landing / "b.csv").write_text("batch,event_id\neight,2\n")
+    assert {(r["event_id"], r["batch"]) for r in by_name(spark, landing, tmp_path).collect()} == {(1, "seven"), (2, "eight")}
+
+
+@pytest.mark.parametrize("table", [False, True])
+def test_an_empty_landing_gives_an_empty_table(spark, landing, tmp_path, table):
+    name = f"s_{uuid.uuid4().hex}" if table else None
+    rows = by_name(spark, landing, tmp_path, table=name, time_column="base_date_time", spatial=True)
+    assert rows.count() == 0 and {"event_id", "event_ts", "is_valid_geom", "corrupt_record"} <= set(rows.columns)
+    write(landing, "a.csv", [4])
+    assert [r["event_id"] for r in by_name(spark, landing, tmp_path, table=name, time_column="base_date_time", spatial=True).collect()] == [4]
+
+
+def test_extra_columns_are_typed_once_and_added_to_the_table(spark, landing, tmp_path):
+    options = {"table": f"s_{uuid.uuid4().hex}", "time_column": "base_date_time", "typed": True}
+    write(landing, "a.csv", [1])
+    assert "sog" not in by_name(spark, landing, tmp_path, **options).columns
+    (landing / "b.csv").write_text("sog,note,event_id,seen\n5,abc,2,2024-01-01 00:00:00\n6,,3,\n")
+    kinds = dict(by_name(spark, landing, tmp_path, **options).dtypes)
+    assert (kinds["sog"], kinds["note"], kinds["seen"]) == ("bigint", "string", "timestamp_ntz")
+    (landing / "c.csv").write_text("event_id,SOG\n4,fast\n5,9\n")
+    rows = {r["event_id"]: r for r in by_name(spark, landing, tmp_path, **options).collect()}
+    assert {i: r["sog"] for i, r in rows.items()} == {1: None, 2: 5, 3: 6, 4: None, 5: 9}
+    assert rows[1]["event_ts"] is not None and rows[2]["note"] == "abc"
+    assert by_name(spark, landing, tmp_path, **options).count() == 5
+
+
+def test_a_repeated_batch_reads_the_log_before_it(spark, tmp_path):
+    from tidemark.streaming import schema_log
+
+    log = str(tmp_path / "log")
+    assert schema_log.logged(spark, log) == []
+    schema_log.add(spark, log, 3, {"a": "bigint", "b b": "string"})
+    schema_log.add(spark, log, 5, {"c": "double"})
+    schema_log.add(spark, log, 5, {"c": "double", "d": "string"})
+    assert [f.name for f in schema_log.logged(spark, log)] == ["a", "b b", "c", "d"]
+    assert [f.name for f in schema_log.logged(spark, log, 5)] == ["a", "b b"]

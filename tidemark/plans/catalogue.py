@@ -13,7 +13,7 @@ from tidemark.functions import geo, hexgrid, style, temporal
 from tidemark.operators import cells, filesets, ports, quality, spatial, voyages
 from tidemark.plans import flows, given
 from tidemark.session import scratch_path, ship_package
-from tidemark.sinks import tables
+from tidemark.sinks import ledger, tables
 from tidemark.sources import archives, features, links, listing
 from tidemark.sources import pings as ping_files
 from tidemark.streaming import ingest
@@ -320,6 +320,28 @@ def pending_decompress(spark, sf_dir):
     return filesets.pending_decompress(source, present).select("name", "csv_name")
 
 
+@query
+def pending_by_ledger(spark, sf_dir):
+    """Documents stand for members of files, a few rows each. Labelled ones were ingested once, some of them cut short, and
+    some of those once more, whole; a third batch broke off before its ledger was written."""
+    size = (F.col("n_chars") % 20 + 1).cast("bigint")
+    path = F.concat(F.lit("archive-"), F.col("doc_id") % 10)
+    members = given.table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), F.concat(F.lit("m"), "doc_id").alias("member"), size.alias("expected_rows"))
+    read = members.join(given.table(spark, sf_dir, "labels").select("doc_id"), "doc_id")
+
+    def rows(some: DataFrame, short) -> DataFrame:
+        line = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("expected_rows") - short))
+        return some.select("path", "member", F.lit(None).cast("string").alias("corrupt_record"), line.alias("line"))
+
+    root = scratch_path(spark, "ledger")
+    short = F.when((F.col("doc_id") % 3 == 0) & (F.col("expected_rows") > 1), 1).otherwise(0)
+    ledger.commit(rows(read, short), root, 0)
+    ledger.commit(rows(read.where("doc_id % 2 = 0"), F.lit(0)), root, 1)
+    rows(members, F.lit(0)).withColumn("_ledger_batch", F.lit(2).cast("bigint")).write.parquet(f"{root}/rows/{2:012d}")
+    pending = ledger.pending_by_ledger(members.drop("doc_id"), ledger.ledger(spark, root))
+    return pending.select("path", "member", "expected_rows", "committed_rows")
+
+
 @query
 def pending_urls(spark, sf_dir):
     pages = given.table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -646,3 +668,19 @@ def stream_enriched(spark, sf_dir):
         "is_valid_geom",
         *[f"hex_res{r}" for r in hexgrid.INGEST_RESOLUTIONS],
     )
+
+
+@query
+def stream_drift_enriched(spark, sf_dir):
+    """Files of three column orders into a table, with parsed time, cells and a typed column that only some have."""
+    landing, target = given.write_drifting_csv(spark, sf_dir, "drift"), _stream_table(spark, "drift")
+    options = {"time_column": "base_date_time", "pattern": ping_files.PING_TIME_PATTERN, "spatial": True, "typed": True}
+    ingest.ingest_by_name(spark, landing, **target, max_files_per_trigger=4, **options)
+    return spark.table(target["table"]).select(
+        "event_id",
+        F.col("event_ts").alias("ts"),
+        "vessel_name",
+        "sog",
+        "is_valid_geom",
+        *[f"hex_res{r}" for r in hexgrid.INGEST_RESOLUTIONS],
+    )

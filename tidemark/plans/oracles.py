@@ -448,6 +448,17 @@ SELECT round(avg({lat7}), 6) center_lat, round(avg({lon7}), 6) center_lon FROM k
         + " SELECT mmsi, session_id, arrival_time, departure_time, origin_port, destination_port FROM legs",
         "od_matrix": with_(OD) + " SELECT * FROM od ORDER BY count DESC, origin_port, destination_port",
         "od_top10": with_(OD) + " SELECT * FROM od ORDER BY count DESC, origin_port, destination_port LIMIT 10",
+        "stream_drift_enriched": _all_cells((9, 10, 11))
+        + f""" SELECT event_id, date_trunc('second', ts) ts, CASE WHEN event_id % 3 <> 2 THEN vessel_name END vessel_name,
+  CASE WHEN event_id % 3 = 1 THEN event_id % 30 END sog,
+  CASE WHEN longitude IS NOT NULL AND latitude IS NOT NULL THEN {VALID} END is_valid_geom,
+  hex_res9, hex_res10, hex_res11 FROM c11""",
+        "pending_by_ledger": """
+WITH m AS (SELECT doc_id, concat('archive-', doc_id % 10) path, concat('m', doc_id) member,
+  CAST(n_chars % 20 + 1 AS BIGINT) expected_rows FROM documents),
+c AS (SELECT m.*, CASE WHEN l.doc_id IS NULL THEN NULL WHEN m.doc_id % 2 <> 0 AND m.doc_id % 3 = 0 AND expected_rows > 1
+  THEN expected_rows - 1 ELSE expected_rows END committed_rows FROM m LEFT JOIN labels l USING (doc_id))
+SELECT path, member, expected_rows, committed_rows FROM c WHERE committed_rows IS NULL OR committed_rows < expected_rows""",
         "stream_enriched": _all_cells((9, 10, 11))
         + f""" SELECT event_id, date_trunc('second', ts) ts,
   CASE WHEN longitude IS NOT NULL AND latitude IS NOT NULL THEN {VALID} END is_valid_geom,

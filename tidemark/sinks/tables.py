@@ -84,7 +84,7 @@ def add_missing_columns(spark: SparkSession, table: str, columns: dict[str, str]
     present = {c.lower() for c in spark.table(table).columns}
     missing = {c: t for c, t in columns.items() if c.lower() not in present}
     if missing:
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'{c} {t}' for c, t in missing.items())})")
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{c}` {t}' for c, t in missing.items())})")
     return list(missing)
 
 

@@ -13,7 +13,10 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions import geo, hexgrid
 from tidemark.functions.columns import put_aside
 from tidemark.sources.pings import CSV_GLOB, csv_options, scan_csv_files, with_parsed_time
-from tidemark.sources.schemas import PING_FILE_SCHEMA
+from tidemark.sinks.ledger import read_if_any
+from tidemark.sinks.tables import add_missing_columns
+from tidemark.sources.schemas import PING_FILE_SCHEMA, with_corrupt_column
+from tidemark.streaming import schema_log
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -66,21 +69,48 @@ def ingest_by_name(
     schema: T.StructType = PING_FILE_SCHEMA,
     max_files_per_trigger: int | None = None,
     keep_corrupt: bool = True,
+    table: str | None = None,
+    time_column: str | None = None,
+    pattern: str | None = None,
+    spatial: bool = False,
+    resolutions: tuple[int, ...] = hexgrid.INGEST_RESOLUTIONS,
+    typed: bool = False,
 ) -> DataFrame:
     """Append the landing files not seen yet to a parquet folder, columns found by each file's header; returns it.
 
     The stream carries file names only. Each batch's files are read as :func:`scan_csv` reads them, so reordered,
-    missing and added columns are handled by name, and written to a folder named after the batch, which a repeated
-    batch replaces. Columns beyond the schema differ from batch to batch and are merged when the folder is read.
+    missing and added columns are handled by name, and written to a folder of their own, which a repeated batch replaces.
+    Columns beyond the schema are logged beside the checkpoint when they first appear: as text, or ``typed`` once by the
+    values of that batch. With ``table``, the folder is registered under that name and gets every new column.
+
+    ``time_column`` is parsed to ``event_ts``, ``spatial`` appends point, validity and cells. An empty landing folder
+    gives an empty table. Columns of the files may have any name.
     """
     names = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", CSV_GLOB)
     names = names.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         names = names.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    log = f"{checkpoint.rstrip('/')}-columns"
+    base = with_corrupt_column(schema) if keep_corrupt else schema
+
+    def prepared(rows: DataFrame) -> DataFrame:
+        rows = with_parsed_time(rows, time_column, "event_ts", pattern) if time_column else rows
+        return enriched(rows, resolutions) if spatial else rows
 
     def append(files: DataFrame, batch: int) -> None:
-        rows = scan_csv_files(files.sparkSession, files, schema, keep_corrupt)
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        session = files.sparkSession
+        rows = scan_csv_files(session, files, schema, keep_corrupt)
+        known = schema_log.logged(session, log, batch)
+        seen = {f.name.lower() for f in [*base, *known]}
+        fresh = [c for c in rows.columns if c.lower() not in seen]
+        if fresh:
+            types = schema_log.chosen_types(rows, fresh) if typed else dict.fromkeys(fresh, "string")
+            schema_log.add(session, log, batch, types)
+            known = schema_log.logged(session, log, batch + 1)
+        present = {c.lower(): c for c in rows.columns}
+        later = {f.name: F.col(f"`{present[f.name.lower()]}`").try_cast(f.dataType) for f in known if f.name.lower() in present}
+        rows = rows.select(*[F.col(f"`{c.name}`") for c in base], *[column.alias(name) for name, column in later.items()])
+        prepared(rows).write.mode("overwrite").parquet(f"{path}/batch-{batch:012d}")
 
     query = (
         names.load(landing)
@@ -91,7 +121,22 @@ def ingest_by_name(
         .start()
     )
     query.awaitTermination()
-    return spark.read.option("mergeSchema", "true").parquet(path).drop("batch")
+    known = schema_log.logged(spark, log)
+    stored_as = prepared(spark.createDataFrame([], T.StructType([*base, *known]))).schema
+    if table:
+        return _registered(spark, table, path, stored_as)
+    found = read_if_any(spark, path, stored_as)
+    return spark.createDataFrame([], stored_as) if found is None else found
+
+
+def _registered(spark: SparkSession, table: str, path: str, schema: T.StructType) -> DataFrame:
+    """The folder as a table with the schema's columns; columns that came later stand last."""
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet OPTIONS (recursiveFileLookup 'true') LOCATION '{path}'")
+    add_missing_columns(spark, table, {f.name: f.dataType.simpleString() for f in schema})
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
 
 
 def enriched(
