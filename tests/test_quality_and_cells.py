@@ -109,3 +109,22 @@ def test_center_is_the_mean_of_distinct_cells(spark):
     hourly = cells.cell_hour(pings(spark, ROWS[:6]), 9)
     row = cells.cells_center(hourly, "hex_res9").first()
     assert (row["center_lat"], row["center_lon"]) == pytest.approx((47.85, -122.75), abs=0.01)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_quartiles_of_many_ranges_equal_pandas(spark, seed):
+    """Ties, even and odd counts, NULLs, negative and large values, over many ranges."""
+    import random
+
+    rng = random.Random(seed)
+    values = [rng.choice([rng.randint(-50, 50), rng.randint(0, 3), 10**15 + rng.randint(0, 9)]) for _ in range(rng.randint(200, 999))]
+    got = cells.describe_values(spark.createDataFrame([(v,) for v in [*values, None]], "v bigint").repartition(7), "v").first()
+    want = pd.Series(values).describe()
+    assert got["count"] == len(values) and got["min"] == min(values) and got["max"] == max(values)
+    for name, label in (("mean", "mean"), ("std", "std"), ("p25", "25%"), ("p50", "50%"), ("p75", "75%")):
+        assert got[name] == pytest.approx(want[label], rel=1e-12), name
+
+
+def test_description_of_nothing(spark):
+    got = cells.describe_values(spark.createDataFrame([(None,)], "v bigint"), "v").first()
+    assert got["count"] == 0 and got["mean"] is got["p50"] is got["max"] is None

@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import geo, hexgrid
@@ -81,3 +82,74 @@ def test_clustered_files_split_a_crowded_position(spark, tmp_path):
     assert len(sizes) == 8 and max(sizes) < 3 * 45_000 / 8
     boxes = out.groupBy(F.input_file_name()).agg((F.max("longitude") - F.min("longitude")).alias("w"), (F.max("latitude") - F.min("latitude")).alias("h"))
     assert any(r["w"] < 200 and r["h"] < 100 for r in boxes.collect())
+
+
+PARTS = "id bigint, longitude double, latitude double, hex_res9 bigint, part string"
+
+
+def partitioned(spark, tmp_path, rows):
+    table = f"t_{uuid.uuid4().hex}"
+    tables.replace_table(spark.createDataFrame(rows, PARTS), table, str(tmp_path / "t"), ("part",))
+    return table
+
+
+def state(spark, table):
+    spark.catalog.refreshTable(table)
+    return {r["id"]: (r["hex_res9"], r["part"]) for r in spark.table(table).collect()}
+
+
+AWKWARD = [
+    (1, -123.4, 48.6, None, "a b/c"), (2, -123.4, 48.6, 77, "a b/c"), (3, -123.4, 48.6, 88, "full"), (4, None, 48.6, None, "nothing"),
+    (5, -123.4, 48.6, None, None), (6, -123.4, 48.6, None, "it's 100%=\u00fc"),
+]
+
+
+def test_staged_backfill_switches_partitions_with_work(spark, tmp_path):
+    table = partitioned(spark, tmp_path, AWKWARD)
+    before = files(tmp_path)
+    moved = tables.backfill_table(spark, table, cells, ("hex_res9",), USABLE(), "part")
+    assert len(moved) == 3 and before <= files(tmp_path)
+    after = state(spark, table)
+    assert after[1][0] == after[5][0] == after[6][0] is not None and {i: after[i][0] for i in (2, 3, 4)} == {2: 77, 3: 88, 4: None}
+    assert {i: p for i, (_, p) in after.items()} == {r[0]: r[4] for r in AWKWARD}
+    assert tables.backfill_table(spark, table, cells, ("hex_res9",), USABLE(), "part") == []
+    assert state(spark, table) == after
+
+
+def test_a_killed_backfill_leaves_all_old_rows(spark, tmp_path, monkeypatch):
+    table = partitioned(spark, tmp_path, AWKWARD)
+    before = state(spark, table)
+
+    def dies(df):
+        return cells(df).withColumn("hex_res9", F.when(F.col("id") == 5, F.raise_error(F.lit("killed")).cast("bigint")).otherwise(F.col("hex_res9")))
+
+    with pytest.raises(Exception, match="killed"):
+        tables.backfill_table(spark, table, dies, ("hex_res9",), USABLE(), "part")
+    assert state(spark, table) == before
+    # killed after the first of three partitions was switched
+    kind, own, calls = type(spark), type(spark).sql, []
+
+    def stops(self, query, *args, **options):
+        if query.startswith("ALTER TABLE"):
+            calls.append(query)
+            if len(calls) > 1:
+                raise RuntimeError("killed")
+        return own(self, query, *args, **options)
+
+    monkeypatch.setattr(kind, "sql", stops)
+    with pytest.raises(RuntimeError, match="killed"):
+        tables.backfill_table(spark, table, cells, ("hex_res9",), USABLE(), "part")
+    monkeypatch.undo()
+    between = state(spark, table)
+    assert between.keys() == before.keys() and sum(between[i] != before[i] for i in before) == 1
+    assert len(tables.backfill_table(spark, table, cells, ("hex_res9",), USABLE(), "part")) == 2
+    assert all(state(spark, table)[i][0] is not None for i in (1, 5, 6))
+
+
+def test_schemas_are_created_once(spark):
+    name = f"s_{uuid.uuid4().hex}"
+    for _ in range(2):
+        tables.create_schema(spark, name)
+    spark.range(2).write.saveAsTable(f"{name}.numbers")
+    assert spark.table(f"{name}.numbers").count() == 2
+    spark.sql(f"DROP SCHEMA {name} CASCADE")

@@ -11,11 +11,15 @@ optimizer compute every cell a second time inside the filter.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from fractions import Fraction
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import hexgrid, style
 from tidemark.functions.geo import is_valid_lonlat
+from tidemark.session import stored
 
 
 def valid_pings(pings: DataFrame) -> DataFrame:
@@ -93,36 +97,54 @@ def cells_center(hourly: DataFrame, cell: str) -> DataFrame:
     return middles.agg(F.avg("cell_lat").alias("center_lat"), F.avg("cell_lon").alias("center_lon"))
 
 
+QUARTILES = (0.25, 0.5, 0.75)
+
+
 def describe_values(df: DataFrame, column: str) -> DataFrame:
-    """Count, mean, standard deviation, min, quartiles and max of an integer column.
+    """Count, mean, standard deviation, min, quartiles and max of an integer column. NULLs do not count.
 
-    Quartiles interpolate linearly and come from the histogram of values, so the last task only holds
-    the distinct values.
+    The histogram of values is cut into ranges of values and stored. Ranges are summed by themselves; quartiles, which
+    interpolate linearly, are looked up only in the ranges that hold their ranks, so no task sees the whole histogram.
     """
-    histogram = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    # deviations are taken from about the mean, so large values do not cancel
-    middle = df.agg(F.avg(F.col(column).cast("double"))).scalar()
-    value, weight = F.col(column).cast("double"), F.col("_n")
-    histogram = histogram.withColumn("_off", value - middle)
-    total, off = F.sum(weight), F.col("_off")
-    spread = F.sum(off * off * weight)
-    return histogram.agg(
-        total.alias("count"),
-        (F.sum(value * weight) / total).alias("mean"),
-        F.when(total > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (total - 1))).alias("std"),
-        F.min(column).cast("double").alias("min"),
-        F.percentile(column, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), weight).alias("_q"),
-        F.max(column).cast("double").alias("max"),
-    ).select(
-        "count",
-        "mean",
-        "std",
-        "min",
-        F.col("_q")[0].alias("p25"),
-        F.col("_q")[1].alias("p50"),
-        F.col("_q")[2].alias("p75"),
-        "max",
-    )
+    value, weight = F.col("_value"), F.col("_n")
+    histogram = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    histogram = histogram.repartitionByRange("_value").withColumn("_range", F.spark_partition_id())
+    histogram = stored(histogram, "histogram")
+    mass = F.sum(value.cast("decimal(20,0)") * weight)
+    ranges = histogram.groupBy("_range").agg(F.sum(weight).alias("n"), mass.alias("mass"), F.min(value).alias("low"), F.max(value).alias("high"))
+    ranges = ranges.orderBy("low").collect()  # a row for each partition
+    spark, count = df.sparkSession, sum(r["n"] for r in ranges)
+    fields = "count bigint, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
+    if not count:
+        return spark.createDataFrame([(0, *[None] * 7)], fields)
+    mean = float(Fraction(int(sum(r["mass"] for r in ranges)), count))
+    ranks = sorted({k for q in QUARTILES for k in (_rank(count, q)[0], min(_rank(count, q)[0] + 1, count - 1))})
+    holding, before = {}, 0
+    for r in ranges:
+        if any(before <= k < before + r["n"] for k in ranks):
+            holding[r["_range"]] = before
+        before += r["n"]
+    offset = F.create_map(*[F.lit(x) for pair in holding.items() for x in pair])[F.col("_range")]
+    inside = Window.partitionBy("_range").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = histogram.where(F.col("_range").isin(*holding)).withColumn("_upto", F.sum("_n").over(inside) + offset)
+    found = placed.agg(*[F.min(F.when(F.col("_upto") > k, value)).alias(f"r{k}") for k in ranks]).first()
+    off = value.cast("double") - F.lit(mean)
+    spread = histogram.agg(F.sum(off * off * weight)).first()[0]
+
+    def quartile(q: float) -> float:
+        low, part = _rank(count, q)
+        a, b = found[f"r{low}"], found[f"r{min(low + 1, count - 1)}"]
+        return float(a + (b - a) * part)
+
+    std = math.sqrt(max(spread, 0.0) / (count - 1)) if count > 1 else None
+    low, high = float(ranges[0]["low"]), float(max(r["high"] for r in ranges))
+    return spark.createDataFrame([(count, mean, std, low, *map(quartile, QUARTILES), high)], fields)
+
+
+def _rank(count: int, q: float) -> tuple[int, Fraction]:
+    """The rank below a quantile, from 0, and how far the quantile lies beyond it."""
+    at = Fraction(q) * (count - 1)
+    return int(at), at - int(at)
 
 
 def cell_colors(daily: DataFrame, cell: str) -> DataFrame:

@@ -337,6 +337,7 @@ def build() -> dict[str, str]:
         "add_missing_columns": f"{pings_only} SELECT {PINGS_FULL}, CAST(NULL AS BOOLEAN) is_valid_geom, "
         "CAST(NULL AS BIGINT) hex_res9 FROM pings",
         "backfill_idempotent": with_(PINGS, hexed("pings", "c9", 9)) + " SELECT event_id, hex_res9 FROM c9",
+        "backfill_staged": with_(PINGS, hexed("pings", "c9", 9)) + " SELECT event_id, hex_res9 FROM c9",
         "write_zclustered": f"{pings_only} SELECT {PINGS_FULL} FROM pings",
         "release_next_n": with_(LISTING)
         + " SELECT name, concat('/history/', name) path, length FROM pending ORDER BY name LIMIT 50",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,6 +127,43 @@ def backfill(
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").select("data_type")
+    return rows.first()[0].rstrip("/")
+
+
+def backfill_table(
+    spark: SparkSession,
+    table: str,
+    compute: Callable[[DataFrame], DataFrame],
+    columns: tuple[str, ...],
+    when: Column,
+    partition_by: str,
+) -> list[str]:
+    """Fill NULLs in a partitioned parquet table without overwriting anything; returns the new folders.
+
+    Partitions that have something to fill are found by a join and written, filled, to a folder of their own beside the
+    table's. Only when that write has committed is each partition pointed at its new folder, so a crash before leaves the
+    table as it was, and a crash between two partitions leaves each of them either old or new; running again goes on with
+    the rest. Folders that partitions have left stay until they are deleted by hand. ``when`` is as for :func:`backfill`.
+    """
+    rows = spark.table(table)
+    empty = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+    touched = rows.filter(empty & when).select(F.col(partition_by).alias("_touched")).distinct()
+    chosen = rows.join(touched, F.col(partition_by).eqNullSafe(F.col("_touched")), "left_semi")
+    version = _write_version(filled(chosen, compute, columns), f"{_location(spark, table)}-filled", (partition_by,))
+    written = spark.read.schema(rows.schema).parquet(version)
+    folders = written.groupBy(partition_by).agg(F.min("_metadata.file_path").alias("file"))
+    moved = []
+    for value, file in folders.collect():  # a row for each partition, as in the catalog
+        folder = unquote(file).rpartition("/")[0]
+        literal = "null" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+        spark.sql(f"ALTER TABLE {table} PARTITION (`{partition_by}` = {literal}) SET LOCATION '{folder}'")
+        moved.append(folder)
+    spark.catalog.refreshTable(table)
+    return moved
+
+
 def _spread_bits(value: Column) -> Column:
     """Insert a zero bit before each of the low 16 bits (fixed masks)."""
     for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
