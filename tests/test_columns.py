@@ -72,7 +72,7 @@ def test_a_durable_view_is_seen_by_other_sessions(spark, tmp_path):
 
 VOYAGE_HELPERS = (
     "_vessel _slice _part _borders _at _block _prev_port _prev_ts _break _breaks _base _opens _in_port _in_ts _n_breaks _first "
-    "_last _first_port _last_port _first_ts _last_ts _slot _next"
+    "_last _first_port _last_port _first_ts _last_ts _slot _next _opens _closes _edge"
 ).split()
 SPATIAL_HELPERS = "_level _gx _gy _Salt _corner _edges easting Northing port_e port_n port_zone x0 y0 x1 y1 _x0".split()
 

@@ -124,7 +124,8 @@ def longitude_ranges(x0: Column, x1: Column) -> Column:
 class SearchArea:
     """What the driver needs to know about the port side: common bounds and the number of ports.
 
-    ``west`` and ``east`` are the longitudes of boxes around the middle of either hemisphere, if there are boxes in both.
+    ``west`` and ``east`` are the longitudes of boxes around the middle of either hemisphere, if there are boxes in both;
+    ``levels`` are the levels of squares in use.
     """
 
     xmin: float | None
@@ -134,24 +135,27 @@ class SearchArea:
     ports: int = 0
     west: tuple[float, float] | None = None
     east: tuple[float, float] | None = None
+    levels: tuple[int, ...] = ()
 
 
-def search_area(boxed: DataFrame) -> SearchArea:
-    """Facts about all boxes, from one single-row job."""
+def search_area(boxed: DataFrame, level: Column | None = None) -> SearchArea:
+    """Facts about all boxes, from one single-row job. ``level`` tells the level of a box, if levels are asked for."""
     western = F.col("x0") + F.col("x1") < 0
-    row = boxed.select("y0", "y1", F.posexplode(longitude_ranges(F.col("x0"), F.col("x1"))).alias("nth", "range"))
-    row = row.select("nth", "y0", "y1", "range.x0", "range.x1").agg(
+    level = F.lit(0) if level is None else level
+    row = boxed.select("y0", "y1", level.alias("level"), F.posexplode(longitude_ranges(F.col("x0"), F.col("x1"))).alias("nth", "range"))
+    row = row.select("nth", "y0", "y1", "level", "range.x0", "range.x1").agg(
         *(f(F.when(side, F.col(c))).alias(f"{name}{c}") for name, side in (("w", western), ("e", ~western)) for f, c in ((F.min, "x0"), (F.max, "x1"))),
         F.min("y0").alias("ymin"),
         F.max("y1").alias("ymax"),
         F.count_if(F.col("nth") == 0).alias("ports"),
+        F.collect_set("level").alias("levels"),
     ).first()
     west = (row["wx0"], row["wx1"]) if row["wx0"] is not None else None
     east = (row["ex0"], row["ex1"]) if row["ex0"] is not None else None
     sides = [s for s in (west, east) if s]
     xmin, xmax = (min(s[0] for s in sides), max(s[1] for s in sides)) if sides else (None, None)
     both = bool(west and east)
-    return SearchArea(xmin, xmax, row["ymin"], row["ymax"], row["ports"], west if both else None, east if both else None)
+    return SearchArea(xmin, xmax, row["ymin"], row["ymax"], row["ports"], west if both else None, east if both else None, tuple(sorted(row["levels"])))
 
 
 def within_bounds(

@@ -54,10 +54,15 @@ def _looking(pings: DataFrame, levels: list[int], base_deg: float) -> DataFrame:
     return found.withColumns({"_gx": _square(F.col("longitude"), at, base_deg), "_gy": _square(F.col("latitude"), at, base_deg)})
 
 
+def _level() -> Column:
+    """The level of a port's squares, by its box."""
+    extent = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), F.lit(PORT_BASE_DEG))
+    return F.ceil(F.log2(extent / F.lit(PORT_BASE_DEG))).cast("int")
+
+
 def _filed_ports(boxed: DataFrame) -> DataFrame:
     """Ports once for each square of their own level that their box touches, on either side of the 180th meridian."""
-    extent = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), F.lit(PORT_BASE_DEG))
-    levelled = _settled(boxed, _level=F.ceil(F.log2(extent / F.lit(PORT_BASE_DEG))).cast("int"))
+    levelled = _settled(boxed, _level=_level())
 
     def squares(low: Column, high: Column) -> Column:
         return F.sequence(_square(low, F.col("_level"), PORT_BASE_DEG), _square(high, F.col("_level"), PORT_BASE_DEG))
@@ -93,12 +98,11 @@ def pings_in_ports(
     projected = port_ops.add_box(port_ops.project_ports(ports, zone), radius_m)
     projected = _settled(projected, **{c: F.col(c) for c in ("x0", "x1", "y0", "y1")})
     filed = _filed_ports(projected)
-    area = port_ops.search_area(projected)
+    area = port_ops.search_area(projected, _level())
     if not area.ports:
         return restored(plain.filter(F.lit(False)).withColumns({c: F.lit(None).cast(kind) for c, kind in ids.items()}))
-    levels = [r["_level"] for r in filed.select("_level").distinct().orderBy("_level").collect()]
     keys = ["_level", "_gx", "_gy"]
-    nearby = _looking(port_ops.within_bounds(plain, area), levels, PORT_BASE_DEG)
+    nearby = _looking(port_ops.within_bounds(plain, area), list(area.levels), PORT_BASE_DEG)
     squares = filed.select(*keys)
     squares = F.broadcast(squares) if area.ports <= broadcast_max_rows else squares.distinct()
     nearby = nearby.join(squares, keys, "left_semi")

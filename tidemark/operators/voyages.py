@@ -88,13 +88,12 @@ def crowded_slices(pings: DataFrame, slice_seconds: int = SLICE_SECONDS, most: i
     columns = [c for c in ("mmsi", "ts", "port_id") if c in pings.columns]
     keyed = Slices(slice_seconds).cut(pings.select(*columns)).withColumn("_at", _place(pings))
     counts = keyed.groupBy("_vessel", "_slice").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
-    counts = stored(counts, "crowded-slices")
     rows, largest = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.max("n")).first()
     if not rows:
         return None
     most = max(most, -(-rows // MOST_CROWDED))
     pieces = min(MOST_PIECES, -(-largest // most))
-    crowded = counts.where(F.col("n") > most).select("_vessel", "_slice")
+    crowded = stored(counts.where(F.col("n") > most).select("_vessel", "_slice"), "crowded-slices")
     quantiles = F.percentile_approx("_at", [i / pieces for i in range(1, pieces)], 16 * pieces)
     borders = keyed.join(F.broadcast(crowded), ["_vessel", "_slice"]).groupBy("_vessel", "_slice").agg(quantiles.alias("_borders"))
     return stored(borders.withColumn("_borders", F.array_distinct("_borders")), "slice-borders")
@@ -231,21 +230,27 @@ def journeys(stays: DataFrame, block: str | None = None, slice_seconds: int = SL
     """Consecutive stays of a vessel in differently named ports; ``origin_port`` and ``destination_port`` are appended.
 
     A vessel's stays are unbounded (one id may stand for thousands of names), so they are windowed inside the slice of
-    their arrival, or in ``block``, a column that grows with the order of stays. Each slice's last stay gets the first
-    port of the vessel's next slice from a table with a row per slice.
+    their arrival, or in ``block``, a column that grows with the order of stays. What a slice's last stay is followed by is
+    found among the first and last stays of the vessel's slices alone, two a slice at most.
     """
-    plain, name, restored = put_aside(stays.drop("origin_port", "destination_port"), "_(slot|last|first|next)")
+    helpers = "_(slot|opens|closes|edge|next)"
+    plain, name, restored = put_aside(stays.drop("origin_port", "destination_port"), helpers)
     slot = F.col(name(block)) if block else F.coalesce(F.floor(epoch_seconds(F.col("arrival_time")) / slice_seconds), F.lit(_NO_KEY).cast("bigint"))
-    slotted = plain.withColumn("_slot", slot)
     order = ("arrival_time", "session_id", "port_id", "vessel_name")
+    slotted = plain.withColumn("_slot", slot)
     inside = Window.partitionBy("mmsi", "_slot").orderBy(*order)
-    near = slotted.withColumn("_next", F.lead("port_name").over(inside))
-    ends = slotted.groupBy("mmsi", "_slot").agg(
-        F.min_by("port_name", F.struct(*order)).alias("_first"), F.max_by(F.struct(*plain.columns), F.struct(*order)).alias("_last")
+    near = slotted.withColumns(
+        {
+            "_next": F.lead("port_name").over(inside),
+            "_opens": F.lag(F.lit(True)).over(inside).isNull(),
+            "_closes": F.lead(F.lit(True)).over(inside).isNull(),
+        }
     )
-    ends = ends.withColumn("_next", F.lead("_first").over(Window.partitionBy("mmsi").orderBy("_slot")))
-    far = ends.select("_last.*", "_next")
-    legs = near.select(*plain.columns, "_next").unionByName(far).where(F.col("_next").isNotNull() & (F.col("port_name") != F.col("_next")))
+    # NULL for edges, which thus meet by vessel; all others stay with their slot
+    near = near.withColumn("_edge", F.when(~(F.col("_opens") | F.col("_closes")), F.col("_slot")))
+    edges = Window.partitionBy("mmsi", "_edge").orderBy("_slot", *order)
+    legs = near.withColumn("_next", F.when(F.col("_closes"), F.lead("port_name").over(edges)).otherwise(F.col("_next")))
+    legs = legs.where(F.col("_next").isNotNull() & (F.col("port_name") != F.col("_next")))
     return restored(legs.select(*plain.columns, F.col("port_name").alias("origin_port"), F.col("_next").alias("destination_port")))
 
 
