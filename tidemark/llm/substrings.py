@@ -39,6 +39,8 @@ RUN = 63
 #: Words of a shard's passages, about, and of the different passages of one anchor, at most.
 SHARD_WORDS = 1 << 19
 ANCHOR_MOST = 1 << 17
+#: Chunks are written once and shuffled twice, so a higher level than the usual one pays.
+COMPRESSION = 5
 _TURNS = np.random.default_rng(13).integers(1, 1 << 63, ANCHOR_WORDS, dtype=np.uint64) * U64(2) + U64(1)
 _WORD = ~SPACES
 
@@ -48,7 +50,7 @@ def _chunks(docs: DataFrame, text: str) -> DataFrame:
 
     def cut(batches: Batches) -> Batches:
         done = 0
-        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=COMPRESSION))
         for batch in batches:
             _, offsets = text_bytes(batch.column(text))
             for a, b in in_chunks(offsets, CHUNK_BYTES):
