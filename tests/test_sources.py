@@ -305,3 +305,28 @@ def test_zones_must_be_in_the_expected_crs(spark, tmp_path):
     assert zone.zone_id == "a" and [(v.x, v.y) for v in zone.rings[0]] == [(0, 0), (1, 0), (0, 1)]
     with pytest.raises(Exception, match="expected EPSG:26910, got EPSG:4326"):
         flows.zones_from_features(found, "id", 10).collect()
+
+
+@pytest.mark.parametrize("tasks", [None, 2])
+def test_members_of_several_headers_are_opened_once(spark, tmp_path, monkeypatch, tasks):
+    opened, own = tmp_path / "opened", archives._texts
+    opened.mkdir()
+
+    def counted(batches):
+        import uuid
+
+        for block in own(batches):
+            (opened / uuid.uuid4().hex).write_text("|".join(map(str, (block.column("path")[0], block.column("member")[0]))))
+            yield block
+
+    monkeypatch.setattr(archives, "_texts", counted)
+    orders = [HEADER, REORDERED.split("\n")[0], "event_id,mmsi,speed"]
+    rows = {HEADER: TEXT.split("\n", 1)[1], orders[1]: REORDERED.split("\n", 1)[1], orders[2]: "7,1,9\n"}
+    for i in range(4):
+        archive(tmp_path / f"{i}.zip", {f"m{k}.csv": header + "\n" + rows[header] for k, header in enumerate(orders)})
+    found = archives.scan_zip(spark, str(tmp_path), tasks=tasks)
+    assert "speed" in found.columns
+    count = found.count()
+    names = [f.read_text() for f in opened.iterdir()]
+    assert len(names) == len(set(names)) == 12
+    assert count == 4 * sum(len([x for x in text.split("\n") if x.strip()]) for text in rows.values())

@@ -94,22 +94,23 @@ def scan_zip(
     """Rows of all CSV members, with ``path, member`` and ``corrupt_record`` for lines that do not fit.
 
     Columns are found by the names in each member's header; those that a member lacks are NULL, and others than the
-    schema's follow as text.
+    schema's follow as text. Every member is decoded once; ``tasks`` are shared out among the orders of columns.
     """
     listing = scratch_path(spark, "members")
     list_members(spark, folder).write.parquet(listing)
     members = spark.read.parquet(listing).where(F.trim("header") != "")
-    headers = [r["header"] for r in members.select("header").distinct().orderBy("header").collect()]
-    texts = dealt_members(members, tasks).mapInArrow(_texts, "path string, member string, header string, text string")
-    line = F.explode(F.split("text", "\r?\n"))
-    lines = texts.select("path", "member", "header", line.alias("line")).where(F.rtrim("line", F.lit("\r")) != "")
-    lines = lines.withColumn("line", F.rtrim("line", F.lit("\r")))
-    frames = []
-    for header in headers:
+    headers = members.groupBy("header").count().orderBy("header").collect()  # a row for each order of columns
+    total, frames = sum(r["count"] for r in headers), []
+    for header, many in headers:
+        # members are chosen by header before they are dealt, so each is opened once whatever the headers
+        own = members.where(F.col("header") == header)
+        share = many if tasks is None else max(1, tasks * many // total)
+        texts = dealt_members(own, share).mapInArrow(_texts, "path string, member string, header string, text string")
+        lines = texts.select("path", "member", F.explode(F.split("text", "\r?\n")).alias("line"))
+        lines = lines.withColumn("line", F.rtrim("line", F.lit("\r"))).where("line <> ''")
         full = with_corrupt_column(named_schema(header_names(header), schema))
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full)
-        own = lines.where(F.col("header") == header) if len(headers) > 1 else lines
-        parsed = own.select("path", "member", F.from_csv("line", ddl, csv_options(full) | {"header": "false"}).alias("r"))
+        parsed = lines.select("path", "member", F.from_csv("line", ddl, csv_options(full) | {"header": "false"}).alias("r"))
         frames.append(parsed.select("path", "member", "r.*"))
     place = T.StructType([T.StructField("path", T.StringType()), T.StructField("member", T.StringType())])
     whole = T.StructType([*place, *schema])
