@@ -324,3 +324,13 @@ def test_counterparts_have_all_features_of_the_swapped_words():
     whole = list(toxicity.distinct_features(texts))
     swapped = list(toxicity.swapped_features(texts))
     assert swapped[0].tolist() == whole[1].tolist() and [len(s) for s in swapped[2:]] == [0, 0, 0]
+
+
+def test_ids_that_do_not_fit_are_an_error(tmp_path):
+    ids, starts = np.array([5, 65_536], dtype=np.int64), np.array([0, 2])
+    with pytest.raises(ValueError, match="wide=True"):
+        arrow_files.SequenceWriter(str(tmp_path / "narrow.arrow"), 8, False).add(ids, starts, [1])
+    out = arrow_files.SequenceWriter(str(tmp_path / "wide.arrow"), 8, True)
+    out.add(ids, starts, [1])
+    out.close()
+    assert arrow_files.SequenceFile(str(tmp_path / "wide.arrow"))[0][0].tolist()[:2] == [5, 65_536]

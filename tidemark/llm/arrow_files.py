@@ -59,6 +59,9 @@ class SequenceWriter:
         self.documents: list[int | None] = []
 
     def add(self, ids: np.ndarray, starts: np.ndarray, documents: list[int | None]) -> None:
+        most = np.iinfo(self.kind).max
+        if len(ids) and ids.max() > most:
+            raise ValueError(f"id {ids.max()} is over {most}; write with wide=True")
         last = np.zeros(len(ids), dtype=bool)
         last[starts[1:] - 1] = True
         self.ids.append(ids.astype(self.kind))
@@ -137,7 +140,8 @@ def write_sequences(
     """Files of the ids of all documents in ascending id order, ``end_id`` behind each, and their manifest.
 
     Returns a stored row per file: ``part, path, documents, tokens, sequences, first_token`` where
-    ``first_token`` counts the ids in the files before. ``wide`` keeps 32-bit ids, for vocabularies over 65,536.
+    ``first_token`` counts the ids in the files before. ``wide`` keeps 32-bit ids, for vocabularies over 65,536;
+    without it such an id is an error.
     ``special`` gives special marks inside texts their own ids, as the tokenizer does when loaded.
 
     NULL and empty texts give the end id alone. NULL document ids come first; rows with equal ids stay separate,
