@@ -272,6 +272,33 @@ def test_vector_search_recall(spark, sf_dir):
     assert hits >= 0.9 * sum(map(len, expected.values()))
 
 
+def test_vector_search_deals_rows_in_proportion(spark):
+    """Five times the rows are five times the rows shuffled; every row is in the index once."""
+    dealt = {}
+    for n in (10_000, 50_000):
+        rows = spark.range(n).select("id", F.array(F.lit(1.0)).alias("vector"))
+        frame, slots = hashing_search.dealt_rows(rows, 20, n, n // 20)
+        dealt[n] = dict(frame.groupBy("is_query").count().collect())
+        assert dealt[n] == {False: n, True: n // 20 * hashing_search.LEAST_BLOCKS}
+        assert frame.agg(F.max("slot")).first()[0] < slots == hashing_search.LEAST_BLOCKS
+    frame, slots = hashing_search.dealt_rows(spark.range(400).select("id", F.array(F.lit(1.0)).alias("vector")), 20, 400, hashing_search.QUERY_ROWS * 3)
+    assert slots == 3 * hashing_search.LEAST_BLOCKS and dict(frame.groupBy("is_query").count().collect()) == {False: 1200, True: 20 * hashing_search.LEAST_BLOCKS}
+
+
+def test_radius_reaches_the_true_neighbours_among_all_rows(spark):
+    rng = np.random.default_rng(8)
+    vectors = rng.standard_normal((900, 16))
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "id bigint, vector array<double>")
+    coder = hashing_search.learn(vectors[:200], float(np.sqrt((vectors**2).sum(axis=1).max())))
+    codes, own, apart = coder.codes(vectors), coder.codes(vectors[:30], True), []
+    for i in range(30):
+        scores = vectors @ vectors[i]
+        scores[i] = -np.inf
+        near = np.argsort(-scores)[:5]
+        apart += np.unpackbits(codes[near] ^ own[i], axis=1).sum(axis=1).tolist()
+    assert hashing_search.measured_radius(frame, coder, np.arange(30), vectors[:30], 5) == int(np.ceil(np.quantile(apart, hashing_search.REACH)))
+
+
 def test_probes_reach_every_code_within_the_radius():
     rng = np.random.default_rng(3)
     index, queries = rng.integers(0, 256, (300, 16), dtype=np.uint8), rng.integers(0, 256, (20, 16), dtype=np.uint8)

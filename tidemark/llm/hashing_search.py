@@ -7,10 +7,15 @@ cube (iterative quantisation); the signs of the rotated components are the code.
 Search. Codes are split into substrings of a byte. If two codes differ in at most ``r`` bits, then by the pigeonhole
 principle some substring differs in at most ``r // parts`` bits, and all but the first ``r % parts + 1`` of them need
 only be probed one bit less far. An index from the values of every substring to rows thus yields every code within
-the radius; those that really are inside are ranked by their float vectors. The radius is what the sample's true
-neighbours need; where fewer than the wanted number lie inside it, it grows until there are enough.
+the radius; those that really are inside are ranked by their float vectors.
 
-Index and queries are dealt into blocks; each pair of blocks is one task's work and hands back the nearest few.
+Radius. A bounded number of sampled queries is compared with every row, in one pass without a shuffle of vectors. The
+radius is what reaches their true neighbours among all rows, so it shrinks as rows get denser. Where fewer than the
+wanted number lie inside it, it grows until there are enough.
+
+Each row is indexed in one block. Queries are sent to the blocks and stream past the index of each, so a task holds
+the index of one block and a batch of queries. Only where queries are more than ``QUERY_ROWS`` is the index copied, once
+for each such group: rows shuffled are ``n * queries / QUERY_ROWS + queries * n / INDEX_ROWS``.
 """
 
 from __future__ import annotations
@@ -19,19 +24,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Vectors that rotations and radius are learned from at most, the lowest by a hash of their ids.
+from tidemark.llm.common import Batches
+
+#: Vectors that rotations are learned from at most, the lowest by a hash of their ids.
 SAMPLE_ROWS = 4096
+#: Vectors of the sample whose true neighbours among all rows set the radius.
 SAMPLE_QUERIES = 256
 ROUNDS = 30
 BITS = 128
-#: Share of the sample's true neighbours that the radius must reach.
+#: Share of those neighbours that the radius must reach.
 REACH = 0.98
 LEAST_BLOCKS = 24
 INDEX_ROWS = 65_536
-QUERY_ROWS = 1024
+QUERY_ROWS = 1 << 20
+#: Queries that are compared with a block at a time.
+STEP_ROWS = 256
 _ONES = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 _APART = _ONES[np.arange(256)[:, None] ^ np.arange(256)[None, :]]
 
@@ -66,34 +77,62 @@ def _rotation(centred: np.ndarray, seed: int) -> np.ndarray:
     return turn
 
 
-def learn(sample: np.ndarray, length: float, neighbours: int, bits: int = BITS) -> Coder:
-    """Rotations for ``bits`` bits from rows of a sample, and the radius that reaches their true neighbours."""
+def learn(sample: np.ndarray, length: float, bits: int = BITS) -> Coder:
+    """Rotations for ``bits`` bits from rows of a sample; the radius is yet to be measured."""
     whole = np.column_stack([sample, np.sqrt(np.maximum(length**2 - (sample**2).sum(axis=1), 0))])
     mean = whole.mean(axis=0)
     turns = [_rotation(whole - mean, seed) for seed in range(-(-bits // whole.shape[1]))]
-    coder = Coder(length, mean, np.column_stack(turns)[:, :bits], 0)
-    codes, queries = coder.codes(sample), sample[:SAMPLE_QUERIES]
+    return Coder(length, mean, np.column_stack(turns)[:, :bits], bits)
+
+
+def _nearest_apart(coder: Coder, query_ids: np.ndarray, queries: np.ndarray, count: int):
+    """For each of a few queries the scores of a task's nearest rows, and by how many bits their codes differ."""
     own = coder.codes(queries, True)
-    needed = []
-    for i in range(len(queries)):
-        scores = sample @ queries[i]
-        scores[i] = -np.inf
-        near = np.argsort(-scores, kind="stable")[: min(neighbours, len(sample) - 1)]
-        needed.append(_ONES[codes[near] ^ own[i]].sum(axis=1))
-    reach = np.concatenate(needed) if needed else np.zeros(0)
-    return Coder(length, mean, coder.turn, int(np.quantile(reach, REACH)) if len(reach) else bits)
 
+    def run(batches: Batches) -> Batches:
+        scores = np.full((len(queries), count), -np.inf)
+        apart = np.zeros((len(queries), count), dtype=np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, STEP_ROWS * 4):
+                part = batch.slice(at, STEP_ROWS * 4)
+                vectors = _matrix(part.column("vector"))
+                here = np.where(query_ids[:, None] == part.column("id").to_numpy()[None, :], -np.inf, queries @ vectors.T)
+                codes = coder.codes(vectors)
+                bits = _ONES[own[:, None, :] ^ codes[None, :, :]].sum(axis=2, dtype=np.int64)
+                scores, apart = np.hstack([scores, here]), np.hstack([apart, bits])
+                best = np.argsort(-scores, axis=1, kind="stable")[:, :count]
+                scores, apart = np.take_along_axis(scores, best, 1), np.take_along_axis(apart, best, 1)
+        query, place = np.nonzero(np.isfinite(scores))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(query), pa.array(scores[query, place]), pa.array(apart[query, place])], names=["query", "score", "apart"]
+        )
+
+    return run
+
+
+def measured_radius(rows: DataFrame, coder: Coder, query_ids: np.ndarray, queries: np.ndarray, count: int) -> int:
+    """The Hamming radius that reaches ``REACH`` of the true ``count`` neighbours, among all rows, of a few queries."""
+    near = rows.select("id", "vector").mapInArrow(_nearest_apart(coder, query_ids, queries, count), "query bigint, score double, apart bigint")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "apart")
+    true = near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= count)
+    found = true.agg(F.percentile("apart", F.lit(REACH))).first()[0]
+    return coder.turn.shape[1] if found is None else int(np.ceil(found))
 
-def within(index: np.ndarray, queries: np.ndarray, radius: int) -> np.ndarray:
+
+def substring_tables(codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each substring the rows in the order of its values, and where in them each value begins."""
+    orders = [np.argsort(codes[:, part], kind="stable") for part in range(codes.shape[1])]
+    return [(order, np.searchsorted(codes[order, part], np.arange(257))) for part, order in enumerate(orders)]
+
+
+def within(index: np.ndarray, queries: np.ndarray, radius: int, tables: list[tuple[np.ndarray, np.ndarray]] | None = None) -> np.ndarray:
     """For each query, which codes of the index some substring's probes reach: all codes within ``radius``, and more."""
-    parts = index.shape[1]
+    parts, tables = index.shape[1], tables or substring_tables(index)
     reached = np.zeros((len(queries), len(index)), dtype=bool)
-    for part in range(parts):
+    for part, (order, edges) in enumerate(tables):
         allowed = radius // parts - (part > radius % parts)
         if allowed < 0:
             continue
-        order = np.argsort(index[:, part], kind="stable")
-        edges = np.searchsorted(index[order, part], np.arange(257))
         for value in np.unique(queries[:, part]):
             buckets = np.flatnonzero(_APART[value] <= allowed)
             rows = np.concatenate([order[edges[b] : edges[b + 1]] for b in buckets])
@@ -101,29 +140,43 @@ def within(index: np.ndarray, queries: np.ndarray, radius: int) -> np.ndarray:
     return reached
 
 
-def search_block(coder: Coder, ids, vectors, query_ids, queries, count: int):
-    """``query row, id, score`` of the nearest ``count`` rows that the index of one block yields for each query."""
-    codes, own = coder.codes(vectors), coder.codes(queries, True)
-    reached = within(codes, own, coder.radius)
-    rows, found, scores = [], [], []
-    for i in range(len(queries)):
-        near = np.flatnonzero(reached[i])
-        apart = _ONES[codes[near] ^ own[i]].sum(axis=1, dtype=np.int64)
-        near = near[(apart <= coder.radius) & (ids[near] != query_ids[i])]
-        if len(near) < count:
-            others = np.flatnonzero(ids != query_ids[i])
-            apart = _ONES[codes[others] ^ own[i]].sum(axis=1, dtype=np.int64)
-            radius = np.sort(apart)[min(count, len(apart)) - 1] if len(apart) else 0
-            near = others[apart <= max(radius, coder.radius)]
-        products = (vectors[near] * queries[i]).sum(axis=1)
-        best = np.lexsort((ids[near], -products))[:count]
-        rows += [i] * len(best)
-        found.append(ids[near[best]])
-        scores.append(products[best])
-    return rows, np.concatenate(found), np.concatenate(scores)
-
-
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+@dataclass(frozen=True)
+class Block:
+    """The index of a block: ids, vectors and codes of its rows, and for each substring the rows by its value."""
+
+    ids: np.ndarray
+    vectors: np.ndarray
+    codes: np.ndarray
+    tables: list[tuple[np.ndarray, np.ndarray]]
+
+    def search(self, coder: Coder, query_ids: np.ndarray, queries: np.ndarray, count: int):
+        """``query row, id, score`` of the nearest ``count`` rows that the index yields for each query."""
+        own = coder.codes(queries, True)
+        reached = within(self.codes, own, coder.radius, self.tables)
+        rows, found, scores = [], [], []
+        for i in range(len(queries)):
+            near = np.flatnonzero(reached[i])
+            apart = _ONES[self.codes[near] ^ own[i]].sum(axis=1, dtype=np.int64)
+            near = near[(apart <= coder.radius) & (self.ids[near] != query_ids[i])]
+            if len(near) < count:
+                others = np.flatnonzero(self.ids != query_ids[i])
+                apart = _ONES[self.codes[others] ^ own[i]].sum(axis=1, dtype=np.int64)
+                radius = np.sort(apart)[min(count, len(apart)) - 1] if len(apart) else 0
+                near = others[apart <= max(radius, coder.radius)]
+            products = (self.vectors[near] * queries[i]).sum(axis=1)
+            best = np.lexsort((self.ids[near], -products))[:count]
+            rows.append(np.full(len(best), i))
+            found.append(self.ids[near[best]])
+            scores.append(products[best])
+        return np.concatenate(rows), np.concatenate(found), np.concatenate(scores)
+
+
+def block_of(coder: Coder, ids: np.ndarray, vectors: np.ndarray) -> Block:
+    codes = coder.codes(vectors)
+    return Block(ids, vectors, codes, substring_tables(codes))
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
 
@@ -143,7 +196,7 @@ def nearest(
 
     Nearness is the largest inner product in double precision, ties to the smaller id; rows with the query's own id
     are no candidates. Rows with a NULL id, vectors that are NULL, empty or zero or hold NULL or non-finite components,
-    and vectors of another length than most take no part. A repeated id is searched for with each of its vectors. All
+    and vectors of another length than most (ties: the shorter) take no part. A repeated id is searched for with each of its vectors. All
     other rows are indexed, and every query gets ``count`` rows if there are so many. No rows: no rows.
     """
     good = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
@@ -156,28 +209,55 @@ def nearest(
         return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     rows = rows.where(F.size("vector") == common["size"])
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(sample_rows).collect()
-    coder = learn(np.array([r["vector"] for r in sample]), float(np.sqrt(common["square"])), count, bits)
-    if radius is not None:
-        coder = Coder(coder.length, coder.mean, coder.turn, radius)
-
-    blocks = max(LEAST_BLOCKS, -(-common["rows"] // INDEX_ROWS))
-    groups = max(1, -(-common["queries"] // QUERY_ROWS))
-    block = F.pmod(F.xxhash64("id", F.lit("index")), F.lit(blocks))
-    group = F.pmod(F.xxhash64("id", F.lit("query")), F.lit(groups))
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    index = rows.withColumn("other", each(groups)).select((F.col("other") * blocks + block).alias("slot"), "id", "vector")
-    queries = rows.where(F.col("id") % every == 0).withColumn("query_key", F.xxhash64("vector")).withColumn("other", each(blocks))
-    queries = queries.select((group * blocks + F.col("other")).alias("slot"), "id", "query_key", "vector")
-
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["query_id", "query_key", "vec_id", "score"]
-        if not left.num_rows or not right.num_rows:
-            return pa.table([pa.array([], pa.int64())] * 3 + [pa.array([], pa.float64())], names=names)
-        ids, own = left.column("id").to_numpy(), right.column("id").to_numpy()
-        place, found, scores = search_block(coder, ids, _matrix(left.column("vector")), own, _matrix(right.column("vector")), count)
-        return pa.table([own[place], right.column("query_key").to_numpy()[place], found, scores], names=names)
-
-    near = index.groupBy("slot").cogroup(queries.groupBy("slot")).applyInArrow(search, fields)
+    coder = learn(np.array([r["vector"] for r in sample]), float(np.sqrt(common["square"])), bits)
+    if radius is None:
+        few = sample[:SAMPLE_QUERIES]
+        radius = measured_radius(rows, coder, np.array([r["id"] for r in few]), np.array([r["vector"] for r in few]), count)
+    coder = Coder(coder.length, coder.mean, coder.turn, radius)
+
+    dealt, slots = dealt_rows(rows, every, common["rows"], common["queries"])
+    near = dealt.repartitionById(slots, F.col("slot")).sortWithinPartitions("is_query").mapInArrow(_searched(coder, count), fields)
     order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
     ranked = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)
     return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def dealt_rows(rows: DataFrame, every: int, indexed: int, queries: int) -> tuple[DataFrame, int]:
+    """``slot, is_query, id, query_key, vector``: what each slot, a block of the index and a group of queries, is sent."""
+    blocks = max(LEAST_BLOCKS, -(-indexed // INDEX_ROWS))
+    groups = max(1, -(-queries // QUERY_ROWS))
+    block = F.pmod(F.xxhash64("id", F.lit("index")), F.lit(blocks)).cast("int")
+    group = F.pmod(F.xxhash64("id", F.lit("query")), F.lit(groups)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    index = rows.withColumn("other", each(groups))
+    index = index.select((F.col("other") * blocks + block).alias("slot"), F.lit(False).alias("is_query"), "id", F.lit(0).cast("bigint").alias("query_key"), "vector")
+    asked = rows.where(F.col("id") % every == 0).withColumn("query_key", F.xxhash64("vector")).withColumn("other", each(blocks))
+    asked = asked.select((group * blocks + F.col("other")).alias("slot"), F.lit(True).alias("is_query"), "id", "query_key", "vector")
+    return index.unionByName(asked), blocks * groups
+
+
+def _searched(coder: Coder, count: int):
+    """A slot's rows of the index, then its queries: the nearest rows of the block for each query."""
+
+    def run(batches: Batches) -> Batches:
+        held, block = [], None
+        for batch in batches:
+            indexed = batch.num_rows - pc.sum(batch.column("is_query").cast(pa.int64())).as_py() if batch.num_rows else 0
+            if indexed:
+                held.append(batch.slice(0, indexed))
+            asked = batch.slice(indexed)
+            if not asked.num_rows or not held and block is None:
+                continue
+            if block is None:
+                ids = np.concatenate([x.column("id").to_numpy() for x in held])
+                block, held = block_of(coder, ids, np.concatenate([_matrix(x.column("vector")) for x in held])), []
+            for at in range(0, asked.num_rows, STEP_ROWS):
+                part = asked.slice(at, STEP_ROWS)
+                own = part.column("id").to_numpy()
+                place, found, scores = block.search(coder, own, _matrix(part.column("vector")), count)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own[place]), part.column("query_key").take(pa.array(place)), pa.array(found), pa.array(scores)],
+                    names=["query_id", "query_key", "vec_id", "score"],
+                )
+
+    return run
