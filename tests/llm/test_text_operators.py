@@ -203,6 +203,24 @@ def test_near_duplicates_are_the_groups_of_all_pairs(spark):
     assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_crowded_buckets_are_compared_in_tiles(spark, monkeypatch):
+    """Many rows share bands with rows of other components: every tile of such a bucket finds its pairs."""
+    monkeypatch.setattr(near_dedup, "TILE_ROWS", 2)
+    rng = random.Random(23)
+    common = [f"w{i}" for i in range(60)]
+    texts = []
+    for k in range(12):  # chains: each next text is at 0.8 or more from the one before, the ends are not
+        words = list(common)
+        for step in range(6):
+            words[(9 * k + 5 * step) % 60] = f"x{k}_{step}"
+            texts.append(" ".join(words))
+    rng.shuffle(texts)
+    rows = [(i + 1, t, "s", "x", i) for i, t in enumerate(texts)]
+    expected = dict(zip([r[0] for r in rows], groups_by_force(rows)))
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, DOCS))
+    assert {r.doc_id: r.cluster_id for r in found.collect()} == expected
+
+
 def test_near_duplicates_of_the_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 400")
     rows = [(r.doc_id, r.text) for r in docs.collect()]

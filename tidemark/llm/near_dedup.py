@@ -38,6 +38,8 @@ SKETCH_BITS = 66
 #: Of COORDINATES four-bit digits; a pair at similarity 0.8 differs in 72 with a deviation of 7.65.
 SKETCH_DIGITS = 104
 BATCH_ROWS = 512
+#: Members of a bucket that are compared at a time; a bucket of more is cut into tiles that spread over tasks.
+TILE_ROWS = 256
 _STEP = U64(0x9E3779B97F4A7C15)
 _UNIT = 2.0**-53
 
@@ -196,13 +198,18 @@ def _groups(docs: DataFrame, doc: str, text: str, similarity: float) -> tuple[Da
     components = connected_components(edges)
 
     member = shared.where("members > 2").join(components.select(F.col("node").alias("m"), "component"), F.col("node") == F.col("m"), "left")
-    member = member.select("node", "at", "band", "hub", F.coalesce("component", "node").alias("component"))
-    torn = member.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    torn = torn.select(F.col("band").alias("key"))
+    tiles = F.floor(F.col("members") / TILE_ROWS).cast("int") + 1
+    member = member.select("node", "at", "band", "hub", F.coalesce("component", "node").alias("component"), tiles.alias("tiles"))
+    member = member.withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    torn = member.groupBy("band", "tiles").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    torn = torn.select(F.col("band").alias("key"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("part"))
     sketches = nodes.select(F.col("node").alias("n"), "sketch", "bands")
-    member = member.where(F.col("node") != F.col("hub")).join(torn, F.col("band") == F.col("key")).join(sketches, F.col("node") == F.col("n"))
-    member = stored(member.select("at", "band", "node", "component", "sketch", "bands"), "dart-torn")
-    side = lambda s: member.select(*[F.col(c).alias(f"{c}_{s}") for c in member.columns])
+    same = (F.col("band") == F.col("key")) & (F.col("tile") == F.col("part"))
+    member = member.where(F.col("node") != F.col("hub")).join(torn, same).join(sketches, F.col("node") == F.col("n"))
+    member = stored(member.select("at", "band", "node", "component", "sketch", "bands", "tiles", "tile"), "dart-torn")
+    # tile (i, j) of a bucket compares its i-th part with its j-th, i <= j, so that each pair meets once
+    parts = {"a": F.sequence(F.col("tile"), F.col("tiles") - 1), "b": F.sequence(F.lit(0), F.col("tile"))}
+    side = lambda s: member.withColumn("with", F.explode(parts[s])).select(*[F.col(c).alias(f"{c}_{s}") for c in [*member.columns, "with"]])
     # the cheap test is compiled with the join; the sharper one runs for pairs that pass it
     longs = COORDINATES // 64
     bits = reduce(Column.__add__, [F.bit_count(F.get("sketch_a", i).bitwiseXOR(F.get("sketch_b", i))) for i in range(longs)])
@@ -213,7 +220,9 @@ def _groups(docs: DataFrame, doc: str, text: str, similarity: float) -> tuple[Da
     rest = side("a").join(
         side("b"),
         (F.col("band_a") == F.col("band_b"))
-        & (F.col("node_a") < F.col("node_b"))
+        & (F.col("tile_a") == F.col("with_b"))
+        & (F.col("with_a") == F.col("tile_b"))
+        & ((F.col("tile_a") < F.col("tile_b")) | (F.col("node_a") < F.col("node_b")))
         & (F.col("component_a") != F.col("component_b"))
         & (bits <= SKETCH_BITS)
         & (digits <= SKETCH_DIGITS)
