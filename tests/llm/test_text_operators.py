@@ -119,6 +119,44 @@ def test_packing_keeps_every_window_on_target(spark, targets):
             assert abs(sent["a"] - share * 256 * (w + 1)) <= 1
 
 
+@pytest.mark.parametrize("sizes", [[0, 1000, 333, 334, 7], [0, 64, 64], [5, 1, 1, 1], [10**7 + 3, 4 * 10**7, 17], [0, 2**33 + 5, 3 * 2**32]])
+def test_turns_stand_where_a_plain_queue_puts_them(sizes):
+    """Against all turns sorted by the moments, as fractions, at which their middles are due."""
+    quantum = max(16, sum(sizes) // 500)
+    turns = []
+    for lane, n in enumerate(sizes):
+        for j in range(-(-n // quantum)):
+            length = min(quantum, n - j * quantum)
+            turns.append((Fraction(2 * j * quantum + length, 2 * n), lane, j, length))
+    plan, place = packing.Turns(64, quantum, tuple(sizes)), 0
+    sent, total = Counter(), sum(sizes)
+    for _, lane, j, length in sorted(turns):
+        assert plan.begins(lane, np.array([j])).tolist() == [place]
+        place, sent[lane] = place + length, sent[lane] + length
+        for other, n in enumerate(sizes):
+            assert abs(sent[other] - Fraction(n, total) * place) <= quantum * (1 + len(sizes)) / 2
+    assert place == total
+
+
+def test_packing_in_turns_keeps_all_tokens_in_fewer_pieces(spark):
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choices(["one", "zwei", "trois,", "#4"], k=rng.randint(0, 300))), rng.choice("aaaaabcdefghijklmnop"), "", i) for i in range(200)]
+    docs = spark.createDataFrame(rows, DOCS)
+    pieces = packing.pack(docs, WORD, window=256, quantum=64).collect()
+    check_pieces(pieces, docs.collect(), 256)
+    assert 3 * len(pieces) < 2 * packing.pack(docs, WORD, window=256).count()
+    tokenizer, ids = Tokenizer.from_file(WORD), {}
+    for p in sorted(pieces, key=lambda p: (p.doc_id, p.start)):
+        ids.setdefault(p.doc_id, []).extend(struct.unpack(f"<{p.length}I", bytes(p.ids)))
+    for i, text, *_ in rows:
+        assert ids[i] == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+    odd = odd_documents(spark)
+    check_pieces(packing.pack(odd, WORD, window=32, quantum=8).collect(), odd.collect(), 32)
+    assert packing.pack(odd.limit(0), WORD, quantum=8).count() == 0
+    with pytest.raises(ValueError):
+        packing.pack(docs, WORD, targets={"a": 1}, quantum=8)
+
+
 def test_schedule_pools_what_is_below_a_token():
     plan = packing.schedule([5, 4000, 3000], None, 256)
     assert plan.total == 7005 and plan.sent(3, 10**9) == 7005

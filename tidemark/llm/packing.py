@@ -7,6 +7,11 @@ can find the windows of any document: with the running shares of the queues in a
 the first ``l`` queues have sent into the first ``w`` windows are the whole part of their share of ``w`` windows.
 Deficits thus carry over windows and over Spark partitions without a sequential pass.
 
+Shares to the token cut documents into as many pieces as there are queues in a window. With a ``quantum``, queues send
+turns of up to so many tokens instead, in the order of the moments at which the middles of the turns were due; what a
+queue is ahead or behind, at most half a turn for each queue, is its deficit and carries over windows. The place of any
+turn in the stream again has a closed form: the turns of each other queue that were due before it.
+
 Queues whose share is below one token a window are served as one queue, their documents in id order; so there
 are never more queues than tokens in a window, and only that many totals reach the driver.
 """
@@ -30,6 +35,8 @@ from tidemark.llm.tokens import piece_tokenizer
 
 WINDOW = 2048
 TASK_BYTES = 8 << 20
+#: Tokens of a turn in production: eight turns to a window.
+TURN = 256
 
 
 @dataclass(frozen=True)
@@ -80,6 +87,66 @@ class Schedule:
             w, a0, b0 = w + 1, a1, b1
         return found
 
+    def all_pieces(self, lanes: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> list[list[tuple[int, int, int, int]]]:
+        """The pieces of many documents, see ``pieces``."""
+        return [self.pieces(*x) for x in zip(lanes.tolist(), places.tolist(), sizes.tolist())]
+
+
+@dataclass(frozen=True)
+class Turns:
+    """Queues of these token counts served in turns of ``quantum`` tokens, in proportion to the counts."""
+
+    window: int
+    quantum: int
+    sizes: tuple[int, ...]
+
+    def begins(self, lane: int, turns: np.ndarray) -> np.ndarray:
+        """The places in the stream at which turns of a queue begin: its own turns before and all that others were due.
+
+        Moments are compared as integers, twice the middle of a turn times the other queue's count; ties go to the
+        first queue. Counts too large for 64 bits are Python's integers.
+        """
+        q, size, most = self.quantum, self.sizes[lane], max(self.sizes)
+        turns = turns.astype(np.int64 if 8 * most * max(most, q) < 1 << 63 else object)
+        middle, place = np.minimum((turns + 1) * q, size) + turns * q, turns * q
+        for other, n in enumerate(self.sizes):
+            if other == lane or not n:
+                continue
+            due, first = middle * n, other < lane
+            whole = (due - q * size) // (2 * q * size) + 1 if first else -((q * size - due) // (2 * q * size))
+            place = place + np.clip(whole, 0, n // q) * q
+            if n % q:
+                late = (n - n % q + n) * size
+                place = place + ((late <= due) if first else (late < due)) * (n % q)
+        return place.astype(np.int64)
+
+    def all_pieces(self, lanes: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> list[list[tuple[int, int, int, int]]]:
+        """For documents at ``places`` of their queues the ``(start, length, window, offset)`` of their pieces."""
+        first = places // self.quantum
+        counts = (places + sizes - 1) // self.quantum - first + 1
+        owner = np.repeat(np.arange(len(lanes)), counts)
+        turn = first[owner] + np.arange(len(owner)) - (np.cumsum(counts) - counts)[owner]
+        begin = np.zeros(len(owner), dtype=np.int64)
+        for lane in np.unique(lanes):
+            own = np.flatnonzero(lanes[owner] == lane)
+            known, back = np.unique(turn[own], return_inverse=True)
+            begin[own] = self.begins(int(lane), known)[back]
+        low = np.maximum(turn * self.quantum, places[owner])
+        high = np.minimum((turn + 1) * self.quantum, (places + sizes)[owner])
+        found: list[list[tuple[int, int, int, int]]] = [[] for _ in range(len(lanes))]
+        starts, at = low - places[owner], begin + low - turn * self.quantum
+        for i, start, place, rest in zip(owner.tolist(), starts.tolist(), at.tolist(), (high - low).tolist()):
+            pieces = found[i]
+            while rest:
+                window, offset = divmod(place, self.window)
+                take = min(rest, self.window - offset)
+                if pieces and pieces[-1][2] == window and pieces[-1][3] + pieces[-1][1] == offset:
+                    pieces[-1] = (pieces[-1][0], pieces[-1][1] + take, window, pieces[-1][3])
+                else:
+                    pieces.append((start, take, window, offset))
+                start, place, rest = start + take, place + take, rest - take
+        return found
+
 
 def schedule(sizes: list[int], weights: list[Fraction] | None, window: int) -> Schedule:
     """The schedule of queues with these token counts. ``weights`` None: in proportion to the counts."""
@@ -139,11 +206,13 @@ def pack(
     end_id: int = 1,
     targets: dict[str | None, float] | None = None,
     special: bool = False,
+    quantum: int = 1,
 ) -> DataFrame:
     """Every document's ids and ``end_id`` dealt into windows of ``window`` tokens that follow the target mixture.
 
     ``targets`` names the wanted token share of sources; None keeps the corpus mixture in every window. A source
     that runs dry leaves its share to the others; sources without a target follow once those with one are empty.
+    ``quantum`` above 1 deals the corpus mixture in turns of so many tokens, which cuts documents into fewer pieces.
     Returns a row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source, ids``
     with ``ids`` the piece's ids as little-endian unsigned 32-bit integers. ``special`` gives special marks inside texts
     their own ids, as the tokenizer does when loaded.
@@ -151,6 +220,8 @@ def pack(
     NULL and empty texts are the end id alone. A NULL source is a queue of its own; NULL and repeated ids are
     separate documents, ordered by id (NULL first) and then by how they were read. No documents: no rows.
     """
+    if quantum < 1 or (quantum > 1 and targets is not None):
+        raise ValueError("turns have a token at least, and just one where targets are given")
     picked = docs.select(F.col(doc).cast("bigint").alias("doc"), F.col(source).cast("string").alias("source"), F.col(text).alias("text"))
     encoded = picked.mapInArrow(_encoded(tokenizer, end_id, special), "row bigint, doc bigint, source string, n bigint, ids binary")
     encoded = stored(encoded, "pack-ids")
@@ -170,7 +241,7 @@ def pack(
         lanes = [(t, kept[t]) for t in targets if t in kept]
         weights = [Fraction(0), *(Fraction(targets[t]) for t, _ in lanes)]
     sizes = [total - sum(n for _, n in lanes), *(n for _, n in lanes)]
-    plan = schedule(sizes, weights, window)
+    plan = schedule(sizes, weights, window) if quantum == 1 else Turns(window, quantum, tuple(sizes))
 
     spark = docs.sparkSession
     lane_of = spark.createDataFrame([(t, i + 1) for i, (t, _) in enumerate(lanes)], "name string, lane int")
@@ -184,14 +255,15 @@ def pack(
 
     def cut(batches: Batches) -> Batches:
         for batch in batches:
-            columns = {k: batch.column(k).to_pylist() for k in ("lane", "place", "n")}
+            lanes, places, sizes = (batch.column(k).to_numpy().astype(np.int64) for k in ("lane", "place", "n"))
+            pieces = plan.all_pieces(lanes, places, sizes)
             _, offsets, data = batch.column("ids").cast(pa.large_binary()).buffers()
             first = np.frombuffer(offsets, dtype=np.int64)[batch.column("ids").offset :]
             raw = memoryview(data) if data is not None else memoryview(b"")
             of, start, length, crc, sequence, offset, ids = [], [], [], [], [], [], []
-            for i, (lane, place, n) in enumerate(zip(columns["lane"], columns["place"], columns["n"])):
+            for i, found in enumerate(pieces):
                 at = int(first[i])
-                for s, size, w, o in plan.pieces(lane, place, n):
+                for s, size, w, o in found:
                     piece = raw[at + 4 * s : at + 4 * (s + size)]
                     of.append(i)
                     start.append(s)

@@ -51,7 +51,8 @@ def op2_multi_index_hashing(spark, sf_dir):
 
 @query
 def op3_packing(spark, sf_dir):
-    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), special=True)
+    docs, tokenizer = table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    pieces = packing.pack(docs, tokenizer, special=True, quantum=packing.TURN)
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
