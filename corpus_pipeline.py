@@ -42,7 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 2048 tokens, every sequence with the sources' shares."""
     ship_package(spark)
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), special=True).drop("ids")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), special=True, quantum=packing.TURN).drop("ids")
 
 
 STAGES = [
